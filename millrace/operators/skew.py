@@ -1,0 +1,40 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Rows of one key that a single task should handle at most.
+HOT_ROWS = 2_000_000
+
+#: Number of keys that can be hot. A key past the first thousand holds at most a thousandth of the rows,
+#: so it needs no salt; the list therefore has a fixed bound and may be broadcast.
+HOT_KEYS = 1_000
+
+
+def join_per_key(
+    rows: DataFrame, per_key: DataFrame, key: str, size: str, spread: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Left join of ``rows`` to a table with one row per key, whose ``size`` counts the key's rows.
+
+    Rows of a hot key are dealt out over several salts by a hash of ``spread``, and the key's single row is
+    repeated once per salt. All other keys keep salt 0. Nothing is dropped either way.
+    """
+    parts = F.greatest(F.ceil(F.col(size) / F.lit(hot_rows)).cast("int"), F.lit(1))
+    hot = (
+        per_key.where(F.col(size) > hot_rows)
+        .orderBy(F.desc(size))
+        .limit(HOT_KEYS)
+        .select(F.col(key).alias("_hot"), parts.alias("_parts"))
+    )
+    salt = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(spread), F.col("_parts")).cast("int")).otherwise(0)
+    dealt = (
+        rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot")), "left")
+        .withColumn("_salt", salt)
+        .drop("_hot", "_parts")
+    )
+    copies = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop(size)
+    copies = copies.withColumnRenamed(key, "_key").withColumnRenamed("_salt", "_copy")
+    match = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_salt") == F.col("_copy"))
+    return dealt.join(copies, match, "left").drop("_key", "_copy", "_salt")
