@@ -12,33 +12,47 @@ WITHIN_SECONDS = 10
 SLICE = 30
 
 
+def _followed(df: DataFrame, key: str, entry: Column, ts: str, seq: str, within_seconds: int) -> DataFrame:
+    """Rows with ``_entry`` and two facts about the key's next row: ``_late`` (too late or none) and ``_again``
+    (another entry).
+
+    The key's rows are cut into time slices. A row of the first ``within_seconds`` of a slice is shown to the
+    slice before as well, which is all a slice needs to know of the future. So even a single key that holds
+    most rows is spread over many tasks.
+    """
+    span, micros = within_seconds * 1_000_000, F.unix_micros(ts)
+    slice_of = F.floor(micros / F.lit(span * SLICE)).cast("long")
+    early = F.pmod(micros, F.lit(span * SLICE)) < span
+    marked = df.withColumn("_entry", F.coalesce(entry, F.lit(False))).withColumn("_slice", slice_of)
+    shown = F.when(early, F.array("_slice", F.col("_slice") - 1)).otherwise(F.array("_slice"))
+    copies = marked.withColumn("_in", F.explode(shown)).withColumn("_own", F.col("_in") == F.col("_slice"))
+    order = Window.partitionBy(key, "_in").orderBy(ts, seq)
+    seen = copies.withColumn("_next", F.lead(F.struct(F.col(ts).alias("t"), F.col("_entry").alias("e"))).over(order))
+    late = F.col("_next").isNull() | (F.unix_micros("_next.t") - F.unix_micros(ts) >= span)
+    return seen.where("_own").withColumn("_late", late).withColumn("_again", F.coalesce("_next.e", F.lit(False)))
+
+
 def bounces(
     df: DataFrame, key: str, entry: Column, ts: str = "rowtime", seq: str = "seq", within_seconds: int = WITHIN_SECONDS
 ) -> DataFrame:
     """Rows where ``entry`` holds and the key's next row is another entry, comes too late, or never comes.
 
-    "Too late" includes the exact limit. On a table the key's rows are cut into time slices: a row of the
-    first ``within_seconds`` of a slice is shown to the slice before as well, which is all a slice needs to
-    know of the future. So even a single key that holds most rows is spread over many tasks.
+    "Too late" includes the exact limit.
     """
     if df.isStreaming:
         from millrace.streaming.stateful import bounces_stream
 
         return bounces_stream(df, key, entry, ts, seq, within_seconds)
-    names = df.columns
-    span, micros = within_seconds * 1_000_000, F.unix_micros(ts)
-    slice_of = F.floor(micros / F.lit(span * SLICE)).cast("long")
-    early = F.pmod(micros, F.lit(span * SLICE)) < span
-    marked = df.withColumn("_entry", F.coalesce(entry, F.lit(False))).withColumn("_slice", slice_of)
-    shown = F.when(early, F.array("_slice", F.col("_slice") - 1)).otherwise(F.array("_slice"))
-    # only the owner's copy is emitted; a copy shown to the slice before carries no payload
-    copies = marked.withColumn("_in", F.explode(shown)).withColumn("_own", F.col("_in") == F.col("_slice"))
-    order = Window.partitionBy(key, "_in").orderBy(ts, seq)
-    follow = F.lead(F.struct(F.col(ts).alias("t"), F.col("_entry").alias("e"))).over(order)
-    seen = copies.withColumn("_next", follow)
-    late = F.unix_micros("_next.t") - F.unix_micros(ts) >= span
-    stays = F.col("_next").isNull() | late | F.col("_next.e")
-    return seen.where(F.col("_own") & F.col("_entry") & stays).select(*names)
+    rows = _followed(df, key, entry, ts, seq, within_seconds)
+    return rows.where(F.col("_entry") & (F.col("_late") | F.col("_again"))).select(*df.columns)
+
+
+def timeouts(
+    df: DataFrame, key: str, entry: Column, ts: str = "rowtime", seq: str = "seq", within_seconds: int = WITHIN_SECONDS
+) -> DataFrame:
+    """Only those bounces of a table whose pattern timed out."""
+    rows = _followed(df, key, entry, ts, seq, within_seconds)
+    return rows.where(F.col("_entry") & F.col("_late")).select(*df.columns)
 
 
 def next_row(df: DataFrame, key: str, ts: str, seq: str, value: str) -> DataFrame:

@@ -53,10 +53,11 @@ def split_log(log: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def route_log(log: DataFrame) -> DataFrame:
+def route_log(log: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """All outputs of the click log as ``topic, value`` rows in a single pass over the input.
 
     The rows of a record are built side by side and exploded, so the input is parsed once for five topics.
+    ``keep`` names columns of the record that travel beside its messages.
     """
 
     def message(topic: str, *columns: Column | str) -> Column:
@@ -79,7 +80,8 @@ def route_log(log: DataFrame) -> DataFrame:
         when(is_page & F.col("actions").isNotNull(), each("actions", ACTION_TOPIC, "action")),
         when(is_page, F.array(message(PAGE_TOPIC, "page", "common", "ts"))),
     )
-    return log.select(F.explode(messages).alias("m")).select("m.topic", "m.value")
+    kept = keep or []
+    return log.select(*kept, F.explode(messages).alias("m")).select(*kept, "m.topic", "m.value")
 
 
 def route_changes(changes: DataFrame, config: DataFrame) -> DataFrame:

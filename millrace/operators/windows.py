@@ -65,11 +65,14 @@ def tumble_distinct(
     return decorate(total, now)
 
 
-def buffered(df: DataFrame, fn, schema: str, keys: list[str], length: str = LENGTH, ts: str = "rowtime") -> DataFrame:
-    """Window function over all buffered rows of a window and key, for logic that has no incremental form.
+def buffered(
+    df: DataFrame, columns: list[str], order: list[str], keys: list[str], length: str = LENGTH, ts: str = "rowtime"
+) -> DataFrame:
+    """All rows of a window and key as an ordered array ``rows``, for logic that has no incremental form.
 
-    ``fn`` gets one pandas frame per (window, key); use ``tumble`` wherever a sum or a count will do.
+    The logic follows as higher-order functions over the array. The array is as long as the key has rows in
+    one window, so use ``tumble`` wherever a sum or a count will do.
     """
-    windowed = df.withColumn("window", F.window(ts, length))
-    windowed = windowed.withColumn("stt", times.second("window.start")).withColumn("edt", times.second("window.end"))
-    return windowed.drop("window").groupBy("stt", "edt", *keys).applyInPandas(fn, schema)
+    item = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *columns)
+    rows = df.groupBy(F.window(ts, length), *keys).agg(F.array_sort(F.collect_list(item)).alias("rows"))
+    return rows.withColumn("stt", times.second("window.start")).withColumn("edt", times.second("window.end")).drop("window")

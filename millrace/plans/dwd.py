@@ -13,8 +13,9 @@ from millrace.operators.bounce import WITHIN_SECONDS, bounces
 from millrace.operators.changes import entry_page
 from millrace.operators.enrich import lookup
 from millrace.operators.joins import OPEN_WAIT, ORDER_WAIT, REFUND_WAIT, bounded_join
-from millrace.operators.routing import split_log
+from millrace.operators.routing import DIRTY_TOPIC, route_log, split_log
 from millrace.operators.visitors import first_per_day, repair_new_visitor
+from millrace.sources.topics import page_time, split_dirty
 
 # States of orders, payments and refunds.
 ORDER_CANCELLED = "1003"
@@ -34,7 +35,15 @@ def repaired_log(log: DataFrame) -> DataFrame:
     return fixed.withColumn("common", F.col("common").withField("is_new", F.col("_fixed"))).drop("_fixed")
 
 
+def log_messages(raw: DataFrame) -> DataFrame:
+    """Raw log text to messages ``seq, topic, value`` for all six topics, unreadable text included."""
+    good, dirty = split_dirty(raw, schemas.TRAFFIC_LOG)
+    messages = route_log(repaired_log(page_time(good)), keep=["seq"])
+    return messages.unionByName(dirty.select("seq", F.lit(DIRTY_TOPIC).alias("topic"), "value"))
+
+
 def log_split(log: DataFrame) -> dict[str, DataFrame]:
+    """The typed outputs by topic. Persist ``log`` first where several of them are written."""
     return split_log(repaired_log(log))
 
 

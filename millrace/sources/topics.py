@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace import schemas
 
@@ -57,7 +57,7 @@ def raw_text(df: DataFrame, value: str = "value") -> DataFrame:
 
 def split_dirty(raw: DataFrame, schema: StructType, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """(rows that parse, with the schema's columns; raw text of the rows that do not)."""
-    wide = StructType(schema.fields).add(_BROKEN, "string")
+    wide = StructType([*schema.fields, StructField(_BROKEN, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
     parsed = raw_text(raw, value).withColumn("_doc", F.from_json(value, wide, options))
     rest = [c for c in raw.columns if c != value]
