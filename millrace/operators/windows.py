@@ -41,7 +41,8 @@ def per_member(
     df: DataFrame, keys: list[str], member: str, measures: list[str], length: str = LENGTH, ts: str = "rowtime"
 ) -> DataFrame:
     """Sums per window, key and member: the inner level of an exact distinct count."""
-    return df.groupBy(F.window(ts, length), *keys, member).agg(*sums(*measures))
+    aggs = sums(*measures) or [F.count(F.lit(1)).alias("_rows")]
+    return df.groupBy(F.window(ts, length), *keys, member).agg(*aggs)
 
 
 def tumble_distinct(
