@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks.base import NOW_MS, check, now_ms
 from checks.inputs import bounds, day, text
 from millrace.functions import times
+from millrace.functions.values import once
 from millrace.operators.joins import OPEN_WAIT
 
 from millrace.plans import ads, dim, dwd, dws
@@ -77,16 +78,10 @@ UNION ALL SELECT 'dirty_data', seq, NULL, NULL, NULL, NULL FROM lg WHERE seq % 5
 )
 def _(spark, folder):
     messages = dwd.log_messages(sample.traffic_topic(spark, folder))
-    dirty = F.col("topic") == "dirty_data"
-    value = lambda path: F.when(~dirty, F.get_json_object("value", path))
-    return messages.select(
-        "topic",
-        "seq",
-        value("$.common.mid").alias("mid"),
-        value("$.common.is_new").alias("is_new"),
-        value("$.ts").cast("long").alias("ts"),
-        F.coalesce(value("$.display.item"), value("$.action.item")).alias("item"),
-    )
+    seen = "common struct<mid:string,is_new:string>, ts long, display map<string,string>, action map<string,string>"
+    rows = once(messages, ["topic", "seq"], r=F.when(F.col("topic") != "dirty_data", F.from_json("value", seen)))
+    item = F.coalesce(F.col("r.display")["item"], F.col("r.action")["item"]).alias("item")
+    return rows.select("topic", "seq", "r.common.mid", "r.common.is_new", "r.ts", item)
 
 
 @check("q3_unique_visitors", "SELECT seq, mid, page_id, ts_ms AS ts, vc FROM uv")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONEY = "decimal(16,2)"
@@ -42,3 +42,13 @@ def listed(names: Column | str, name: Column | str) -> Column:
 
 def joined_key(*parts: Column | str) -> Column:
     return F.concat_ws("_", *[_col(p) for p in parts])
+
+
+def once(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """``keep`` and the given columns, each evaluated a single time per row.
+
+    An expensive expression such as a JSON parse is otherwise copied by the optimizer into every filter and
+    field access above it. Generated rows stop that: one array entry per row, taken apart again.
+    """
+    made = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select(*keep, F.inline(F.array(made)))

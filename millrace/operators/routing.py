@@ -53,12 +53,14 @@ def split_log(log: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def route_log(log: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def route_log(log: DataFrame, keep: list[str] | None = None, dirty: Column | None = None) -> DataFrame:
     """All outputs of the click log as ``topic, value`` rows in a single pass over the input.
 
     The rows of a record are built side by side and exploded, so the input is parsed once for five topics.
-    ``keep`` names columns of the record that travel beside its messages.
+    ``keep`` names columns of the record that travel beside its messages. ``dirty`` is the text of a record
+    that could not be read, and null for all others.
     """
+    unread = dirty if dirty is not None else F.lit(None).cast("string")
 
     def message(topic: str, *columns: Column | str) -> Column:
         return F.struct(F.lit(topic).alias("topic"), F.to_json(F.struct(*columns)).alias("value"))
@@ -69,13 +71,14 @@ def route_log(log: DataFrame, keep: list[str] | None = None) -> DataFrame:
     def each(items: str, topic: str, name: str) -> Column:
         return F.transform(F.col(items), lambda item: message(topic, "page", "common", "ts", item.alias(name)))
 
-    is_page = F.col("start").isNull()
+    is_page = F.col("start").isNull() & unread.isNull()
     messages = F.concat(
+        when(unread.isNotNull(), F.array(F.struct(F.lit(DIRTY_TOPIC).alias("topic"), unread.alias("value")))),
         when(
             F.col("err").isNotNull(),
             F.array(message(ERR_TOPIC, "common", "page", "start", "err", "displays", "actions", "ts")),
         ),
-        when(~is_page, F.array(message(START_TOPIC, "common", "page", "start", "displays", "actions", "ts"))),
+        when(F.col("start").isNotNull(), F.array(message(START_TOPIC, "common", "page", "start", "displays", "actions", "ts"))),
         when(is_page & F.col("displays").isNotNull(), each("displays", DISPLAY_TOPIC, "display")),
         when(is_page & F.col("actions").isNotNull(), each("actions", ACTION_TOPIC, "action")),
         when(is_page, F.array(message(PAGE_TOPIC, "page", "common", "ts"))),

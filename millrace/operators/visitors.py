@@ -35,7 +35,7 @@ def repair_new_visitor(
     """Add ``out``: the new-visitor flag, corrected by the first visit of the key.
 
     The first record fixes a date for good: its own day if it says "new", the day before otherwise. A later
-    "new" on any other day becomes ``'0'``. Everything else stays as it is.
+    "new" on any other day becomes ``'0'``. Everything else stays as it is, rows without a time included.
     """
     flagged = df.withColumn("_is_new", F.col(is_new)).withColumn("_key", F.col(key))
     if df.isStreaming:
@@ -45,7 +45,7 @@ def repair_new_visitor(
     day = times.day(ts)
     origin = F.when(F.col("_is_new") == "1", day).otherwise(times.day_before(ts))
     per_key = flagged.groupBy("_key").agg(
-        F.min_by(origin, F.struct(ts, seq)).alias("_origin"), F.count(F.lit(1)).alias("_rows")
+        F.min_by(origin, F.when(F.col(ts).isNotNull(), F.struct(ts, seq))).alias("_origin"), F.count(F.lit(1)).alias("_rows")
     )
     per_key = per_key.withColumnRenamed("_key", "_visitor")
     joined = join_per_key(

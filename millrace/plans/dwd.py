@@ -13,9 +13,9 @@ from millrace.operators.bounce import WITHIN_SECONDS, bounces
 from millrace.operators.changes import entry_page
 from millrace.operators.enrich import lookup
 from millrace.operators.joins import OPEN_WAIT, ORDER_WAIT, REFUND_WAIT, bounded_join
-from millrace.operators.routing import DIRTY_TOPIC, route_log, split_log
+from millrace.operators.routing import route_log, split_log
 from millrace.operators.visitors import first_per_day, repair_new_visitor
-from millrace.sources.topics import page_time, split_dirty
+from millrace.sources.topics import page_time, parsed, unreadable
 
 # States of orders, payments and refunds.
 ORDER_CANCELLED = "1003"
@@ -37,9 +37,12 @@ def repaired_log(log: DataFrame) -> DataFrame:
 
 def log_messages(raw: DataFrame) -> DataFrame:
     """Raw log text to messages ``seq, topic, value`` for all six topics, unreadable text included."""
-    good, dirty = split_dirty(raw, schemas.TRAFFIC_LOG)
-    messages = route_log(repaired_log(page_time(good)), keep=["seq"])
-    return messages.unionByName(dirty.select("seq", F.lit(DIRTY_TOPIC).alias("topic"), "value"))
+    names = [f.name for f in schemas.TRAFFIC_LOG.fields]
+    log = parsed(raw, schemas.TRAFFIC_LOG)
+    # what was read of a broken record before the break must not count as a visit
+    read = [F.when(~unreadable(), F.col("_doc")[n]).alias(n) for n in names]
+    log = log.select("seq", F.when(unreadable(), F.col("value")).alias("_dirty"), *read)
+    return route_log(repaired_log(page_time(log)), keep=["seq"], dirty=F.col("_dirty"))
 
 
 def log_split(log: DataFrame) -> dict[str, DataFrame]:

@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: A reference table of at most this many rows is sent to every task.
+SMALL_ROWS = 100_000
+
 # Dictionary codes and the names they stand for in tests and examples.
 DICTIONARY = [
     ("1101", "alipay"),
@@ -27,8 +30,24 @@ DICTIONARY = [
 ]
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
+    """Rows as a literal relation, whose exact size the planner knows (unlike that of a local collection)."""
+    shown = lambda v: "NULL" if v is None else "'" + str(v).replace("'", "\\'") + "'"
+    values = ", ".join(f"({', '.join(map(shown, row))})" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
+
+
 def dictionary(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DICTIONARY, "dic_code string, dic_name string")
+    return literal_table(spark, DICTIONARY, "dic_code, dic_name")
+
+
+def small(dim: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Mark a reference table for broadcast if it is counted to be small, and leave it as it is otherwise.
+
+    Needed where the planner knows no size, as with JDBC. Unmarked, the table is joined by a shuffle.
+    """
+    counted = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if counted <= max_rows else dim
 
 
 def jdbc_options(url: str, table: str, user: str, password: str, driver: str = "com.mysql.cj.jdbc.Driver") -> dict:
@@ -36,7 +55,7 @@ def jdbc_options(url: str, table: str, user: str, password: str, driver: str = "
 
 
 def jdbc_lookup(spark: SparkSession, columns: list[str], **connection: str) -> DataFrame:
-    return spark.read.format("jdbc").options(**jdbc_options(**connection)).load().select(*columns)
+    return small(spark.read.format("jdbc").options(**jdbc_options(**connection)).load().select(*columns))
 
 
 def per_batch(load: Callable[[SparkSession], DataFrame], use: Callable[[DataFrame, DataFrame, int], None]):

@@ -13,6 +13,23 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.functions import times
+from millrace.functions.values import once
+from millrace.sources.lookups import literal_table
+
+
+#: Sizes between which a table is worth dealing out: below it is trivial, above it has several splits anyway.
+DEAL_OUT_BYTES = (1 << 20, 128 << 20)
+
+
+def deal_out(df: DataFrame) -> DataFrame:
+    """A table that fits into a single input split, dealt out to all cores instead of read by one task.
+
+    The planner's size of the table is checked, so a table of several splits is never shuffled here.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    low, high = DEAL_OUT_BYTES
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if low <= size <= high and len(df.inputFiles()) < cores else df
 
 
 class StreamFolder(str):
@@ -33,6 +50,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     df = spark.read.parquet(path)
     if name in getattr(folder, "streams", ()):
         df = spark.readStream.schema(df.schema).parquet(path)
+    else:
+        df = deal_out(df)
     casts = [F.col(c).cast("timestamp").alias(c) if t == "timestamp_ntz" else F.col(c) for c, t in df.dtypes]
     return df.select(*casts)
 
@@ -125,7 +144,7 @@ def traffic_topic(spark: SparkSession, folder: str, items: bool = False) -> Data
         .when(F.col("seq") % 50 == 11, F.lit(None))
         .otherwise(text)
     )
-    return log.select("seq", value.alias("value"))
+    return once(log.withColumn("_text", value), ["seq"], value=F.col("_text"))
 
 
 # --- change log --------------------------------------------------------------------------------------
@@ -340,10 +359,14 @@ CONFIG_CHANGES = [
 
 
 def config_changes(spark: SparkSession) -> DataFrame:
-    from pyspark.sql.types import LongType, StructField, StructType
-
-    schema = StructType([StructField("seq", LongType()), *schemas.CONFIG_CHANGE.fields])
-    return spark.createDataFrame(CONFIG_CHANGES, schema)
+    """The changes above as a literal relation, with the size known to the planner."""
+    fields = ["source_table", "sink_table", "sink_columns", "sink_pk", "sink_extended"]
+    flat = [(seq, op, *(before or (None,) * 5), *(after or (None,) * 5)) for seq, op, before, after in CONFIG_CHANGES]
+    names = ["seq", "op", *[f"b_{f}" for f in fields], *[f"a_{f}" for f in fields]]
+    rows = literal_table(spark, flat, ", ".join(names))
+    image = lambda p: F.struct(*[F.col(f"{p}_{f}").cast("string").alias(f) for f in fields])
+    before, after = F.when(F.col("b_source_table").isNotNull(), image("b")), F.when(F.col("a_source_table").isNotNull(), image("a"))
+    return rows.select(F.col("seq").cast("long").alias("seq"), "op", before.alias("before"), after.alias("after"))
 
 
 def dimension_log(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,11 +6,12 @@ the raw ``value`` column is the same for a topic, for files and for a batch tabl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace import schemas
+from millrace.functions.values import once
 
 _BROKEN = "_broken"
 
@@ -55,15 +56,24 @@ def raw_text(df: DataFrame, value: str = "value") -> DataFrame:
     return df.withColumn(value, F.col(value).cast("string")).where(F.col(value).isNotNull())
 
 
-def split_dirty(raw: DataFrame, schema: StructType, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(rows that parse, with the schema's columns; raw text of the rows that do not)."""
+def parsed(raw: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
+    """Raw text beside its parsed record ``_doc``; null ``_doc`` fields and ``_broken`` tell unreadable text."""
     wide = StructType([*schema.fields, StructField(_BROKEN, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
-    parsed = raw_text(raw, value).withColumn("_doc", F.from_json(value, wide, options))
     rest = [c for c in raw.columns if c != value]
-    broken = F.col(f"_doc.{_BROKEN}").isNotNull() | F.col("_doc").isNull()
-    good = parsed.where(~broken).select(*rest, *[F.col("_doc")[f.name].alias(f.name) for f in schema.fields])
-    dirty = parsed.where(broken).select(*rest, value)
+    return once(raw_text(raw, value), [*rest, value], _doc=F.from_json(value, wide, options))
+
+
+def unreadable() -> Column:
+    return F.col(f"_doc.{_BROKEN}").isNotNull() | F.col("_doc").isNull()
+
+
+def split_dirty(raw: DataFrame, schema: StructType, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(rows that parse, with the schema's columns; raw text of the rows that do not)."""
+    rows = parsed(raw, schema, value)
+    rest = [c for c in raw.columns if c != value]
+    good = rows.where(~unreadable()).select(*rest, *[F.col("_doc")[f.name].alias(f.name) for f in schema.fields])
+    dirty = rows.where(unreadable()).select(*rest, value)
     return good, dirty
 
 

@@ -63,7 +63,7 @@ def _run(
 
 
 def _in_order(rows: Iterator[Row]) -> list[Row]:
-    return sorted(rows, key=lambda r: (r["_micros"], _rank(r["_seq"])))
+    return sorted(rows, key=lambda r: (-1 if r["_micros"] is None else r["_micros"], _rank(r["_seq"])))
 
 
 def _rank(seq: str | None) -> tuple:
@@ -124,10 +124,10 @@ class _NewVisitor(StatefulProcessor):
         origin = self._origin.get()[0] if self._origin.exists() else None
         for row in _in_order(rows):
             is_new = row["_is_new"]
-            if origin is None:
+            if origin is None and row["_day"] is not None:
                 origin = row["_day"] if is_new == "1" else row["_day_before"]
                 self._origin.update((origin,))
-            stale = is_new == "1" and row["_day"] != origin
+            stale = is_new == "1" and row["_day"] not in (None, origin)
             yield Row(_ts=row["_ts"], _payload=row["_payload"], fixed="0" if stale else is_new)
 
     def close(self) -> None:

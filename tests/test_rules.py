@@ -199,20 +199,21 @@ RECORDS = [
     (4, '{"common":{"mid":"m"},"page":{"page_id":"home"},"actions":[{"item":"9"}],"ts":4000}'),
     (5, '{"common": broken'),
     (6, None),
+    (7, '{"common":{"mid":"m","is_new":"1"},"page":{"page_id":"home"},"ts":"x'),
 ]
 
 
 def test_log_split(spark):
     raw = spark.createDataFrame(RECORDS, "seq long, value string")
     good, dirty = topics.split_dirty(raw, schemas.TRAFFIC_LOG)
-    assert rows_of(dirty) == [(5, '{"common": broken')]
+    assert rows_of(dirty, "seq") == [(5,), (7,)]
     outputs = dwd.log_split(topics.page_time(good))
     ids = {topic.split("_")[-2]: [r[0] for r in rows_of(df, "seq")] for topic, df in outputs.items()}
     assert ids == {"err": [1, 2], "start": [1], "page": [2, 3, 4], "display": [3, 3], "action": [4]}
     assert "err" not in outputs[routing.START_TOPIC].columns and "err" in outputs[routing.ERR_TOPIC].columns
     routed = dwd.log_messages(raw)
     counts = {r[0]: r[1] for r in routed.groupBy("topic").count().collect()}
-    assert {t: df.count() for t, df in outputs.items()} | {routing.DIRTY_TOPIC: 1} == counts
+    assert {t: df.count() for t, df in outputs.items()} | {routing.DIRTY_TOPIC: 2} == counts
 
 
 def test_configured_dimensions(spark, tmp_path):
