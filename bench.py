@@ -1,7 +1,7 @@
 """Time the headline jobs on local cores: prints one JSON line.
 
 Every job is run into a sink that reads all rows and keeps none, once to warm up and then a few times; the
-median counts. Set BENCH_STREAMS=1 to time three jobs in their streaming form as well.
+median counts. Set BENCH_STREAMS=1 to time the streaming forms once as well.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -31,22 +30,6 @@ def timed(spark, name: str) -> float:
     return time.perf_counter() - began
 
 
-def streams(spark) -> dict:
-    """Rows per second and state left over, with the input cut into files of equal size."""
-    from checks import streams as forms
-
-    results = {}
-    for name, form in forms.BENCH.items():
-        scratch = tempfile.mkdtemp(prefix="millrace-bench-")
-        rows, source = forms.cut_files(spark, FOLDER, name, f"{scratch}/in", 20)
-        began = time.perf_counter()
-        query = forms.run_form(spark, FOLDER, form, source, scratch)
-        seconds = time.perf_counter() - began
-        state = forms.state_size(query)
-        results[name] = {"sec": round(seconds, 3), "rows_per_sec": round(rows / seconds), "state_rows": state["rows"], "state_bytes": state["bytes"]}
-    return results
-
-
 def main() -> None:
     conf = {"spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g")}
     spark = build_session("bench", f"local[{CPUS}]", **conf)
@@ -65,7 +48,7 @@ def main() -> None:
         "cpus": int(CPUS),
     }
     if os.environ.get("BENCH_STREAMS"):
-        result["streams"] = streams(spark)
+        result["streams"] = {n: round(timed(spark, n), 3) for n in CATALOG if n.startswith("stream_")}
     print(json.dumps(result), flush=True)
     spark.stop()
 

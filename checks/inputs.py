@@ -223,4 +223,5 @@ INPUTS["flat_sku"] = f"""
 SELECT {text('p_partkey')} AS sku_id, p_name AS sku_name, p_brand AS trademark_id,
   CASE WHEN p_brand <> 'Brand#13' THEN upper(p_brand) END AS trademark_name, p_type AS category3_id,
   lower(p_type) AS category3_name, p_type[1] AS category2_id, 'c2-' || p_type[1] AS category2_name,
-  '1' AS category1_id, 'all' AS category1_name, {text('p_size')} AS spu_id, 'spu-' || p_size AS spu_name FROM part"""
+  CASE WHEN p_type[1] < 'M' THEN '1' ELSE '2' END AS category1_id,
+  'c1-' || CASE WHEN p_type[1] < 'M' THEN '1' ELSE '2' END AS category1_name, {text('p_size')} AS spu_id, 'spu-' || p_size AS spu_name FROM part"""

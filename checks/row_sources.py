@@ -5,13 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.base import NOW_MS, check, now_ms
-from checks.inputs import bounds, day, stamp, text
+from checks.inputs import bounds, day, text
 from checks.jobs import facts, page_view_summary, province_summary
 from millrace import schemas
-from millrace.operators.dedup import latest_row
 from millrace.operators.unions import union_all
-from millrace.operators.visitors import first_per_day
-from millrace.operators.windows import per_member
 from millrace.plans import dim, dwd, dws
 from millrace.sinks import dimensions, external, tables
 from millrace.sources import lookups, sample, topics
@@ -168,16 +165,15 @@ def _(spark, folder):
 
 @check(
     "k5_declared_sink_columns",
-    f"""SELECT {bounds('b', '10 SECOND')}, order_count, CAST(sum(total) OVER () AS DECIMAL(38,2)) AS all_amount FROM (
+    f"""SELECT {bounds('b', '10 SECOND')}, order_count, CAST(total AS DECIMAL(38,2)) AS order_amount FROM (
   SELECT time_bucket(INTERVAL '10 seconds', ts) AS b, count(DISTINCT order_id) AS order_count, sum(total) AS total
   FROM facts GROUP BY b)""",
 )
 def _(spark, folder):
-    rows = dws._amounts(latest_row(facts(spark, folder), ["id"], ["row_op_ts", "seq"]))
-    rows = rows.withColumn("all", F.lit("x"))
-    wide = dws.tumble_distinct(rows, ["all"], "order_id", "order_count", ["order_amount"], now=now_ms())
-    total = wide.agg(F.sum("order_amount").cast("decimal(38,2)").alias("all_amount"))
-    return tables.sink_columns(wide.crossJoin(total), ["stt", "edt", "order_count", "all_amount"])
+    rows = dws.latest_amounts(facts(spark, folder), [], ["order_amount"])
+    wide = dws.tumble_distinct(rows, [], "order_id", "order_count", ["order_amount"], now=now_ms())
+    wide = wide.withColumn("order_amount", F.col("order_amount").cast("decimal(38,2)"))
+    return tables.sink_columns(wide, ["stt", "edt", "order_count", "order_amount"])
 
 
 @check(

@@ -60,7 +60,7 @@ def _(spark, folder):
 FROM (SELECT {TEN} AS b, * FROM facts) GROUP BY b, sku_id""",
 )
 def _(spark, folder):
-    rows = dws._amounts(latest_row(facts(spark, folder), ["id"], ["row_op_ts", "seq"]))
+    rows = dws.latest_amounts(facts(spark, folder), ["sku_id"], ["order_amount"])
     out = tumble_distinct(rows, ["sku_id"], "order_id", "order_count", ["order_amount"]).drop("ts")
     return out.withColumn("order_amount", F.col("order_amount").cast("decimal(38,2)"))
 

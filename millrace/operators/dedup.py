@@ -12,20 +12,26 @@ from pyspark.sql import functions as F
 Order = list[str | Column]
 
 
-def _pick(df: DataFrame, keys: list[str], order: Order, how) -> DataFrame:
-    kept = df.groupBy(*keys).agg(how(F.struct(*df.columns), F.struct(*order)).alias("_row"))
-    return kept.select(*[F.col("_row")[c].alias(c) for c in df.columns])
+def _pick(df: DataFrame, keys: list[str], order: Order, how, columns: list[str] | None) -> DataFrame:
+    out = columns or df.columns
+    carried = [c for c in out if c not in keys]
+    row = F.struct(*carried) if carried else F.lit(True)
+    kept = df.groupBy(*keys).agg(how(row, F.struct(*order)).alias("_row"))
+    return kept.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in out])
 
 
-def first_row(df: DataFrame, keys: list[str], order: Order) -> DataFrame:
-    return _pick(df, keys, order, F.min_by)
+def first_row(df: DataFrame, keys: list[str], order: Order, columns: list[str] | None = None) -> DataFrame:
+    return _pick(df, keys, order, F.min_by, columns)
 
 
-def latest_row(df: DataFrame, keys: list[str], order: Order) -> DataFrame:
-    return _pick(df, keys, order, F.max_by)
+def latest_row(df: DataFrame, keys: list[str], order: Order, columns: list[str] | None = None) -> DataFrame:
+    """``columns`` cuts the rows down before they are shuffled."""
+    return _pick(df, keys, order, F.max_by, columns)
 
 
-def latest_version(df: DataFrame, keys: list[str], version: str, seq: str) -> DataFrame:
+def latest_version(
+    df: DataFrame, keys: list[str], version: str, seq: str, columns: list[str] | None = None
+) -> DataFrame:
     """Latest version per key, ties to the later arrival; works on batch tables and on streams.
 
     A stream gives the rows of a key a settling time, counted from the first of them, and then emits the
@@ -34,5 +40,5 @@ def latest_version(df: DataFrame, keys: list[str], version: str, seq: str) -> Da
     if df.isStreaming:
         from millrace.streaming.stateful import settle_latest
 
-        return settle_latest(df, keys, version, seq)
-    return latest_row(df, keys, [version, seq])
+        return settle_latest(df, keys, version, seq).select(*(columns or df.columns))
+    return latest_row(df, keys, [version, seq], columns)

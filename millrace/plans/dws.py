@@ -79,18 +79,24 @@ def cart_users(carts: DataFrame, length: str = LENGTH, now: Column | None = None
     return tumble(firsts, count, None, length, now=now).select(*schemas.CART_ADD_UU_WINDOW)
 
 
-def _amounts(facts: DataFrame) -> DataFrame:
-    """Amounts as decimals; optional reductions count as zero."""
-    return facts.select(
-        "id", "order_id", "user_id", "sku_id", "province_id", "rowtime",
-        F.col("split_original_amount").cast(MONEY).alias("order_origin_total_amount"),
-        or_zero(F.col("split_activity_amount").cast(MONEY)).cast(MONEY).alias("order_activity_reduce_amount"),
-        or_zero(F.col("split_coupon_amount").cast(MONEY)).cast(MONEY).alias("order_coupon_reduce_amount"),
-        F.col("split_total_amount").cast(MONEY).alias("order_amount"),
+def latest_amounts(facts: DataFrame, dims: list[str], amounts: list[str]) -> DataFrame:
+    """Latest version of every order line with the given dimensions and amounts, and nothing else.
+
+    Amounts are decimals; optional reductions count as zero.
+    """
+    rows = facts.select(
+        "id", "row_op_ts", "seq", "order_id", "rowtime", *dims, *[_AMOUNTS[a]().alias(a) for a in amounts]
     )
+    return latest_version(rows, ["id"], "row_op_ts", "seq", ["id", "order_id", "rowtime", *dims, *amounts])
 
 
-_SKU_AMOUNTS = ["order_origin_total_amount", "order_activity_reduce_amount", "order_coupon_reduce_amount", "order_amount"]
+_AMOUNTS = {
+    "order_origin_total_amount": lambda: F.col("split_original_amount").cast(MONEY),
+    "order_activity_reduce_amount": lambda: or_zero(F.col("split_activity_amount").cast(MONEY)).cast(MONEY),
+    "order_coupon_reduce_amount": lambda: or_zero(F.col("split_coupon_amount").cast(MONEY)).cast(MONEY),
+    "order_amount": lambda: F.col("split_total_amount").cast(MONEY),
+}
+_SKU_AMOUNTS = list(_AMOUNTS)
 
 
 def sku_order_sums(facts: DataFrame, length: str = LENGTH, now: Column | None = None) -> DataFrame:
@@ -99,7 +105,7 @@ def sku_order_sums(facts: DataFrame, length: str = LENGTH, now: Column | None =
     A user's first order line of the day counts for the product it is of, so only the total over all products
     is a number of users.
     """
-    rows = _amounts(latest_version(facts, ["id"], "row_op_ts", "seq"))
+    rows = latest_amounts(facts, ["user_id", "sku_id"], _SKU_AMOUNTS)
     count = "order_uu_count"
     if rows.isStreaming:
         from millrace.streaming.stateful import flag_first_per_day
@@ -135,7 +141,7 @@ def sku_orders(
 
 def province_orders(facts: DataFrame, provinces: DataFrame, length: str = LENGTH, now: Column | None = None) -> DataFrame:
     """Orders and amount per province and window; an unknown province keeps an empty name."""
-    rows = _amounts(latest_version(facts, ["id"], "row_op_ts", "seq"))
+    rows = latest_amounts(facts, ["province_id"], ["order_amount"])
     rows = tumble_distinct(rows, ["province_id"], "order_id", "order_count", ["order_amount"], length, now=now)
     rows = enrich(rows, provinces, "province_id", {"name": "province_name"})
     rows = rows.withColumn("province_name", F.coalesce("province_name", F.lit("")))

@@ -49,7 +49,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     path = f"{folder}/{name}.parquet"
     df = spark.read.parquet(path)
     if name in getattr(folder, "streams", ()):
-        df = spark.readStream.schema(df.schema).parquet(path)
+        # a stream reads a folder or a pattern, not a single file
+        df = spark.readStream.schema(df.schema).parquet(f"{folder}/{name}*.parquet")
     else:
         df = deal_out(df)
     casts = [F.col(c).cast("timestamp").alias(c) if t == "timestamp_ntz" else F.col(c) for c, t in df.dtypes]
@@ -418,6 +419,7 @@ def sku_dims(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Product dimensions out of ``part``; one brand has no entry of its own."""
     part = table(spark, folder, "part")
     head = F.substring("p_type", 1, 1)
+    half = F.when(head < "M", "1").otherwise("2")
     return {
         "dim_sku_info": part.select(
             _text("p_partkey").alias("id"),
@@ -434,9 +436,9 @@ def sku_dims(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             F.col("p_type").alias("id"), F.lower("p_type").alias("name"), head.alias("category2_id")
         ).distinct(),
         "dim_base_category2": part.select(
-            head.alias("id"), F.concat(F.lit("c2-"), head).alias("name"), F.lit("1").alias("category1_id")
+            head.alias("id"), F.concat(F.lit("c2-"), head).alias("name"), half.alias("category1_id")
         ).distinct(),
-        "dim_base_category1": part.select(F.lit("1").alias("id"), F.lit("all").alias("name")).distinct(),
+        "dim_base_category1": part.select(half.alias("id"), F.concat(F.lit("c1-"), half).alias("name")).distinct(),
     }
 
 
