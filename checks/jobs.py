@@ -18,6 +18,9 @@ HOUR = "1 hour"
 SIX_HOURS = 6 * 3600
 
 
+PRE_PROCESS = ["order_detail", "order_info", "order_detail_activity", "order_detail_coupon"]
+
+
 def province_summary(spark, folder, versions: bool = False):
     rows = dws.province_orders(sample.order_facts(spark, folder).withColumn("rowtime", F.timestamp_seconds("ts")),
                                sample.provinces(spark, folder), now=now_ms())
@@ -96,12 +99,12 @@ def _(spark, folder):
 
 @check("q5_cart_adds", "SELECT id, user_id, sku_id, sku_num, source_type_code, source_type_name, ts FROM cart_add")
 def _(spark, folder):
-    return dwd.cart_adds(sample.change_log(spark, folder), lookups.dictionary(spark))
+    return dwd.cart_adds(sample.change_log(spark, folder, "cart_info"), lookups.dictionary(spark))
 
 
 @check("q6_order_pre_process", "SELECT * FROM pre")
 def _(spark, folder):
-    pre = dwd.order_pre_process(sample.change_log(spark, folder), lookups.dictionary(spark))
+    pre = pre_processed(spark, folder)
     return pre.withColumn("old_status", F.col("old")["order_status"]).drop("old", "row_op_ts")
 
 
@@ -111,7 +114,7 @@ _DETAIL = """id, order_id, user_id, sku_id, sku_name, province_id, activity_id,
 
 
 def pre_processed(spark, folder):
-    return dwd.order_pre_process(sample.change_log(spark, folder), lookups.dictionary(spark))
+    return dwd.order_pre_process(sample.change_log(spark, folder, *PRE_PROCESS), lookups.dictionary(spark))
 
 
 @check("q7_order_details", f"SELECT {_DETAIL}, date_id, create_time, od_ts AS ts FROM pre WHERE type = 'insert'")
@@ -140,8 +143,8 @@ FROM pre JOIN pay ON pre.order_id = pay.order_id AND pay.kind = 'update' AND pay
 JOIN dic ON payment_type = dic_code WHERE pre.type = 'insert'""",
 )
 def _(spark, folder):
-    changes, dic = sample.change_log(spark, folder), lookups.dictionary(spark)
-    details = dwd.order_details(dwd.order_pre_process(changes, dic))
+    changes, dic = sample.change_log(spark, folder, "payment_info"), lookups.dictionary(spark)
+    details = dwd.order_details(pre_processed(spark, folder))
     details = details.withColumn("event_time", times.from_seconds("ts"))
     return dwd.payments(details, changes, dic).drop("row_op_ts")
 
@@ -157,7 +160,7 @@ FROM ri JOIN oi ON ri.order_id = oi.id AND kind = 'update' AND order_status = '1
 JOIN dic t ON refund_type = t.dic_code JOIN dic r ON refund_reason_type = r.dic_code""",
 )
 def _(spark, folder):
-    return dwd.order_refunds(sample.change_log(spark, folder), lookups.dictionary(spark)).drop("row_op_ts")
+    return dwd.order_refunds(sample.change_log(spark, folder, "order_refund_info", "order_info"), lookups.dictionary(spark)).drop("row_op_ts")
 
 
 @check(
@@ -171,7 +174,8 @@ JOIN ri ON rp.order_id = ri.order_id AND rp.sku_id = ri.sku_id AND ri.was_moved
 JOIN dic ON payment_type = dic_code WHERE rp.refund_status = '0701'""",
 )
 def _(spark, folder):
-    return dwd.refund_payments(sample.change_log(spark, folder), lookups.dictionary(spark)).drop("row_op_ts")
+    changes = sample.change_log(spark, folder, "refund_payment", "order_info", "order_refund_info")
+    return dwd.refund_payments(changes, lookups.dictionary(spark)).drop("row_op_ts")
 
 
 @check(

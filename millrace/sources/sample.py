@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace import schemas
 from millrace.functions import times
@@ -21,15 +22,32 @@ from millrace.sources.lookups import literal_table
 DEAL_OUT_BYTES = (1 << 20, 128 << 20)
 
 
-def deal_out(df: DataFrame) -> DataFrame:
-    """A table that fits into a single input split, dealt out to all cores instead of read by one task.
+#: Schema of a table file, and whether its rows are dealt out; found once per file.
+_KNOWN: dict[str, tuple[StructType, bool]] = {}
 
-    The planner's size of the table is checked, so a table of several splits is never shuffled here.
+
+def _known(spark: SparkSession, path: str) -> tuple[StructType, bool]:
+    if path not in _KNOWN:
+        df = spark.read.parquet(path)
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        low, high = DEAL_OUT_BYTES
+        _KNOWN[path] = df.schema, low <= size <= high and len(df.inputFiles()) < spark.sparkContext.defaultParallelism
+    return _KNOWN[path]
+
+
+def source(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A test table as a batch or, for the tables a ``StreamFolder`` names, as a stream.
+
+    A table that fits into a single input split is dealt out to all cores instead of being read by one task.
+    The planner's size of the table decides that, so a table of several splits is never shuffled here.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    low, high = DEAL_OUT_BYTES
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if low <= size <= high and len(df.inputFiles()) < cores else df
+    path = f"{folder}/{name}.parquet"
+    schema, single = _known(spark, path)
+    if name in getattr(folder, "streams", ()):
+        # a stream reads a folder or a pattern, not a single file
+        return spark.readStream.schema(schema).parquet(f"{folder}/{name}*.parquet")
+    df = spark.read.schema(schema).parquet(path)
+    return df.repartition(spark.sparkContext.defaultParallelism) if single else df
 
 
 class StreamFolder(str):
@@ -46,57 +64,38 @@ class StreamFolder(str):
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A test table with its zone-less timestamps read as instants of the session zone."""
-    path = f"{folder}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if name in getattr(folder, "streams", ()):
-        # a stream reads a folder or a pattern, not a single file
-        df = spark.readStream.schema(df.schema).parquet(f"{folder}/{name}*.parquet")
-    else:
-        df = deal_out(df)
-    casts = [F.col(c).cast("timestamp").alias(c) if t == "timestamp_ntz" else F.col(c) for c, t in df.dtypes]
-    return df.select(*casts)
+    df = source(spark, folder, name)
+    return df.selectExpr(*[f"CAST({c} AS TIMESTAMP) AS {c}" if t == "timestamp_ntz" else c for c, t in df.dtypes])
 
 
 def _text(value: Column | str) -> Column:
     return (F.col(value) if isinstance(value, str) else value).cast("string")
 
 
-def _pick(column: str, pairs: list[tuple[str, str | None]]) -> Column:
-    chain = F
-    for key, value in pairs:
-        chain = chain.when(F.col(column) == key, F.lit(value).cast("string"))
-    return chain
-
-
 # --- click log ---------------------------------------------------------------------------------------
 
 
 def page_views(spark: SparkSession, folder: str, items: bool = False) -> DataFrame:
     """Flat click log. ``items`` also looks the searched item up, which costs a join."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    views = table(spark, folder, "events").withColumn("k", k)
-    user = _text("user_id")
-    views = views.select(
-        F.col("event_id").alias("seq"),
+    views = table(spark, folder, "events").selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
+    views = views.selectExpr(
+        "event_id AS seq",
         "ts",
-        F.unix_millis("ts").alias("ts_ms"),
+        "unix_millis(ts) AS ts_ms",
         "k",
         "event_type",
-        user.alias("mid"),
-        F.when(F.col("k") % 5 != 0, user).alias("uid"),
-        F.concat(F.lit("v"), F.col("user_id") % 4).alias("vc"),
-        F.concat(F.lit("ch"), F.col("user_id") % 5).alias("ch"),
-        F.concat(F.lit("ar"), F.col("user_id") % 7).alias("ar"),
-        F.when(F.col("k") % 2 == 0, "1").otherwise("0").alias("is_new"),
-        _pick(
-            "event_type",
-            [("view", "home"), ("click", "good_list"), ("purchase", "good_detail"), ("signup", "login"), ("error", "error")],
-        ).alias("page_id"),
-        _pick("event_type", [("view", ""), ("signup", ""), ("error", None), ("click", "search"), ("purchase", "login")]).alias(
-            "last_page_id"
-        ),
-        F.lit("keyword").alias("item_type"),
-        F.round(F.col("value") * 1000).cast("long").alias("during_time"),
+        "CAST(user_id AS STRING) AS mid",
+        "CASE WHEN k % 5 != 0 THEN CAST(user_id AS STRING) END AS uid",
+        "concat('v', user_id % 4) AS vc",
+        "concat('ch', user_id % 5) AS ch",
+        "concat('ar', user_id % 7) AS ar",
+        "CASE WHEN k % 2 = 0 THEN '1' ELSE '0' END AS is_new",
+        "CASE event_type WHEN 'view' THEN 'home' WHEN 'click' THEN 'good_list' WHEN 'purchase' THEN 'good_detail' "
+        "WHEN 'signup' THEN 'login' WHEN 'error' THEN 'error' END AS page_id",
+        "CASE event_type WHEN 'view' THEN '' WHEN 'signup' THEN '' WHEN 'click' THEN 'search' WHEN 'purchase' THEN 'login' END "
+        "AS last_page_id",
+        "'keyword' AS item_type",
+        "CAST(round(value * 1000) AS BIGINT) AS during_time",
     )
     if not items:
         return views.withColumn("item", F.lit(None).cast("string"))
@@ -151,8 +150,13 @@ def traffic_topic(spark: SparkSession, folder: str, items: bool = False) -> Data
 # --- change log --------------------------------------------------------------------------------------
 
 
-def _map(**values: Column) -> Column:
-    return F.create_map(*[part for name, value in values.items() for part in (F.lit(name), _text(value))])
+def _map(**values: str) -> Column:
+    """Map of text values from SQL expressions, written as one expression to keep query building quick."""
+    return F.expr("map(" + ", ".join(f"'{name}', CAST({value} AS STRING)" for name, value in values.items()) + ")")
+
+
+def _code(code: str) -> str:
+    return f"'{code}'"
 
 
 def _change(df: DataFrame, name: str, kind: Column | str, ts: Column, data: Column, old: Column | None = None) -> DataFrame:
@@ -179,153 +183,145 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
     return line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def _line_id() -> Column:
-    return F.col("l_orderkey") * 10 + F.col("l_linenumber")
+_LINE_ID = "l_orderkey * 10 + l_linenumber"
+_PRICE = "CAST(l_extendedprice AS DECIMAL(16,2))"
 
 
-def _price() -> Column:
-    return F.col("l_extendedprice").cast("decimal(16,2)")
+def _share(rate: str) -> str:
+    return f"CAST({_PRICE} * CAST({rate} AS DECIMAL(4,2)) AS DECIMAL(16,2))"
 
 
-def _share(rate: str) -> Column:
-    return (_price() * F.col(rate).cast("decimal(4,2)")).cast("decimal(16,2)")
-
-
-def _later(seconds: Column | int) -> Column:
-    return times.second(F.timestamp_seconds(F.col("t0") + seconds))
+def _later(seconds: int) -> str:
+    return f"date_format(timestamp_seconds(t0 + {seconds}), 'yyyy-MM-dd HH:mm:ss')"
 
 
 def cart_info(spark: SparkSession, folder: str) -> DataFrame:
     v = page_views(spark, folder)
-    kinds = [("view", "insert"), ("click", "update"), ("purchase", "update"), ("signup", "delete"), ("error", "update")]
-    old = (
-        F.when(F.col("event_type") == "click", _map(sku_num=F.col("seq") % 9))
-        .when(F.col("event_type") == "purchase", _map(source_type=F.lit("2401")))
-        .when(F.col("event_type") == "error", _map(sku_num=F.lit("n/a")))
+    kind = F.expr("CASE event_type WHEN 'view' THEN 'insert' WHEN 'signup' THEN 'delete' ELSE 'update' END")
+    old = F.expr(
+        "CASE event_type WHEN 'click' THEN map('sku_num', CAST(seq % 9 AS STRING)) "
+        "WHEN 'purchase' THEN map('source_type', '2401') WHEN 'error' THEN map('sku_num', 'n/a') END"
     )
-    source = F.concat(F.lit("240"), F.col("mid").cast("long") % 4 + 1)
-    data = _map(id=F.col("seq"), user_id=F.col("mid"), sku_id=F.col("k"), source_type=source, sku_num=F.col("k") % 7 + 1)
-    return _change(v, "cart_info", _pick("event_type", kinds), F.unix_seconds("ts"), data, old)
+    source = "concat('240', CAST(mid AS BIGINT) % 4 + 1)"
+    data = _map(id="seq", user_id="mid", sku_id="k", source_type=source, sku_num="k % 7 + 1")
+    return _change(v, "cart_info", kind, F.unix_seconds("ts"), data, old)
 
 
 def order_info(spark: SparkSession, folder: str) -> DataFrame:
     o = _orders(spark, folder)
 
-    def branch(kind: str, delay: int, status: str, keep: Column | None, old: Column | None) -> DataFrame:
+    def branch(kind: str, delay: int, status: str, keep: str | None, old: Column | None) -> DataFrame:
         rows = o if keep is None else o.where(keep)
         data = _map(
-            id=F.col("o_orderkey"),
-            user_id=F.col("o_custkey"),
-            province_id=F.col("o_custkey") % 25,
+            id="o_orderkey",
+            user_id="o_custkey",
+            province_id="o_custkey % 25",
             operate_time=_later(delay),
-            order_status=F.lit(status),
+            order_status=_code(status),
         )
-        return _change(rows, "order_info", kind, F.col("t0") + delay, data, old)
+        return _change(rows, "order_info", kind, F.expr(f"t0 + {delay}"), data, old)
 
-    was = lambda code: _map(order_status=F.lit(code))
-    state, key = F.col("o_orderstatus"), F.col("o_orderkey")
+    was = lambda code: _map(order_status=_code(code))
     branches = [
         branch("insert", 0, "1001", None, None),
-        branch("update", 60, "1003", state == "P", was("1001")),
-        branch("update", 60, "1002", state == "F", was("1001")),
-        branch("update", 120, "1005", key % 5 == 0, was("1002")),
-        branch("update", 180, "1006", key % 10 == 0, was("1005")),
-        branch("update", 240, "1003", key % 7 == 0, _map(operate_time=_later(0))),
+        branch("update", 60, "1003", "o_orderstatus = 'P'", was("1001")),
+        branch("update", 60, "1002", "o_orderstatus = 'F'", was("1001")),
+        branch("update", 120, "1005", "o_orderkey % 5 = 0", was("1002")),
+        branch("update", 180, "1006", "o_orderkey % 10 = 0", was("1005")),
+        branch("update", 240, "1003", "o_orderkey % 7 = 0", _map(operate_time=_later(0))),
     ]
     return reduce(DataFrame.unionByName, branches)
 
 
 def order_detail(spark: SparkSession, folder: str) -> DataFrame:
     data = _map(
-        id=_line_id(),
-        order_id=F.col("l_orderkey"),
-        sku_id=F.col("l_partkey"),
-        sku_name=F.concat(F.lit("sku-"), F.col("l_partkey")),
+        id=_LINE_ID,
+        order_id="l_orderkey",
+        sku_id="l_partkey",
+        sku_name="concat('sku-', l_partkey)",
         create_time=_later(0),
-        source_id=F.col("l_suppkey"),
-        source_type=F.concat(F.lit("240"), F.col("l_suppkey") % 4 + 1),
-        sku_num=F.col("l_quantity").cast("int"),
-        order_price=_price(),
-        split_total_amount=_price(),
-        split_activity_amount=F.when(F.col("l_linenumber") % 3 != 0, _share("l_discount")),
-        split_coupon_amount=F.when(F.col("l_linenumber") % 2 != 0, _share("l_tax")),
+        source_id="l_suppkey",
+        source_type="concat('240', l_suppkey % 4 + 1)",
+        sku_num="CAST(l_quantity AS INT)",
+        order_price=_PRICE,
+        split_total_amount=_PRICE,
+        split_activity_amount=f"CASE WHEN l_linenumber % 3 != 0 THEN {_share('l_discount')} END",
+        split_coupon_amount=f"CASE WHEN l_linenumber % 2 != 0 THEN {_share('l_tax')} END",
     )
-    ts = F.col("t0") + (F.col("l_linenumber") - 1) * 200
-    return _change(_lines(spark, folder), "order_detail", "insert", ts, data)
+    return _change(_lines(spark, folder), "order_detail", "insert", F.expr("t0 + (l_linenumber - 1) * 200"), data)
 
 
 def _order_positions(spark: SparkSession, folder: str) -> DataFrame:
     """Each order with its seven possible line numbers."""
-    o = _orders(spark, folder).withColumn("ln", F.explode(F.sequence(F.lit(1), F.lit(7))))
-    return o.withColumn("line_id", F.col("o_orderkey") * 10 + F.col("ln"))
+    o = _orders(spark, folder).selectExpr("*", "explode(sequence(1, 7)) AS ln")
+    return o.selectExpr("*", "o_orderkey * 10 + ln AS line_id")
 
 
 def order_detail_activity(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _order_positions(spark, folder).where(F.col("ln") % 3 != 0)
-    data = _map(order_detail_id=F.col("line_id"), activity_id=F.col("o_orderkey") % 10, activity_rule_id=F.col("ln"))
-    return _change(rows, "order_detail_activity", "insert", F.col("t0") + F.col("ln") * 5, data)
+    rows = _order_positions(spark, folder).where("ln % 3 != 0")
+    data = _map(order_detail_id="line_id", activity_id="o_orderkey % 10", activity_rule_id="ln")
+    return _change(rows, "order_detail_activity", "insert", F.expr("t0 + ln * 5"), data)
 
 
 def order_detail_coupon(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _order_positions(spark, folder).where(F.col("ln") % 2 == 1)
-    data = _map(order_detail_id=F.col("line_id"), coupon_id=F.col("o_orderkey") % 4)
-    ts = F.col("t0") + F.when(F.col("o_orderkey") % 6 == 0, 2000).otherwise(5)
+    rows = _order_positions(spark, folder).where("ln % 2 = 1")
+    data = _map(order_detail_id="line_id", coupon_id="o_orderkey % 4")
+    ts = F.expr("t0 + CASE WHEN o_orderkey % 6 = 0 THEN 2000 ELSE 5 END")
     return _change(rows, "order_detail_coupon", "insert", ts, data)
 
 
 def payment_info(spark: SparkSession, folder: str) -> DataFrame:
-    o = _orders(spark, folder)
     data = _map(
-        user_id=F.col("o_custkey"),
-        order_id=F.col("o_orderkey"),
-        payment_type=F.concat(F.lit("110"), F.col("o_orderkey") % 4 + 1),
+        user_id="o_custkey",
+        order_id="o_orderkey",
+        payment_type="concat('110', o_orderkey % 4 + 1)",
         callback_time=_later(90),
-        payment_status=F.when(F.col("o_orderstatus") != "O", "1602").otherwise("1601"),
+        payment_status="CASE WHEN o_orderstatus != 'O' THEN '1602' ELSE '1601' END",
     )
-    kind = F.when(F.col("o_orderkey") % 8 == 0, "insert").otherwise("update")
-    return _change(o, "payment_info", kind, F.col("t0") + 90, data)
+    kind = F.expr("CASE WHEN o_orderkey % 8 = 0 THEN 'insert' ELSE 'update' END")
+    return _change(_orders(spark, folder), "payment_info", kind, F.expr("t0 + 90"), data)
 
 
 def order_refund_info(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _lines(spark, folder).where(F.col("l_returnflag") == "R")
+    lines = _lines(spark, folder).where("l_returnflag = 'R'")
 
     def data(status: str) -> Column:
         return _map(
-            id=_line_id(),
-            user_id=F.col("o_custkey"),
-            order_id=F.col("l_orderkey"),
-            sku_id=F.col("l_partkey"),
-            refund_type=F.concat(F.lit("150"), F.col("l_suppkey") % 3 + 1),
-            refund_num=F.col("l_quantity").cast("int"),
-            refund_amount=_price(),
-            refund_reason_type=F.concat(F.lit("130"), F.col("l_partkey") % 8 + 1),
-            refund_reason_txt=F.concat(F.lit("line "), F.col("l_linenumber")),
+            id=_LINE_ID,
+            user_id="o_custkey",
+            order_id="l_orderkey",
+            sku_id="l_partkey",
+            refund_type="concat('150', l_suppkey % 3 + 1)",
+            refund_num="CAST(l_quantity AS INT)",
+            refund_amount=_PRICE,
+            refund_reason_type="concat('130', l_partkey % 8 + 1)",
+            refund_reason_txt="concat('line ', l_linenumber)",
             create_time=_later(120),
-            refund_status=F.lit(status),
+            refund_status=_code(status),
         )
 
-    old = F.when(F.col("l_linenumber") <= 5, _map(refund_status=F.lit("0702"))).otherwise(_map(refund_num=F.lit("0")))
-    made = _change(lines, "order_refund_info", "insert", F.col("t0") + 116 + F.col("l_linenumber") * 2, data("0701"))
-    paid = _change(lines, "order_refund_info", "update", F.col("t0") + 200, data("0705"), old)
+    old = F.expr("CASE WHEN l_linenumber <= 5 THEN map('refund_status', '0702') ELSE map('refund_num', '0') END")
+    made = _change(lines, "order_refund_info", "insert", F.expr("t0 + 116 + l_linenumber * 2"), data("0701"))
+    paid = _change(lines, "order_refund_info", "update", F.expr("t0 + 200"), data("0705"), old)
     return made.unionByName(paid)
 
 
 def refund_payment(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _lines(spark, folder).where(F.col("l_returnflag") == "R")
+    lines = _lines(spark, folder).where("l_returnflag = 'R'")
     data = _map(
-        id=_line_id(),
-        order_id=F.col("l_orderkey"),
-        sku_id=F.col("l_partkey"),
-        payment_type=F.concat(F.lit("110"), F.col("l_suppkey") % 4 + 1),
+        id=_LINE_ID,
+        order_id="l_orderkey",
+        sku_id="l_partkey",
+        payment_type="concat('110', l_suppkey % 4 + 1)",
         callback_time=_later(210),
-        total_amount=_price(),
-        refund_status=F.when(F.col("l_linenumber") % 4 != 0, "0701").otherwise("0702"),
+        total_amount=_PRICE,
+        refund_status="CASE WHEN l_linenumber % 4 != 0 THEN '0701' ELSE '0702' END",
     )
-    return _change(lines, "refund_payment", "update", F.col("t0") + 210, data, _map(refund_status=F.lit("0703")))
+    return _change(lines, "refund_payment", "update", F.expr("t0 + 210"), data, _map(refund_status=_code("0703")))
 
 
-def change_log(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole change topic, decoded."""
+def change_log(spark: SparkSession, folder: str, *tables: str) -> DataFrame:
+    """The change topic, decoded: all its tables, or only the named ones."""
     parts = [
         cart_info,
         order_info,
@@ -336,7 +332,7 @@ def change_log(spark: SparkSession, folder: str) -> DataFrame:
         order_refund_info,
         refund_payment,
     ]
-    return reduce(DataFrame.unionByName, [part(spark, folder) for part in parts])
+    return reduce(DataFrame.unionByName, [p(spark, folder) for p in parts if not tables or p.__name__ in tables])
 
 
 def change_topic(changes: DataFrame) -> DataFrame:
@@ -386,25 +382,26 @@ def dimension_log(spark: SparkSession, folder: str) -> DataFrame:
     customer = table(spark, folder, "customer")
     region = table(spark, folder, "region")
     brand = part.groupBy("p_brand").agg(F.min("p_partkey").alias("first"))
-    key = F.col("p_partkey")
     sku = _map(
-        id=key, sku_name=F.col("p_name"), tm_id=F.col("p_brand"), category3_id=F.col("p_type"), spu_id=F.col("p_size"),
-        price=F.col("p_retailprice").cast("decimal(16,2)"),
+        id="p_partkey", sku_name="p_name", tm_id="p_brand", category3_id="p_type", spu_id="p_size",
+        price="CAST(p_retailprice AS DECIMAL(16,2))",
     )
-    province = _map(id=F.col("n_nationkey"), name=F.col("n_name"), region_id=F.col("n_regionkey"), iso_code=F.col("n_name"))
+    province = _map(id="n_nationkey", name="n_name", region_id="n_regionkey", iso_code="n_name")
+    every = lambda n, left=0: part.where(f"p_partkey % {n} = {left}")
+    none = F.lit(None).cast("map<string,string>")
     return reduce(
         DataFrame.unionByName,
         [
             rows(part, "sku_info", "bootstrap-insert", 1, sku),
-            rows(part.where(key % 100 == 1), "sku_info", "bootstrap-start", 2, sku),
-            rows(part.where(key % 3 == 0), "sku_info", "update", 3, _map(id=key, sku_name=F.upper("p_name"), price=F.lit("1"))),
-            rows(part.where(key % 9 == 0), "sku_info", "update", 4, _map(id=key, tm_id=F.lit("Brand#0"))),
-            rows(part.where(key % 27 == 0), "sku_info", "delete", 5, _map(id=key, spu_id=F.lit("0"))),
-            rows(part.where(key % 11 == 0), "sku_info", "insert", 6, F.lit(None).cast("map<string,string>")),
+            rows(every(100, 1), "sku_info", "bootstrap-start", 2, sku),
+            rows(every(3), "sku_info", "update", 3, _map(id="p_partkey", sku_name="upper(p_name)", price="1")),
+            rows(every(9), "sku_info", "update", 4, _map(id="p_partkey", tm_id="'Brand#0'")),
+            rows(every(27), "sku_info", "delete", 5, _map(id="p_partkey", spu_id="0")),
+            rows(every(11), "sku_info", "insert", 6, none),
             rows(nation, "base_province", "insert", 1, province),
-            rows(brand, "base_trademark", "insert", 1, _map(id=F.col("p_brand"), tm_name=F.upper("p_brand"))),
-            rows(customer, "user_info", "insert", 1, _map(id=F.col("c_custkey"), name=F.col("c_name"))),
-            rows(region, "base_region", "insert", 1, _map(id=F.col("r_regionkey"), name=F.col("r_name"))),
+            rows(brand, "base_trademark", "insert", 1, _map(id="p_brand", tm_name="upper(p_brand)")),
+            rows(customer, "user_info", "insert", 1, _map(id="c_custkey", name="c_name")),
+            rows(region, "base_region", "insert", 1, _map(id="r_regionkey", name="r_name")),
         ],
     )
 
@@ -453,22 +450,18 @@ def order_facts(spark: SparkSession, folder: str) -> DataFrame:
     rows = line.join(order, F.col("l_orderkey") == F.col("o_orderkey")).join(
         customer, F.col("o_custkey") == F.col("c_custkey"), "left"
     )
-    rows = rows.select(
-        _text(_line_id()).alias("id"),
-        _text("l_orderkey").alias("order_id"),
-        _text("o_custkey").alias("user_id"),
-        _text("l_partkey").alias("sku_id"),
-        _text("c_nationkey").alias("province_id"),
-        F.unix_seconds("o_orderdate").alias("ts"),
-        F.col("l_shipdate").alias("row_op_ts"),
-        _price().alias("split_original_amount"),
-        F.when(F.col("l_linenumber") % 3 != 0, _share("l_discount")).alias("split_activity_amount"),
-        F.when(F.col("l_linenumber") % 2 != 0, _share("l_tax")).alias("split_coupon_amount"),
-        F.struct("l_partkey", "l_suppkey", "l_extendedprice").alias("seq"),
-    )
-    total = (
-        F.col("split_original_amount")
-        - F.coalesce("split_activity_amount", F.lit(0).cast("decimal(16,2)"))
-        - F.coalesce("split_coupon_amount", F.lit(0).cast("decimal(16,2)"))
+    rows = rows.selectExpr(
+        f"CAST({_LINE_ID} AS STRING) AS id",
+        "CAST(l_orderkey AS STRING) AS order_id",
+        "CAST(o_custkey AS STRING) AS user_id",
+        "CAST(l_partkey AS STRING) AS sku_id",
+        "CAST(c_nationkey AS STRING) AS province_id",
+        "unix_seconds(o_orderdate) AS ts",
+        "l_shipdate AS row_op_ts",
+        f"{_PRICE} AS split_original_amount",
+        f"CASE WHEN l_linenumber % 3 != 0 THEN {_share('l_discount')} END AS split_activity_amount",
+        f"CASE WHEN l_linenumber % 2 != 0 THEN {_share('l_tax')} END AS split_coupon_amount",
+        "struct(l_partkey, l_suppkey, l_extendedprice) AS seq",
     )
-    return rows.withColumn("split_total_amount", total.cast("decimal(16,2)"))
+    total = "split_original_amount - coalesce(split_activity_amount, 0) - coalesce(split_coupon_amount, 0)"
+    return rows.selectExpr("*", f"CAST({total} AS DECIMAL(16,2)) AS split_total_amount")

@@ -170,8 +170,7 @@ def test_cart_adds_with_static_dictionary(spark, stream_of, drain):
 def test_order_pre_process_of_streams(spark, stream_of, drain):
     """Inner and left outer joins with a bounded wait, in one query."""
     dic = lookups.dictionary(spark)
-    folder = SMALL
-    log = sample.change_log(spark, folder).where(F.col("table").isin("order_detail", "order_info", "order_detail_activity", "order_detail_coupon"))
+    log = sample.change_log(spark, SMALL, "order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
     log = log.where(F.coalesce(F.col("data")["order_id"], F.col("data")["id"], F.expr("data['order_detail_id'] div 10")).cast("long") % 10 < 9).persist()
     sec = log.withColumn("_sec", F.unix_seconds("event_time"))
     far = [
