@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import check, now_ms
+from checks.base import check
 from checks.inputs import text
 from checks.jobs import facts, pre_processed
-from millrace.functions import cdc, text as text_functions, times
+from millrace.functions import cdc, text as text_functions
 from millrace.operators.enrich import enrich, flatten_sku, lookup
 from millrace.operators.joins import ORDER_WAIT, bounded_join
 from millrace.operators.routing import route_changes
 from millrace.operators.changes import clean_changes
-from millrace.plans import dwd, dws
 from millrace.sources import lookups, sample
 
 

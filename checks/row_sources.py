@@ -10,7 +10,7 @@ from checks.jobs import facts, page_view_summary, province_summary
 from millrace import schemas
 from millrace.operators.unions import union_all
 from millrace.plans import dim, dwd, dws
-from millrace.sinks import dimensions, external, tables
+from millrace.sinks import external, tables
 from millrace.sources import lookups, sample, topics
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from checks.base import check
 from checks.inputs import day
 from checks.jobs import SIX_HOURS, facts
-from millrace import schemas
 from millrace.functions import text, times
 from millrace.operators.bounce import timeouts
 from millrace.operators.changes import entry_page, is_login
@@ -15,7 +14,6 @@ from millrace.operators.enrich import enrich
 from millrace.operators.joins import ORDER_WAIT, bounded_join
 from millrace.operators.routing import action_rows, display_rows, split_log
 from millrace.operators.visitors import first_per_day, login_days, repair_new_visitor
-from millrace.operators.windows import tumble
 from millrace.operators.dedup import latest_version
 from millrace.plans import dwd
 from millrace.sources import lookups, sample, topics

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.base import NOW_MS, check, now_ms
-from checks.inputs import bounds, stamp
+from checks.inputs import bounds
 from checks.jobs import HOUR, SIX_HOURS, carts, facts, page_view_summary, province_summary
 from millrace import schemas
 from millrace.functions.values import flag, is_blank

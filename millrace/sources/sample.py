@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace import schemas
-from millrace.functions import times
 from millrace.functions.values import once
 from millrace.sources.lookups import literal_table
 
