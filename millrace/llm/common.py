@@ -66,3 +66,10 @@ def ids_and_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
+
+
+def tokenizer_file(name: str) -> str:
+    """Where the installed package of public tokenizers has ``name``; every operator takes such a path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

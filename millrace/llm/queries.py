@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup, quality_rules
-from millrace.llm.common import read_table
+from millrace.llm import exact_dedup, packing, quality_rules, token_files
+from millrace.llm.common import read_table, tokenizer_file
 from millrace.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,13 @@ FROM keyed
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     return quality_rules.judge(docs, quality_rules.fit(docs, read_table(spark, folder, "labels")))
+
+
+@query
+def op1_hierarchical_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read_table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@query
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.through_files(read_table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"), 49_408)
