@@ -1,21 +1,18 @@
 """Whole texts to token ids with a ``tokenizers`` file, remembering what each chunk between spaces encodes to.
 
 Words repeat, and encoding them is slow; the tokenizer only sees chunks that a worker hasn't met lately. That is exact for
-tokenizers which never join a letter or sign to what stands before a single space or line break. Texts with any other white
+tokenizers which never join anything across a single space or line break, nor letters with a point or comma. Texts with any other white
 space, or with two blanks in a row, go to the tokenizer whole.
 """
 
 from __future__ import annotations
 
 import os
-import re
+import sys
+from array import array
 
 import numpy as np
 
-#: Anything but single spaces and line breaks between other characters.
-_ODD = re.compile(r"[^\S \n]|[ \n]{2}|\A[ \n]|[ \n]\Z|\A\Z|\x00")
-
-
 class ChunkEncoder:
     """Texts to the bytes of their ids. One is kept per worker process, tokenizer and integer type."""
 
@@ -29,11 +26,14 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = np.dtype(dtype)
+        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
+        if sys.byteorder != "little" or array(self.code).itemsize != self.dtype.itemsize:
+            raise RuntimeError("ids are kept as little-endian integers")
         self.most_chunks = most_chunks
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes | None] = {}
 
     @classmethod
-    def get(cls, path: str, dtype: str = "<u4", most_chunks: int = 400_000) -> ChunkEncoder:
+    def get(cls, path: str, dtype: str = "<u4", most_chunks: int = 800_000) -> ChunkEncoder:
         key = (path, dtype, most_chunks)
         if key not in cls._kept:
             cls._kept[key] = cls(path, dtype, most_chunks)
@@ -41,26 +41,55 @@ class ChunkEncoder:
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+        return [array(self.code, e.ids).tobytes() for e in found]
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Encode new chunks. A word with a line break before it or one point or comma after it is put together from its parts.
+
+        A chunk with further blanks in it, or nothing else, is noted as None: its texts are encoded whole.
+        """
+        known, build, bare = self.known, [], set()
+        for chunk in chunks:
+            head, body, tail = "", chunk, ""
+            plain = chunk[1:] if chunk[:1] in ("\n", "\x00") else chunk
+            if "\x00" in plain or plain.split() != [plain]:
+                known[chunk] = None
+                continue
+            if body[0] == "\n":
+                head, body = "\x00\n", f"\x00{body[1:]}"
+            if body[-1] in ".,":
+                body, tail = body[:-1], f"\x00{body[-1]}"
+            if body is chunk or not body.removeprefix("\x00").isalpha():
+                bare.add(chunk)
+            else:
+                bare.update(x for x in (head, body, tail) if x and x not in known)
+                build.append((chunk, head, body, tail))
+        new = list(bare)
+        known.update(zip(new, self.whole([x[1:] if x[0] == "\x00" else x if x[0] == "\n" else f" {x}" for x in new]), strict=True))
+        for chunk, head, body, tail in build:
+            known[chunk] = (known[head] if head else b"") + known[body] + (known[tail] if tail else b"")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes of the chosen type."""
-        parts: list[list[str] | None] = []
-        missing: set[str] = set()
-        known = self.known
-        if len(known) > self.most_chunks:
-            known.clear()
+        parts: list[list[str]] = []
+        seen: set[str] = set()
+        if len(self.known) > self.most_chunks:
+            self.known.clear()
         for text in texts:
-            if _ODD.search(text):
-                parts.append(None)
-                continue
             # a chunk keeps its line break; the first one is marked, since no space stands before it
-            split = ("\x00" + text).replace("\n", " \n").split(" ")
+            split = f"\x00{text}".replace("\n", " \n").split(" ")
             parts.append(split)
-            missing.update(split)
-        missing.difference_update(known)
-        if missing:
-            new = list(missing)
-            known.update(zip(new, self.whole([x[1:] if x[0] == "\x00" else x if x[0] == "\n" else f" {x}" for x in new]), strict=True))
-        odd = iter(self.whole([t for t, p in zip(texts, parts, strict=True) if p is None]))
-        return [next(odd) if p is None else b"".join(map(known.__getitem__, p)) for p in parts]
+            seen.update(split)
+        if missing := seen.difference(self.known):
+            self._learn(missing)
+        found: list[bytes | None] = []
+        known = self.known.__getitem__
+        for split in parts:
+            try:
+                found.append(b"".join(map(known, split)))
+            except TypeError:  # one of its chunks is None
+                found.append(None)
+        if odd := [k for k, ids in enumerate(found) if ids is None]:
+            for k, ids in zip(odd, self.whole([texts[k] for k in odd]), strict=True):
+                found[k] = ids
+        return found
