@@ -73,3 +73,8 @@ def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def pseudonym_key(spark: SparkSession) -> str:
+    """The secret of the pseudonyms: set ``spark.millrace.pseudonym.key``; without it a fixed text for trials is used."""
+    return spark.conf.get("spark.millrace.pseudonym.key", "not a secret")

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup, packing, quality_rules, token_files
-from millrace.llm.common import read_table, tokenizer_file
+from millrace.llm import exact_dedup, language_id, near_dedup, packing, pseudonyms, quality_rules, token_files
+from millrace.llm.common import pseudonym_key, read_table, tokenizer_file
 from millrace.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,18 @@ def op1_hierarchical_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.through_files(read_table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"), 49_408)
+
+
+@query
+def op2_setsketch_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.classes(read_table(spark, folder, "documents"), words=2, percent=80)
+
+
+@query
+def op3_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudonyms.report(read_table(spark, folder, "documents"), pseudonym_key(spark))
+
+
+@query
+def op6_language_mixtures(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(read_table(spark, folder, "documents"))
