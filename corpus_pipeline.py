@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup, quality_rules
-from millrace.llm.common import landed, read_table
+from millrace.llm import exact_dedup, near_dedup, packing, pseudonyms, quality_rules
+from millrace.llm.common import landed, pseudonym_key, read_table, tokenizer_file
 from millrace.session import tune
 
 
@@ -20,7 +20,24 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(docs)
 
 
-STAGES = [("quality_rules", quality), ("exact_dedup", exact)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by near-duplicates (five words, 80 %)."""
+    tune(spark)
+    return near_dedup.deduplicate(docs)
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with pseudonyms in their texts."""
+    return pseudonyms.replace(docs, pseudonym_key(tune(spark)))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences."""
+    tune(spark)
+    return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"))
+
+
+STAGES = [("quality_rules", quality), ("exact_dedup", exact), ("near_dedup", near), ("pseudonyms", private), ("packing", packed)]
 
 #: The stages learn rules, estimate from registers and pack with a tokenizer: SQL can't express them.
 ORACLE_SQL = None

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup, language_id, near_dedup, packing, pseudonyms, quality_rules, token_files
+from millrace.llm import exact_dedup, language_id, near_dedup, ngram_scores, packing, pieces, pseudonyms, quality_rules, token_counts, token_files
 from millrace.llm.common import pseudonym_key, read_table, tokenizer_file
 from millrace.session import tune
 
@@ -67,3 +67,18 @@ def op3_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_language_mixtures(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(read_table(spark, folder, "documents"))
+
+
+@query
+def op4_ngram_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_scores.score(read_table(spark, folder, "documents"))
+
+
+@query
+def op7_unigram_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encode(read_table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@query
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count(read_table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
