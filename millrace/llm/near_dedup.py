@@ -1,9 +1,10 @@
 """Near-duplicate documents: SetSketch bands propose pairs, joint likelihood thins them, full sets decide.
 
 Documents with the same set are one node. In each band bucket all members are first compared with the smallest one, so a
-group of copies costs as many pairs as it has members. Buckets whose members are then not in one component get more hubs,
-up to all of their members, against members of other components only: every pair that shares a bucket and isn't connected
-already is compared, and no bucket is capped.
+group of copies costs as many pairs as it has members. Where a bucket then still holds several components, those outside its
+largest one are compared with all members of other components, block by block: fingerprints of the full sets bound each
+pair's similarity from above, and only pairs that may be similar enough leave the block. So every pair that shares a bucket
+and isn't connected already is compared, no bucket is capped and none meets in one task.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +26,8 @@ from millrace.llm.hashing import shingle_sets, word_hashes
 #: Unless told otherwise: shingles of five words, linked from 80 % on.
 WORDS, PERCENT = 5, 80
 ROWS = 256
-FIRST_HUBS, MORE_HUBS = 4, 8
+#: Members of a bucket that meet in one block, and bits of a fingerprint.
+BLOCK, PRINT = 512, 16
 
 
 def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -96,6 +99,70 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int,
     return landed(both.mapInArrow(verified, f"a {kind}, b {kind}"))
 
 
+def _prints(rows: DataFrame, words: int, kind: str) -> DataFrame:
+    """(id, prints): 16 bits of each shingle of (id, text) rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets(*word_hashes(batch.column("text")), words)
+            prints = [(s >> np.uint64(64 - PRINT)).astype("<u2").tobytes() for s in sets]
+            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "prints": pa.array(prints, pa.binary())})
+
+    return rows.mapInArrow(run, f"id {kind}, prints binary")
+
+
+def _strays(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, percent: int, kind: str) -> DataFrame:
+    """Pairs (a, b) of a bucket that lie in different components and whose sets may be similar enough."""
+    placed = buckets.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    sizes = placed.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n_label"))
+    bands = sizes.groupBy("band").agg(F.max_by("label", "n_label").alias("main"), F.count(F.lit(1)).alias("n_labels"), F.sum("n_label").alias("total"), F.max("n_label").alias("n_main"))
+    loose = placed.drop("members", "hub").join(bands.filter("n_labels > 1").drop("n_labels"), "band")
+    loose = landed(loose.withColumn("stray", F.col("label") != F.col("main")).drop("main"))
+    wanted = loose.select("id").distinct()
+    prints = _prints(texts.join(wanted, "id", "left_semi"), words, kind).groupBy("id").agg(F.any_value("prints").alias("prints"))
+    data = landed(nodes.select("id", "n", "regs").join(prints, "id"))
+    full = loose.join(data, "id")
+    blocks, stray_blocks = (F.ceil(n / BLOCK).cast("int") for n in (F.col("total"), F.col("total") - F.col("n_main")))
+    own = F.xxhash64("id", F.lit(7))
+    keys = ["band", "block", "stray_block"]
+
+    def dealt(rows: DataFrame, mine: str, mine_of, other: str, others, prefix: str) -> DataFrame:
+        rows = rows.withColumn(mine, F.pmod(own, mine_of).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), others - 1)))
+        return rows.select(*[F.col(c).alias(prefix + c) for c in (*keys, "id", "label", "n", "regs", "prints")])
+
+    members = dealt(full, "block", blocks, "stray_block", stray_blocks, "")
+    strays = dealt(full.filter("stray"), "stray_block", stray_blocks, "block", blocks, "stray_")
+
+    def compared(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple] = []
+        right.columns = left.columns
+        if len(left) and len(right):
+            hashes, stray_hashes = (
+                setsketch.band_hashes(np.frombuffer(b"".join(d["regs"]), np.uint16).reshape(len(d), -1)) for d in (left, right)
+            )
+            band = int(np.argmax((stray_hashes == key[0]).any(0)))
+            n, ids, side = left["n"].to_numpy(), left["id"].to_numpy(), left["label"].to_numpy()
+            prints = [np.frombuffer(p, "<u2") for p in left["prints"]]
+            lengths = np.array([len(p) for p in prints])
+            flat, starts = np.concatenate(prints), np.cumsum(lengths) - lengths
+            table = np.zeros(1 << PRINT, bool)
+            for k, row in enumerate(right.itertuples()):
+                same = hashes == stray_hashes[k]
+                # each pair is compared in the first band it shares, and once if both are strays
+                try_ = (same.argmax(1) == band) & same[:, band] & (side != row.label) & (100 * np.minimum(n, row.n) >= percent * np.maximum(n, row.n))
+                if not try_.any():
+                    continue
+                table[np.frombuffer(row.prints, "<u2")] = True
+                common = np.minimum(np.add.reduceat(table[flat], starts, dtype=np.int64), np.minimum(n, row.n))
+                table[np.frombuffer(row.prints, "<u2")] = False
+                for x in ids[try_ & (100 * common >= percent * (n + row.n - common))]:
+                    out.append((min(x, row.id), max(x, row.id)))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    pairs = members.groupBy(*keys).cogroup(strays.groupBy(*[f"stray_{k}" for k in keys])).applyInPandas(compared, f"a {kind}, b {kind}")
+    return pairs.distinct()
+
+
 def classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id (smallest id reachable over links), kept.
 
@@ -115,22 +182,9 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col:
     pairs = buckets.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     links = _confirmed(pairs, nodes, texts, words, percent, kind)
     labels = components(links)
-    hubs = 1
-    while True:
-        placed = buckets.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-        loose = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-        loose = placed.filter(F.col("members") > hubs).join(loose.select("band"), "band", "left_semi")
-        loose = landed(loose.select("band", "id", "label", "members"))
-        if loose.isEmpty():
-            break
-        hubs = FIRST_HUBS if hubs == 1 else hubs * MORE_HUBS
-        drawn = F.pmod(F.xxhash64("band", "id"), F.lit(1 << 30)) * F.col("members") < F.lit(hubs << 30)
-        chosen = loose.filter(drawn | (F.col("members") <= hubs)).select("band", F.col("id").alias("a"), F.col("label").alias("label_a"))
-        more = loose.join(chosen, "band").filter("label <> label_a").select(F.greatest("a", "id").alias("b"), F.least("a", "id").alias("a")).distinct()
-        found = _confirmed(more, nodes, texts, words, percent, kind)
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            labels = components(links)
+    found = landed(_strays(buckets, labels, nodes, texts, words, percent, kind))
+    if not found.isEmpty():
+        labels = components(links.unionByName(_confirmed(found, nodes, texts, words, percent, kind)))
     members = nodes.select("set_key", F.col("id").alias("node")).join(labels, "node", "left")
     members = members.select("set_key", F.coalesce("label", "node").alias("component_id"))
     out = signed.select("id", "n", "set_key").join(members, "set_key", "left")
