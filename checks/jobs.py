@@ -8,7 +8,6 @@ from checks.base import NOW_MS, check, now_ms
 from checks.inputs import bounds, day, text
 from millrace.functions import times
 from millrace.functions.values import once
-from millrace.operators.joins import OPEN_WAIT
 
 from millrace.plans import ads, dim, dwd, dws
 from millrace.sinks.tables import with_day
@@ -139,7 +138,6 @@ SELECT pre.id AS order_detail_id, pre.order_id, pre.user_id, sku_id, sku_name, p
   source_type AS source_type_code, source_type_name, sku_num, split_original_amount, split_activity_amount,
   split_coupon_amount, split_total_amount AS split_payment_amount, {text('pay.sec_at')} AS ts
 FROM pre JOIN pay ON pre.order_id = pay.order_id AND pay.kind = 'update' AND payment_status = '1602'
-  AND abs(CAST(od_ts AS BIGINT) - pay.sec_at) <= {OPEN_WAIT}
 JOIN dic ON payment_type = dic_code WHERE pre.type = 'insert'""",
 )
 def _(spark, folder):

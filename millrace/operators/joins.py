@@ -8,31 +8,33 @@ from pyspark.sql import functions as F
 # How long a row waits for its partner, in seconds.
 ORDER_WAIT = 905
 REFUND_WAIT = 5
-#: Where the original job sets no limit, a stream still needs one.
-OPEN_WAIT = 7 * 24 * 3600
 
 
 def bounded_join(
     left: DataFrame,
     right: DataFrame,
     on: dict[str, str],
-    wait_seconds: int,
+    wait_seconds: int | None,
     how: str = "inner",
     ts: str = "event_time",
 ) -> DataFrame:
     """Equi-join of ``left`` and ``right`` on ``{left column: right column}``, at most ``wait_seconds`` apart.
 
     Both sides carry ``ts``, with a watermark if they are streams. The bound then evicts join state and
-    releases the unmatched rows of a left outer join; a table keeps the same meaning. The right side's keys
-    and time are left out of the result.
+    releases the unmatched rows of a left outer join; a table keeps the same meaning. ``None`` sets no bound,
+    which is for tables only: a stream's caller has to choose one. The right side's keys and time are left out
+    of the result.
     """
+    if wait_seconds is None and (left.isStreaming or right.isStreaming):
+        raise ValueError("a join of streams needs a bound on how long rows wait")
     renamed = {ts: "_right_ts", **{r: f"_right_{i}" for i, r in enumerate(on.values())}}
     keep = [F.col(c).alias(renamed.get(c, c)) for c in right.columns]
     other = right.select(*keep)
     match = [F.col(name) == F.col(renamed[r]) for name, r in on.items()]
-    wait = F.expr(f"INTERVAL {wait_seconds} SECONDS")
-    near = (F.col("_right_ts") >= F.col(ts) - wait) & (F.col("_right_ts") <= F.col(ts) + wait)
-    condition = near
-    for m in match:
+    condition = match[0]
+    for m in match[1:]:
         condition = condition & m
+    if wait_seconds is not None:
+        wait = F.expr(f"INTERVAL {wait_seconds} SECONDS")
+        condition = condition & (F.col("_right_ts") >= F.col(ts) - wait) & (F.col("_right_ts") <= F.col(ts) + wait)
     return left.join(other, condition, how).drop(*renamed.values())

@@ -12,7 +12,7 @@ from millrace.functions.values import MONEY
 from millrace.operators.bounce import WITHIN_SECONDS, bounces
 from millrace.operators.changes import entry_page
 from millrace.operators.enrich import lookup
-from millrace.operators.joins import OPEN_WAIT, ORDER_WAIT, REFUND_WAIT, bounded_join
+from millrace.operators.joins import ORDER_WAIT, REFUND_WAIT, bounded_join
 from millrace.operators.routing import route_log, split_log
 from millrace.operators.visitors import first_per_day, repair_new_visitor
 from millrace.sources.topics import page_time, parsed, unreadable
@@ -127,7 +127,7 @@ def order_cancels(pre: DataFrame) -> DataFrame:
     return rows.select(*schemas.ORDER_CANCEL_DETAIL)
 
 
-def payments(details: DataFrame, changes: DataFrame, dic: DataFrame, wait: int = OPEN_WAIT) -> DataFrame:
+def payments(details: DataFrame, changes: DataFrame, dic: DataFrame, wait: int | None = None) -> DataFrame:
     """Every line of a paid order. ``details`` is the order detail fact with its event time."""
     paid = changes.where(routed("payment_info", "update") & (field("payment_status") == PAYMENT_DONE)).select(
         field("order_id").alias("_order"),
@@ -162,7 +162,7 @@ def order_refunds(changes: DataFrame, dic: DataFrame, now: Column | None = None,
     )
 
 
-def refund_payments(changes: DataFrame, dic: DataFrame, now: Column | None = None, wait: int = OPEN_WAIT) -> DataFrame:
+def refund_payments(changes: DataFrame, dic: DataFrame, now: Column | None = None, wait: int | None = None) -> DataFrame:
     """Refunds that were paid out."""
     paid = changes.where(routed("refund_payment") & transitioned("refund_status", REFUND_PAYMENT_DONE)).select(
         *fields("id", "order_id", "sku_id", "callback_time", "total_amount"),

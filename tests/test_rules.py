@@ -386,3 +386,13 @@ def test_reference_table_is_read_per_batch(spark):
     run(batch, 0)
     run(batch, 1)
     assert [r["name"] for r in seen] == ["old", "new"]
+
+
+def test_join_without_bound(spark):
+    """A partner that comes after eight days is found where no wait is set."""
+    from millrace.operators.joins import bounded_join
+
+    left = spark.sql("SELECT 'o' AS order_id, TIMESTAMP '2024-01-01 00:00:00' AS event_time")
+    right = spark.sql("SELECT 'o' AS id, 'paid' AS state, TIMESTAMP '2024-01-09 00:00:00' AS event_time")
+    assert rows_of(bounded_join(left, right, {"order_id": "id"}, None), "order_id", "state") == [("o", "paid")]
+    assert rows_of(bounded_join(left, right, {"order_id": "id"}, 905)) == []
