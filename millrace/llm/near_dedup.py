@@ -13,7 +13,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +27,8 @@ WORDS, PERCENT = 5, 80
 ROWS = 256
 #: Members of a bucket that meet in one block, and bits of a fingerprint.
 BLOCK, PRINT = 512, 16
+#: 64-bit words of the filter that keeps unneeded texts out of shuffles.
+BIT_WORDS = 1 << 18
 
 
 def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -60,9 +61,24 @@ def _bands(nodes: DataFrame, kind: str) -> DataFrame:
         for batch in batches:
             bands = setsketch.band_hashes(_rows_of(batch.column("regs")))
             row = pa.array(np.repeat(np.arange(len(bands)), setsketch.BANDS))
-            yield pa.RecordBatch.from_pydict({"band": pa.array(bands.reshape(-1)), "id": batch.column("id").take(row)})
+            slot = pa.array(np.tile(np.arange(setsketch.BANDS, dtype=np.int32), len(bands)))
+            yield pa.RecordBatch.from_pydict({"band": pa.array(bands.reshape(-1)), "slot": slot, "id": batch.column("id").take(row)})
 
-    return nodes.select("id", "regs").mapInArrow(run, f"band long, id {kind}")
+    return nodes.select("id", "regs").mapInArrow(run, f"band long, slot int, id {kind}")
+
+
+def _among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The ``rows`` whose id is in ``ids``.
+
+    A table of bits of the wanted ids' hashes is broadcast first, so that hardly any other row is shuffled. It has at most
+    ``BIT_WORDS`` rows of two numbers, whatever the input; where most bits are set, all rows are shuffled.
+    """
+    h = F.xxhash64("id", F.lit(11))
+    word, bit = F.pmod(h, F.lit(BIT_WORDS)).alias("_word"), F.shiftright(h, 32).bitwiseAND(F.lit(63)).cast("int")
+    mask = F.expr("shiftleft(1L, _bit)")
+    bits = ids.select(word, bit.alias("_bit")).groupBy("_word").agg(F.bit_or(mask).alias("_bits"))
+    thin = rows.select("*", word, bit.alias("_bit")).join(F.broadcast(bits), "_word").filter(F.col("_bits").bitwiseAND(mask) != 0)
+    return thin.select(*rows.columns).join(ids, "id", "left_semi")
 
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, percent: int, kind: str) -> DataFrame:
@@ -94,7 +110,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int,
     joined = pairs.join(side(nodes, "b", "n", "regs"), "b").join(side(nodes, "a", "n", "regs"), "a")
     near = joined.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     hopeful = landed(near.mapInArrow(estimated, f"a {kind}, b {kind}"))
-    wanted = texts.join(hopeful.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
+    wanted = _among(texts, hopeful.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     both = hopeful.join(side(wanted, "b", "text"), "b").join(side(wanted, "a", "text"), "a")
     return landed(both.mapInArrow(verified, f"a {kind}, b {kind}"))
 
@@ -119,48 +135,82 @@ def _strays(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, texts: Data
     loose = placed.drop("members", "hub").join(bands.filter("n_labels > 1").drop("n_labels"), "band")
     loose = landed(loose.withColumn("stray", F.col("label") != F.col("main")).drop("main"))
     wanted = loose.select("id").distinct()
-    prints = _prints(texts.join(wanted, "id", "left_semi"), words, kind).groupBy("id").agg(F.any_value("prints").alias("prints"))
+    prints = _prints(_among(texts, wanted), words, kind).groupBy("id").agg(F.any_value("prints").alias("prints"))
     data = landed(nodes.select("id", "n", "regs").join(prints, "id"))
     full = loose.join(data, "id")
     blocks, stray_blocks = (F.ceil(n / BLOCK).cast("int") for n in (F.col("total"), F.col("total") - F.col("n_main")))
     own = F.xxhash64("id", F.lit(7))
     keys = ["band", "block", "stray_block"]
 
-    def dealt(rows: DataFrame, mine: str, mine_of, other: str, others, prefix: str) -> DataFrame:
+    def dealt(rows: DataFrame, mine: str, mine_of, other: str, others, asks: bool) -> DataFrame:
         rows = rows.withColumn(mine, F.pmod(own, mine_of).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), others - 1)))
-        return rows.select(*[F.col(c).alias(prefix + c) for c in (*keys, "id", "label", "n", "regs", "prints")])
-
-    members = dealt(full, "block", blocks, "stray_block", stray_blocks, "")
-    strays = dealt(full.filter("stray"), "stray_block", stray_blocks, "block", blocks, "stray_")
-
-    def compared(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple] = []
-        right.columns = left.columns
-        if len(left) and len(right):
-            hashes, stray_hashes = (
-                setsketch.band_hashes(np.frombuffer(b"".join(d["regs"]), np.uint16).reshape(len(d), -1)) for d in (left, right)
-            )
-            band = int(np.argmax((stray_hashes == key[0]).any(0)))
-            n, ids, side = left["n"].to_numpy(), left["id"].to_numpy(), left["label"].to_numpy()
-            prints = [np.frombuffer(p, "<u2") for p in left["prints"]]
-            lengths = np.array([len(p) for p in prints])
-            flat, starts = np.concatenate(prints), np.cumsum(lengths) - lengths
-            table = np.zeros(1 << PRINT, bool)
-            for k, row in enumerate(right.itertuples()):
-                same = hashes == stray_hashes[k]
-                # each pair is compared in the first band it shares, and once if both are strays
-                try_ = (same.argmax(1) == band) & same[:, band] & (side != row.label) & (100 * np.minimum(n, row.n) >= percent * np.maximum(n, row.n))
-                if not try_.any():
-                    continue
-                table[np.frombuffer(row.prints, "<u2")] = True
-                common = np.minimum(np.add.reduceat(table[flat], starts, dtype=np.int64), np.minimum(n, row.n))
-                table[np.frombuffer(row.prints, "<u2")] = False
-                for x in ids[try_ & (100 * common >= percent * (n + row.n - common))]:
-                    out.append((min(x, row.id), max(x, row.id)))
-        return pd.DataFrame(out, columns=["a", "b"])
-
-    pairs = members.groupBy(*keys).cogroup(strays.groupBy(*[f"stray_{k}" for k in keys])).applyInPandas(compared, f"a {kind}, b {kind}")
-    return pairs.distinct()
+        return rows.select(*keys, F.lit(asks).alias("asks"), "slot", "stray", "id", "label", "n", "regs", "prints")
+
+    members = dealt(full, "block", blocks, "stray_block", stray_blocks, False)
+    strays = dealt(full.filter("stray"), "stray_block", stray_blocks, "block", blocks, True)
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks_of(batches, keys):
+            if found := _pairs_of(block, percent):
+                a, b = zip(*found, strict=True)
+                id_kind = block.schema.field("id").type
+                yield pa.RecordBatch.from_arrays([pa.array(a, id_kind), pa.array(b, id_kind)], ["a", "b"])
+
+    met = members.unionByName(strays).repartition(*keys).sortWithinPartitions(*keys)
+    return met.mapInArrow(compared, f"a {kind}, b {kind}").distinct()
+
+
+def _blocks_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key, one key after the other, of batches that are sorted by key."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        found = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in keys], 1)
+        cuts = [0, *(np.flatnonzero((found[1:] != found[:-1]).any(1)) + 1).tolist(), len(found)]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            key = tuple(found[start].tolist())
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _pairs_of(block: pa.Table, percent: int) -> list[tuple]:
+    """Pairs of a stray and a member of one block, in different components, whose sets may be similar enough.
+
+    A pair is taken up in the first band that it shares, and from the larger id where both are strays.
+    """
+    asks = block.column("asks").to_numpy()
+    left, right = np.flatnonzero(~asks), np.flatnonzero(asks)
+    if not len(left) or not len(right):
+        return []
+    slot = block.column("slot")[0].as_py()
+    ids, label, n, stray = (block.column(c).to_numpy() for c in ("id", "label", "n", "stray"))
+    regs = np.frombuffer(b"".join(block.column("regs").to_pylist()), np.uint16).reshape(len(ids), -1)[:, : setsketch.BANDS * setsketch.ROWS]
+    prints = [np.frombuffer(p, "<u2") for p in block.column("prints").to_pylist()]
+    hit = np.zeros(1 << PRINT, bool)
+    out = []
+    for k in right.tolist():
+        maybe = (label[left] != label[k]) & (100 * np.minimum(n[left], n[k]) >= percent * np.maximum(n[left], n[k]))
+        near = left[maybe & (~stray[left] | (ids[left] < ids[k]))]
+        if not len(near):
+            continue
+        same = (regs[near] == regs[k]).reshape(len(near), setsketch.BANDS, setsketch.ROWS).all(2)
+        near = near[same[:, slot] & (same.argmax(1) == slot)]
+        if not len(near):
+            continue
+        hit[prints[k]] = True
+        common = np.array([np.count_nonzero(hit[prints[j]]) for j in near.tolist()])
+        hit[prints[k]] = False
+        common = np.minimum(common, np.minimum(n[near], n[k]))
+        for x in ids[near[100 * common >= percent * (n[near] + n[k] - common)]].tolist():
+            out.append((min(x, ids[k]), max(x, ids[k])))
+    return out
 
 
 def classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
