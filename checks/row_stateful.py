@@ -81,9 +81,9 @@ def _(spark, folder):
   SELECT *, first_value(CASE WHEN is_new = '1' THEN CAST(ts AS DATE) ELSE CAST(ts AS DATE) - 1 END)
     OVER (PARTITION BY vc ORDER BY ts, seq) AS origin FROM pv)""")
 def _(spark, folder):
-    # four keys hold all rows; a low limit makes each of them hot and spreads it over salts
+    # four keys hold all rows
     rows = sample.page_views(spark, folder).withColumnRenamed("ts", "rowtime").select("seq", "vc", "is_new", "rowtime")
-    return repair_new_visitor(rows, "vc", "is_new", hot_rows=50).select("seq", "is_new")
+    return repair_new_visitor(rows, "vc", "is_new").select("seq", "is_new")
 
 
 @check("d4_login_and_return", f"SELECT uid, {day('ts')} AS day, CAST(1 AS BIGINT) AS uu_ct, CAST(CASE WHEN d - last_d >= 3 THEN 1 ELSE 0 END AS BIGINT) AS back_ct FROM login_day")

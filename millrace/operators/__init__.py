@@ -1,3 +1,3 @@
-from millrace.operators import bounce, changes, dedup, enrich, joins, routing, skew, unions, visitors, windows
+from millrace.operators import bounce, changes, dedup, enrich, joins, routing, unions, visitors, windows
 
-__all__ = ["bounce", "changes", "dedup", "enrich", "joins", "routing", "skew", "unions", "visitors", "windows"]
+__all__ = ["bounce", "changes", "dedup", "enrich", "joins", "routing", "unions", "visitors", "windows"]

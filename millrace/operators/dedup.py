@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions import times
+
 Order = list[str | Column]
 
 
@@ -34,11 +36,13 @@ def latest_version(
 ) -> DataFrame:
     """Latest version per key, ties to the later arrival; works on batch tables and on streams.
 
+    Versions are compared as times, also where they are text. A missing or unreadable one counts as the earliest.
+
     A stream gives the rows of a key a settling time, counted from the first of them, and then emits the
-    latest (see ``streaming.processors.SettleLatest``).
+    latest (see ``streaming.stateful.settle_latest``).
     """
     if df.isStreaming:
         from millrace.streaming.stateful import settle_latest
 
         return settle_latest(df, keys, version, seq).select(*(columns or df.columns))
-    return latest_row(df, keys, [version, seq], columns)
+    return latest_row(df, keys, [times.version_time(version), F.col(seq)], columns)

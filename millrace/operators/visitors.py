@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from millrace.functions import times
 from millrace.functions.values import flag
 from millrace.operators.dedup import first_row
-from millrace.operators.skew import HOT_ROWS, join_per_key
 
 # Fixed value: a user is back when the last login lies at least this many days before.
 RETURN_DAYS = 8
@@ -30,12 +29,13 @@ def first_time_per_day(df: DataFrame, keys: list[str], ts: str = "rowtime") -> D
 
 
 def repair_new_visitor(
-    df: DataFrame, key: str, is_new: str, ts: str = "rowtime", seq: str = "seq", out: str = "is_new", hot_rows: int = HOT_ROWS
+    df: DataFrame, key: str, is_new: str, ts: str = "rowtime", seq: str = "seq", out: str = "is_new"
 ) -> DataFrame:
     """Add ``out``: the new-visitor flag, corrected by the first visit of the key.
 
     The first record fixes a date for good: its own day if it says "new", the day before otherwise. A later
-    "new" on any other day becomes ``'0'``. Everything else stays as it is, rows without a time included.
+    "new" on any other day becomes ``'0'``. Everything else stays as it is, rows without a time included. The join
+    to one row per key leaves keys that hold many rows to the engine's skew split.
     """
     flagged = df.withColumn("_is_new", F.col(is_new)).withColumn("_key", F.col(key))
     if df.isStreaming:
@@ -44,15 +44,12 @@ def repair_new_visitor(
         return repair_new_visitor_stream(flagged, ts, seq, out)
     day = times.day(ts)
     origin = F.when(F.col("_is_new") == "1", day).otherwise(times.day_before(ts))
-    per_key = flagged.groupBy("_key").agg(
-        F.min_by(origin, F.when(F.col(ts).isNotNull(), F.struct(ts, seq))).alias("_origin"), F.count(F.lit(1)).alias("_rows")
-    )
-    per_key = per_key.withColumnRenamed("_key", "_visitor")
-    joined = join_per_key(
-        flagged.withColumnRenamed("_key", "_visitor"), per_key, "_visitor", "_rows", seq, hot_rows
+    per_key = flagged.groupBy(F.col("_key").alias("_visitor")).agg(
+        F.min_by(origin, F.when(F.col(ts).isNotNull(), F.struct(ts, seq))).alias("_origin")
     )
+    joined = flagged.join(per_key, F.col("_key").eqNullSafe(F.col("_visitor")), "left")
     stale = (F.col("_is_new") == "1") & (day != F.col("_origin"))
-    return joined.withColumn(out, F.when(stale, "0").otherwise(F.col("_is_new"))).drop("_visitor", "_origin", "_is_new")
+    return joined.withColumn(out, F.when(stale, "0").otherwise(F.col("_is_new"))).drop("_key", "_visitor", "_origin", "_is_new")
 
 
 def login_days(df: DataFrame, key: str, ts: str = "rowtime", min_days: int = RETURN_DAYS) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace import schemas
 from millrace.functions import times
 from millrace.functions.cdc import added, before, field, fields, grew, routed, transitioned
-from millrace.functions.values import MONEY
+from millrace.functions.values import money
 from millrace.operators.bounce import WITHIN_SECONDS, bounces
 from millrace.operators.changes import entry_page
 from millrace.operators.enrich import lookup
@@ -80,7 +80,7 @@ def order_pre_process(changes: DataFrame, dic: DataFrame, now: Column | None = N
     The order contributes its insertion and its updates, so a line appears once per order change within the
     waiting time. Activity and coupon are optional.
     """
-    amount = (field("sku_num").cast(MONEY) * field("order_price").cast(MONEY)).cast("string")
+    amount = (money(field("sku_num")) * money(field("order_price"))).cast("string")
     lines = changes.where(routed("order_detail", "insert")).select(
         *fields("id", "order_id", "sku_id", "sku_name", "create_time", "source_id", "source_type", "sku_num"),
         amount.alias("split_original_amount"),
@@ -105,8 +105,8 @@ def order_pre_process(changes: DataFrame, dic: DataFrame, now: Column | None = N
     rows = bounded_join(rows, coupon, {"id": "order_detail_id"}, wait, "left_outer")
     rows = lookup(rows, dic, "source_type", "source_type_name")
     return (
-        rows.withColumn("date_id", times.day("create_time"))
-        .withColumn("operate_date_id", times.day("operate_time"))
+        rows.withColumn("date_id", times.day(F.try_to_timestamp("create_time")))
+        .withColumn("operate_date_id", times.day(F.try_to_timestamp("operate_time")))
         .withColumn("row_op_ts", times.now(now))
         .select(*schemas.ORDER_PRE_PROCESS)
     )
@@ -158,7 +158,7 @@ def order_refunds(changes: DataFrame, dic: DataFrame, now: Column | None = None,
     rows = lookup(rows, dic, "refund_type_code", "refund_type_name")
     rows = lookup(rows, dic, "refund_reason_type_code", "refund_reason_type_name")
     return (
-        rows.withColumn("date_id", times.day("create_time")).withColumn("row_op_ts", times.now(now)).select(*schemas.ORDER_REFUND)
+        rows.withColumn("date_id", times.day(F.try_to_timestamp("create_time"))).withColumn("row_op_ts", times.now(now)).select(*schemas.ORDER_REFUND)
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.functions import text
-from millrace.functions.values import MONEY, TOTAL, flag, is_blank, or_zero
+from millrace.functions.values import MONEY, TOTAL, flag, is_blank, money, or_zero
 from millrace.operators.changes import DETAIL_PAGE, HOME_PAGE, is_keyword_search, is_login
 from millrace.operators.dedup import latest_version
 from millrace.operators.enrich import enrich, flatten_sku
@@ -91,10 +91,10 @@ def latest_amounts(facts: DataFrame, dims: list[str], amounts: list[str]) -> Dat
 
 
 _AMOUNTS = {
-    "order_origin_total_amount": lambda: F.col("split_original_amount").cast(MONEY),
-    "order_activity_reduce_amount": lambda: or_zero(F.col("split_activity_amount").cast(MONEY)).cast(MONEY),
-    "order_coupon_reduce_amount": lambda: or_zero(F.col("split_coupon_amount").cast(MONEY)).cast(MONEY),
-    "order_amount": lambda: F.col("split_total_amount").cast(MONEY),
+    "order_origin_total_amount": lambda: money("split_original_amount"),
+    "order_activity_reduce_amount": lambda: or_zero(money("split_activity_amount")).cast(MONEY),
+    "order_coupon_reduce_amount": lambda: or_zero(money("split_coupon_amount")).cast(MONEY),
+    "order_amount": lambda: money("split_total_amount"),
 }
 _SKU_AMOUNTS = list(_AMOUNTS)
 

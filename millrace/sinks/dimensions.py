@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-#: More configured tables than this are a configuration error.
-MAX_TABLES = 10_000
-
 
 def create_statement(config: Row, database: str = "default") -> str:
     """DDL of a configured table: text columns, key and extension as table properties."""
@@ -18,11 +15,8 @@ def create_statement(config: Row, database: str = "default") -> str:
 
 
 def config_rows(config: DataFrame) -> list[Row]:
-    """Configuration on the driver, where tables are created from it. It is checked to be small."""
-    rows = config.limit(MAX_TABLES + 1).collect()
-    if len(rows) > MAX_TABLES:
-        raise ValueError(f"more than {MAX_TABLES} configured tables")
-    return rows
+    """Configuration on the driver, which creates a table for each of its rows."""
+    return config.collect()
 
 
 def create_tables(config: DataFrame, database: str = "default") -> list[str]:

@@ -7,9 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A reference table of at most this many rows is sent to every task.
-SMALL_ROWS = 100_000
-
 # Dictionary codes and the names they stand for in tests and examples.
 DICTIONARY = [
     ("1101", "alipay"),
@@ -41,21 +38,13 @@ def dictionary(spark: SparkSession) -> DataFrame:
     return literal_table(spark, DICTIONARY, "dic_code, dic_name")
 
 
-def small(dim: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Mark a reference table for broadcast if it is counted to be small, and leave it as it is otherwise.
-
-    Needed where the planner knows no size, as with JDBC. Unmarked, the table is joined by a shuffle.
-    """
-    counted = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if counted <= max_rows else dim
-
-
 def jdbc_options(url: str, table: str, user: str, password: str, driver: str = "com.mysql.cj.jdbc.Driver") -> dict:
     return {"url": url, "dbtable": table, "user": user, "password": password, "driver": driver}
 
 
 def jdbc_lookup(spark: SparkSession, columns: list[str], **connection: str) -> DataFrame:
-    return small(spark.read.format("jdbc").options(**jdbc_options(**connection)).load().select(*columns))
+    """The table as it is: the planner measures it when it is joined and then chooses how."""
+    return spark.read.format("jdbc").options(**jdbc_options(**connection)).load().select(*columns)
 
 
 def per_batch(load: Callable[[SparkSession], DataFrame], use: Callable[[DataFrame, DataFrame, int], None]):

@@ -10,43 +10,19 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from millrace import schemas
 from millrace.functions.values import once
 from millrace.sources.lookups import literal_table
 
 
-#: Sizes between which a table is worth dealing out: below it is trivial, above it has several splits anyway.
-DEAL_OUT_BYTES = (1 << 20, 128 << 20)
-
-
-#: Schema of a table file, and whether its rows are dealt out; found once per file.
-_KNOWN: dict[str, tuple[StructType, bool]] = {}
-
-
-def _known(spark: SparkSession, path: str) -> tuple[StructType, bool]:
-    if path not in _KNOWN:
-        df = spark.read.parquet(path)
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        low, high = DEAL_OUT_BYTES
-        _KNOWN[path] = df.schema, low <= size <= high and len(df.inputFiles()) < spark.sparkContext.defaultParallelism
-    return _KNOWN[path]
-
-
 def source(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A test table as a batch or, for the tables a ``StreamFolder`` names, as a stream.
-
-    A table that fits into a single input split is dealt out to all cores instead of being read by one task.
-    The planner's size of the table decides that, so a table of several splits is never shuffled here.
-    """
-    path = f"{folder}/{name}.parquet"
-    schema, single = _known(spark, path)
+    """A test table as a batch or, for the tables a ``StreamFolder`` names, as a stream."""
+    table = spark.read.parquet(f"{folder}/{name}.parquet")
     if name in getattr(folder, "streams", ()):
         # a stream reads a folder or a pattern, not a single file
-        return spark.readStream.schema(schema).parquet(f"{folder}/{name}*.parquet")
-    df = spark.read.schema(schema).parquet(path)
-    return df.repartition(spark.sparkContext.defaultParallelism) if single else df
+        return spark.readStream.schema(table.schema).parquet(f"{folder}/{name}*.parquet")
+    return table
 
 
 class StreamFolder(str):

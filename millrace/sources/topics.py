@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace import schemas
+from millrace.functions import times
 from millrace.functions.values import once
 
 _BROKEN = "_broken"
@@ -108,4 +109,4 @@ def page_time(df: DataFrame, delay: str = "3 seconds", name: str = "rowtime") ->
 
 def trade_time(df: DataFrame, delay: str = "3 seconds", name: str = "rowtime") -> DataFrame:
     """Event time of a trade fact (seconds, possibly as text)."""
-    return with_event_time(df, F.timestamp_seconds(F.col("ts").cast("long")), name, delay)
+    return with_event_time(df, times.from_seconds("ts"), name, delay)

@@ -206,7 +206,7 @@ class _Settle(StatefulProcessor):
 
 def settle_latest(df: DataFrame, keys: list[str], version: str, seq: str, ts: str = "rowtime") -> DataFrame:
     """Stream side of ``dedup.latest_version``; input delay ``hold_delay(SETTLE_SECONDS)``."""
-    scalars = {"_version": F.unix_micros(F.col(version).cast("timestamp"))}
+    scalars = {"_version": F.coalesce(F.unix_micros(times.version_time(version)), F.lit(-(1 << 62)))}
     return _run(df, list(map(F.col, keys)), _Settle(), ts, seq, scalars)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows_of
 from millrace.functions import cdc, text, times, values
-from millrace.operators import bounce, changes, dedup, enrich, joins, routing, skew, visitors
+from millrace.operators import bounce, changes, dedup, enrich, joins, routing, visitors
 from millrace.operators.windows import tumble
 from millrace import schemas
 from millrace.plans import ads, dim, dwd
@@ -35,9 +35,8 @@ def test_new_visitor_repair(spark):
         (6, "b", "2024-01-01 10:00:00", "1"),
         (7, "c", "2024-01-05 10:00:00", "1"),
     )
-    for hot in (1, 1000):
-        got = visitors.repair_new_visitor(rows, "mid", "v", out="fixed", hot_rows=hot)
-        assert rows_of(got, "seq", "fixed") == [(1, "1"), (2, "1"), (3, "0"), (4, "0"), (5, "0"), (6, "0"), (7, "1")]
+    got = visitors.repair_new_visitor(rows, "mid", "v", out="fixed")
+    assert rows_of(got, "seq", "fixed") == [(1, "1"), (2, "1"), (3, "0"), (4, "0"), (5, "0"), (6, "0"), (7, "1")]
 
 
 def test_first_of_day(spark):
@@ -89,8 +88,10 @@ def test_latest_version(spark):
         ],
         "id string, seq long, v string, x string",
     )
-    got = dedup.latest_version(rows.withColumn("row_op_ts", times.version_time("v")), ["id"], "row_op_ts", "seq")
-    assert rows_of(got, "id", "x") == [("a", "new"), ("b", "second"), ("c", "complete")]
+    rows = rows.unionByName(spark.createDataFrame([("d", 1, "2022-09-14 02:05:30Z", "dated"), ("d", 2, "no time", "x"), ("d", 3, None, "y")], rows.schema))
+    for version in (times.version_time("v"), F.col("v")):  # as time and as text
+        got = dedup.latest_version(rows.withColumn("row_op_ts", version), ["id"], "row_op_ts", "seq")
+        assert rows_of(got, "id", "x") == [("a", "new"), ("b", "second"), ("c", "complete"), ("d", "dated")]
 
 
 def test_returns_after_eight_days(spark):
@@ -312,17 +313,6 @@ def test_serving(spark):
     assert ads.channel_payload(view_rows, 20240101, 2).first()[0] == '{"status":0,"data":[{"name":"w","value":9},{"name":"x","value":3}]}'
 
 
-def test_hot_keys_are_spread(spark):
-    rows = spark.range(1000).select(F.col("id").alias("seq"), F.when(F.col("id") < 900, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    rows = rows.unionByName(spark.createDataFrame([(5000, None), (5001, None)], "seq long, k string"))
-    per_key = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("low"))
-    got = skew.join_per_key(rows, per_key, "k", "n", "seq", hot_rows=100)
-    assert got.columns == ["seq", "k", "low"]
-    assert got.count() == 1002 and got.where("low IS NULL").count() == 0
-    assert got.where("k = 'hot'").select("low").distinct().count() == 1
-    assert got.where("k IS NULL").select("low").distinct().collect()[0][0] == 5000
-
-
 def test_windows_start_at_the_epoch(spark):
     rows = visits(spark, (1, "a", "2024-01-01 00:00:09.999", ""), (2, "a", "2024-01-01 00:00:10", ""))
     got = tumble(rows, [F.count(F.lit(1)).alias("n")], now=F.lit(1))
