@@ -199,7 +199,7 @@ def _(spark, folder):
     return sample.traffic_log(spark, folder).groupBy(has("err"), has("start"), has("page")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@check("f12_new_orders", "SELECT id, order_id FROM pre WHERE type = 'insert'")
+@check("f12_new_orders", "SELECT od.id, order_id FROM od JOIN oi ON order_id = oi.id JOIN dic ON od.source_type = dic_code WHERE kind = 'insert' AND abs(od.sec_at - oi.sec_at) <= 905")
 def _(spark, folder):
     return dwd.order_details(pre_processed(spark, folder)).select("id", "order_id")
 
