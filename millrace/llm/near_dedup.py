@@ -68,7 +68,7 @@ def _bands(nodes: DataFrame, kind: str) -> DataFrame:
 
 
 def _among(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The ``rows`` whose id is in ``ids``.
+    """The ``rows`` whose id is in ``ids``, a table of distinct ids.
 
     A table of bits of the wanted ids' hashes is broadcast first, so that hardly any other row is shuffled. It has at most
     ``BIT_WORDS`` rows of two numbers, whatever the input; where most bits are set, all rows are shuffled.
@@ -78,7 +78,7 @@ def _among(rows: DataFrame, ids: DataFrame) -> DataFrame:
     mask = F.expr("shiftleft(1L, _bit)")
     bits = ids.select(word, bit.alias("_bit")).groupBy("_word").agg(F.bit_or(mask).alias("_bits"))
     thin = rows.select("*", word, bit.alias("_bit")).join(F.broadcast(bits), "_word").filter(F.col("_bits").bitwiseAND(mask) != 0)
-    return thin.select(*rows.columns).join(ids, "id", "left_semi")
+    return thin.select(*rows.columns).join(ids, "id")  # not a semi join, which would be pushed below the filter
 
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, percent: int, kind: str) -> DataFrame:
