@@ -1,7 +1,8 @@
 """SetSketch registers of hashed sets: exponentially spaced, truncated minima.
 
-Every element owns an ascending sequence of points, each assigned to another register; a register keeps the smallest point
-it gets as ``floor(1 - log_b x)``, truncated to ``0..LIMIT``. Registers of a union are the larger ones of its parts. Equal
+Every element owns an ascending sequence of points, each assigned to a register drawn on its own; the first point that a
+register gets from an element is exponential and independent of the other registers. A register keeps the smallest point
+as ``floor(1 - log_b x)``, truncated to ``0..LIMIT``. Registers of a union are the larger ones of its parts. Equal
 registers are about as likely as the sets' Jaccard similarity, and which of two is larger tells the rest: the similarity
 is estimated from both by likelihood, given the sizes.
 """
@@ -12,12 +13,14 @@ import numpy as np
 
 from millrace.llm.hashing import mix
 
-#: Registers (a prime, so that each element's walk meets all of them), base, rate and largest value.
+#: Registers, base, rate and largest value.
 REGISTERS = 163
 BASE = 1.01
 RATE = 20.0
 LIMIT = 65_534
 BANDS, ROWS = 32, 5
+#: Points drawn at once for an element.
+MOST_POINTS = 64
 
 
 def registers(sets: list[np.ndarray]) -> np.ndarray:
@@ -30,22 +33,24 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
         return out.astype(np.uint16)
     seed = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), sizes)
+    x = np.zeros(len(seed))
+    done = 0
     with np.errstate(over="ignore"):
-        walk = mix(seed)
-        at = (walk % np.uint64(m)).astype(np.int64)
-        step = ((walk >> np.uint64(32)) % np.uint64(m - 1)).astype(np.int64) + 1
-        x = np.zeros(len(seed))
-        for j in range(m):
-            uniform = ((mix(seed + np.uint64((j + 1) * 0x632BE59BD9B4E019 % (1 << 64))) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
-            x -= np.log(uniform) / (RATE * (m - j))
-            value = np.clip(np.floor(1 - np.log(x) / np.log(BASE)), 0, LIMIT).astype(np.int64)
-            np.maximum.at(flat, owner * m + at, value)
+        while len(seed):
+            # the same points of each element whatever else is in the batch; few at first, as large sets need few
+            number = np.arange(done + 1, done + 1 + min(max(done, 1), MOST_POINTS), dtype=np.uint64)
+            drawn = mix(seed[:, None] + number * np.uint64(0x632BE59BD9B4E019))
+            uniform = ((drawn >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+            at = (mix(drawn) % np.uint64(m)).astype(np.int64)
+            points = np.cumsum(np.column_stack([x, -np.log(uniform) / (RATE * m)]), 1)[:, 1:]
+            value = np.clip(np.floor(1 - np.log(points) / np.log(BASE)), 0, LIMIT).astype(np.int64)
+            np.maximum.at(flat, owner[:, None] * m + at, value)
             # later points are larger, so elements below the least register of their set are done
-            active = value > out.min(axis=1)[owner]
-            if not active.any():
-                break
-            seed, owner, x, at, step = seed[active], owner[active], x[active], at[active], step[active]
-            at = (at + step) % m
+            first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            least = np.repeat(out[owner[first]].min(1), np.diff(np.append(first, len(owner))))
+            active = value[:, -1] > least
+            x, seed, owner = points[active, -1], seed[active], owner[active]
+            done += len(number)
     return out.astype(np.uint16)
 
 

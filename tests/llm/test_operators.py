@@ -16,7 +16,7 @@ from checks.base import Check
 from checks.compare import connect, differences
 from conftest import SMALL
 from millrace.llm import (
-    exact_dedup, hashing, language_id, near_dedup, ngram_scores, packing, pieces, pseudonyms, quality_rules, queries, token_counts, token_files,
+    exact_dedup, hashing, language_id, near_dedup, ngram_scores, packing, pieces, pseudonyms, quality_rules, queries, setsketch, token_counts, token_files,
 )
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -135,6 +135,22 @@ def test_near_dedup_of_many_variants(spark):
     assert got == linked(rows, 2, 80)
 
 
+def test_short_sets_share_a_band():
+    """Sets of 4 and 5 shingles, similarity 0.8: no pair of 20,000 may go without a common band (3e-6 a pair are expected to)."""
+    rng = np.random.default_rng(1)
+    for _ in range(10):
+        large = list(rng.integers(0, 1 << 64, (2000, 5), dtype=np.uint64))
+        bands = [setsketch.band_hashes(setsketch.registers(sets)) for sets in (large, [s[:4] for s in large])]
+        assert (bands[0] == bands[1]).any(1).all()
+
+
+def test_registers_depend_on_the_set_alone():
+    sets = [np.random.default_rng(n).integers(0, 1 << 64, n, dtype=np.uint64) for n in (0, 1, 3, 40, 2000)]
+    together = setsketch.registers(sets)
+    assert all((setsketch.registers([s]) == row).all() for s, row in zip(sets, together, strict=True))
+    assert (setsketch.registers([np.concatenate(sets)])[0] == together.max(0)).all()
+
+
 def test_word_hashes(odd):
     import pyarrow as pa
 
