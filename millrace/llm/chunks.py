@@ -2,7 +2,7 @@
 
 Words repeat, and encoding them is slow; the tokenizer only sees chunks that a worker hasn't met lately. That is exact for
 tokenizers which never join anything across a single space or line break, nor letters with a point or comma. Texts with any other white
-space, or with two blanks in a row, go to the tokenizer whole.
+space, with two blanks in a row or with a NUL, the mark of first chunks, go to the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ class ChunkEncoder:
         for chunk in chunks:
             head, body, tail = "", chunk, ""
             plain = chunk[1:] if chunk[:1] in ("\n", "\x00") else chunk
-            if "\x00" in plain or plain.split() != [plain]:
+            if plain.split() != [plain]:
                 known[chunk] = None
                 continue
             if body[0] == "\n":
@@ -71,11 +71,14 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes of the chosen type."""
-        parts: list[list[str]] = []
+        parts: list[list[str] | None] = []
         seen: set[str] = set()
         if len(self.known) > self.most_chunks:
             self.known.clear()
         for text in texts:
+            if "\x00" in text:  # would be taken for the mark
+                parts.append(None)
+                continue
             # a chunk keeps its line break; the first one is marked, since no space stands before it
             split = f"\x00{text}".replace("\n", " \n").split(" ")
             parts.append(split)
@@ -86,7 +89,7 @@ class ChunkEncoder:
         known = self.known.__getitem__
         for split in parts:
             try:
-                found.append(b"".join(map(known, split)))
+                found.append(None if split is None else b"".join(map(known, split)))
             except TypeError:  # one of its chunks is None
                 found.append(None)
         if odd := [k for k, ids in enumerate(found) if ids is None]:

@@ -16,7 +16,7 @@ from checks.base import Check
 from checks.compare import connect, differences
 from conftest import SMALL
 from millrace.llm import (
-    exact_dedup, hashing, language_id, near_dedup, ngram_scores, packing, pieces, pseudonyms, quality_rules, queries, setsketch, token_counts, token_files,
+    chunks, exact_dedup, hashing, language_id, near_dedup, ngram_scores, packing, pieces, pseudonyms, quality_rules, queries, setsketch, token_counts, token_files,
 )
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -25,7 +25,7 @@ BYTE_BPE, WORD_BPE, PIECES = map(tokenizer_files.path, ("byte_bpe_50k.json", "wo
 LONG = " ".join(f"word{i % 900}" for i in range(30_000))
 TEXTS = [
     None, "", " \n\t", "one", "One  two", "one two\nthree.\n\nfour", "x" * 3000, LONG, LONG + " end", "é Ö 日本 😀\r\nA\x0bb",
-    "a 'll b", "<|endoftext|> a", "▁mark", "same same same same", "same same same same", "\x00 a", "tab\tand  two blanks ",
+    "a 'll b", "<|endoftext|> a", "▁mark", "same same same same", "same same same same", "\x00 a", "a \x00b", "tab\tand  two blanks ",
 ]
 
 
@@ -167,6 +167,15 @@ def ids_by_library(path, text):
     return np.array(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids + [1], "<u4")
 
 
+def test_texts_with_nul():
+    texts = ["b", "a b", "a \x00b", "\x00b", "\x00 b", "a\x00 b\n\x00b", "a \x00b b", "\x00\n", "a\n\x00"]
+    for path in (BYTE_BPE, WORD_BPE):
+        for order in (texts, texts[::-1]):
+            encoder = chunks.ChunkEncoder(path, "<u4", 1000)
+            assert [encoder.encode([t])[0] + b"\1\0\0\0" for t in order] == [ids_by_library(path, t).tobytes() for t in order]
+            assert encoder.encode(order) == [ids_by_library(path, t).tobytes()[:-4] for t in order]
+
+
 def test_token_files(spark, odd):
     rows = sorted(pairs_of(odd), key=lambda r: -1 if r[0] is None else r[0])
     got = sorted(token_files.through_files(odd, WORD_BPE, 49_408, with_ids=True).collect(), key=lambda r: r.start)
