@@ -1,7 +1,7 @@
 """Format-preserving pseudonyms for personal data: a keyed Feistel permutation inside each value's own format.
 
-Card and account numbers keep their length, separators and the outcome of their check digit; dates stay valid dates;
-addresses, telephone numbers and tokens keep their shape. Equal values get equal pseudonyms in every document, however
+Card and account numbers (IBANs) keep their length, separators and the outcome of their check digits; dates stay valid
+dates; addresses, telephone numbers and tokens keep their shape. Equal values get equal pseudonyms in every document, however
 they are separated, and different ones different pseudonyms. Everything is built from SQL functions.
 """
 
@@ -21,19 +21,39 @@ DOTTED_DATE = rf"{_ALONE}(?<!\.)\d{{2}}\.\d{{2}}\.\d{{4}}{_END}(?!\.\d)"
 SLASHED_DATE = rf"{_ALONE}(?<!/)\d{{2}}/\d{{2}}/\d{{4}}{_END}(?!/\d)"
 PHONE = rf"{_ALONE}(?:\+\d{{1,3}}[ -]?(?:\(\d{{2,4}}\)|\d{{2,4}})[ -]?\d{{3,4}}[ -]?\d{{3,4}}|\(\d{{3}}\) ?\d{{3}}-\d{{4}}|\d{{3}}-\d{{3}}-\d{{4}}){_END}"
 SOCIAL = rf"{_ALONE}(?<!-)\d{{3}}-\d{{2}}-\d{{4}}{_END}(?!-\d)"
-CARD = rf"{_ALONE}(?:\d{{13,19}}|\d{{4}} \d{{4}} \d{{4}} \d{{1,7}}|\d{{4}}-\d{{4}}-\d{{4}}-\d{{1,7}}){_END}"
+CARD = rf"{_ALONE}(?:\d{{13,19}}|\d{{4}} \d{{4}} \d{{4}} \d{{1,7}}|\d{{4}}-\d{{4}}-\d{{4}}-\d{{1,7}}|\d{{4}} \d{{6}} \d{{5}}|\d{{4}}-\d{{6}}-\d{{5}}){_END}"
+#: Countries with IBANs by the length of an IBAN; it is written in one piece or in groups of four.
+IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG", 25: "AO CV LY MZ PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban(length: int, countries: str) -> str:
+    groups, tail = divmod(length - 4, 4)
+    spaced = rf"(?: [0-9A-Z]{{4}}){{{groups}}}" + (rf" [0-9A-Z]{{{tail}}}" if tail else "")
+    return rf"(?:{countries.replace(' ', '|')})\d{{2}}(?:[0-9A-Z]{{{length - 4}}}|{spaced})"
+
+
+IBAN = rf"{_ALONE}(?:{'|'.join(_iban(n, c) for n, c in IBAN_COUNTRIES.items())}){_END}"
 ADDRESS = rf"{_ALONE}(?<!\d\.){_OCTET}(?:\.{_OCTET}){{3}}{_END}(?!\.\d)"
 TOKEN = rf"{_ALONE}(?:[0-9a-f]{{32,128}}|[0-9A-F]{{32,128}}){_END}"
-ANY = "|".join(f"(?:{p})" for p in (EMAIL, ISO_DATE, DOTTED_DATE, SLASHED_DATE, PHONE, SOCIAL, CARD, ADDRESS, TOKEN))
+ANY = "|".join(f"(?:{p})" for p in (EMAIL, IBAN, ISO_DATE, DOTTED_DATE, SLASHED_DATE, PHONE, SOCIAL, CARD, ADDRESS, TOKEN))
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Days in the 400 years after which the calendar repeats, as a product of two numbers, and the day 0000-01-01.
-CYCLE, CYCLE_PARTS, YEAR_ZERO = 146_097, (189, 773), -719_528
+#: Months and days in the 400 years after which the calendar repeats, and the day 0000-01-01.
+MONTHS, CYCLE, YEAR_ZERO = 4_800, 146_097, -719_528
+#: Days of a month that can be read as a month too. They and the later days of 400 years as products of two numbers.
+EARLY = 12
+EARLY_PARTS, LATE_PARTS = (240, 240), (9, 9_833)
+#: Code points that lie in one alphabet; more where one block has a single letter (U+2E2F).
+ALPHABET, WIDE_ALPHABET, WIDE = 128, 1_024, 0x2C00
 
 
 def feistel(items: Column, sizes: Column, tweak: Column, key: str) -> Column:
     """Permute ``items`` (array of int, each below its entry of ``sizes``): halves take turns being shifted by a keyed hash of
-    the other. One item alone is shifted by the hash of the tweak. A bijection for each tweak, length and sizes."""
+    the other. One item alone is shifted by the hash of the tweak, never by nothing. A bijection for each tweak, length and sizes."""
     half = F.floor(F.size(items) / 2).cast("int")
 
     def turn(state: Column, r: Column) -> Column:
@@ -50,7 +70,11 @@ def feistel(items: Column, sizes: Column, tweak: Column, key: str) -> Column:
 
         return let(F.sha2(F.concat_ws("|", F.lit(key), tweak, r.cast("string"), F.array_join(source, ",")), 512), shifted)
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), items, turn)
+    def alone(x: Column) -> Column:
+        shift = F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), tweak), 512), 1, 4), 16, 10).cast("int")
+        return F.pmod(x + 1 + F.pmod(shift, F.get(sizes, F.lit(0)) - 1), F.get(sizes, F.lit(0)))
+
+    return F.when(F.size(items) == 1, F.transform(items, alone)).otherwise(F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), items, turn))
 
 
 def _permuted_characters(value: Column, alphabet, tweak: Column, key: str) -> Column:
@@ -87,7 +111,19 @@ def _digit(c: Column) -> Column:
 
 
 def _letter_or_digit(c: Column) -> Column:
-    return F.when(c.rlike("^[a-z]$"), F.lit(LOWER)).when(c.rlike("^[A-Z]$"), F.lit(UPPER)).when(c.rlike("^[0-9]$"), F.lit(DIGITS))
+    """The alphabet of a letter or digit: beyond ASCII, those of the code points around it that an EMAIL admits, too."""
+
+    def around(point: Column) -> Column:
+        width = F.when(F.floor(point / WIDE_ALPHABET) == WIDE // WIDE_ALPHABET, WIDE_ALPHABET).otherwise(ALPHABET)
+        points = let(width, lambda w: F.sequence(point - point % w, point - point % w + w - 1))
+        return F.array_join(F.filter(F.transform(points, _character), lambda x: x.rlike(r"^[\p{L}\p{N}&&[^\x00-\x7F]]$")), "")
+
+    ascii = F.when(c.rlike("^[a-z]$"), F.lit(LOWER)).when(c.rlike("^[A-Z]$"), F.lit(UPPER)).when(c.rlike("^[0-9]$"), F.lit(DIGITS))
+    return ascii.when(c.rlike(r"^[\p{L}\p{N}]$"), let(F.ascii(c), around))
+
+
+def _character(point: Column) -> Column:
+    return F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
 
 
 def _email(value: Column, key: str) -> Column:
@@ -102,6 +138,25 @@ def _phone(value: Column, key: str) -> Column:
     return F.concat(country, _permuted_characters(rest, _digit, F.concat(F.lit("phone:"), country), key))
 
 
+def _iban_check(account: Column, country: Column) -> Column:
+    """The right check digits (2 to 98) of an account in a country."""
+    chars = F.split(F.concat(F.regexp_replace(account, " ", ""), country, F.lit("00")), "")
+    value = lambda c: F.instr(F.lit(DIGITS + UPPER), c) - 1
+    rest = F.aggregate(chars, F.lit(0), lambda r, c: F.pmod(r * F.when(value(c) > 9, 100).otherwise(10) + value(c), F.lit(97)).cast("int"))
+    return F.lit(98) - rest
+
+
+def _account(value: Column, key: str) -> Column:
+    """The country stays, letters and digits are permuted; the check digits keep their distance from the right ones."""
+    country, check, account = F.substring(value, 1, 2), F.substring(value, 3, 2).cast("int"), F.substring(value, 5, 99)
+
+    def checked(new: Column) -> Column:
+        given = F.pmod(check - _iban_check(account, country) + _iban_check(new, country), F.lit(100))
+        return F.concat(country, F.lpad(given.cast("string"), 2, "0"), new)
+
+    return let(_permuted_characters(account, _letter_or_digit, F.concat(F.lit("account:"), country), key), checked)
+
+
 def _token(value: Column, key: str) -> Column:
     lower = value.rlike("[a-f]")
     return _permuted_characters(value, lambda c: F.when(lower, F.lit(DIGITS + LOWER[:6])).otherwise(F.lit(DIGITS + UPPER[:6])), F.lit("token"), key)
@@ -158,20 +213,48 @@ def _address(value: Column, key: str) -> Column:
     return let(parts, lambda p: F.array_join(feistel(p, F.transform(p, lambda _: F.lit(256)), F.lit("address"), key), "."))
 
 
-def _date(value: Column, pattern: str, key: str) -> Column:
-    """Another day of the same 400 years; what is no date from the year 400 on stays as it is."""
-    day = F.unix_date(F.try_to_timestamp(value, F.lit(pattern)).cast("date")) - F.lit(YEAR_ZERO)
+def _date(value: Column, key: str, *patterns: str) -> Column:
+    """Another day of the same 400 years, read by the first pattern that fits; what is no date from the year 400 on stays.
 
-    def moved(day: Column) -> Column:
-        inside = day % CYCLE
-        parts = F.array(F.floor(inside / CYCLE_PARTS[1]).cast("int"), inside % CYCLE_PARTS[1])
-        sizes = F.array(*map(F.lit, CYCLE_PARTS))
-        return let(
-            feistel(parts, sizes, F.lit("date"), key),
-            lambda p: F.date_format(F.date_from_unix_date(day - inside + p[0] * CYCLE_PARTS[1] + p[1] + YEAR_ZERO), pattern),
-        )
+    Days up to 12 and later ones are permuted among themselves, so that a date which can only be read day first stays one.
+    """
 
-    return F.when(day >= CYCLE, let(day, moved)).otherwise(value)
+    def first(month: Column) -> Column:
+        return F.unix_date(F.add_months(F.date_from_unix_date(F.lit(YEAR_ZERO)), month)) - F.lit(YEAR_ZERO)
+
+    def moved(day: Column) -> Column:
+        date = F.date_from_unix_date(day + YEAR_ZERO)
+        cycle = F.floor(F.year(date) / 400).cast("int")
+        month = (F.year(date) % 400) * 12 + F.month(date) - 1
+        early = F.dayofmonth(date) <= EARLY
+        # of each month the first 12 days, or all but those
+        place = F.when(early, month * EARLY + F.dayofmonth(date) - 1).otherwise(day % CYCLE - (month + 1) * EARLY)
+        radix = F.when(early, F.lit(EARLY_PARTS[1])).otherwise(F.lit(LATE_PARTS[1]))
+        sizes = F.when(early, F.array(*map(F.lit, EARLY_PARTS))).otherwise(F.array(*map(F.lit, LATE_PARTS)))
+
+        def placed(place: Column) -> Column:
+            def late(near: Column) -> Column:
+                # the last month whose first late day isn't behind the place; months differ little from their mean
+                months = F.sequence(F.greatest(near - 2, F.lit(0)), F.least(near + 2, F.lit(MONTHS - 1)))
+                found = F.array_max(F.filter(months, lambda m: first(m) - m * EARLY <= place))
+                return place + (found + 1) * EARLY
+
+            near = F.floor(place * F.lit(MONTHS) / F.lit(CYCLE - MONTHS * EARLY)).cast("int")
+            early_day = first(F.floor(place / EARLY).cast("int")) + place % EARLY
+            return F.date_from_unix_date(cycle * CYCLE + F.when(early, early_day).otherwise(let(near, late)) + YEAR_ZERO)
+
+        parts = let(place, lambda n: F.array(F.floor(n / radix).cast("int"), (n % radix).cast("int")))
+        new = let(feistel(parts, sizes, F.when(early, F.lit("date:early")).otherwise(F.lit("date:late")), key), lambda p: p[0] * radix + p[1])
+        return let(new, placed)
+
+    def read(pattern: str, other: Column) -> Column:
+        day = F.unix_date(F.try_to_timestamp(value, F.lit(pattern)).cast("date")) - F.lit(YEAR_ZERO)
+        return F.when(day >= CYCLE, let(day, lambda day: F.date_format(moved(day), pattern))).otherwise(other)
+
+    out = value
+    for pattern in reversed(patterns):
+        out = read(pattern, out)
+    return out
 
 
 def pseudonym(value: Column, key: str) -> Column:
@@ -182,9 +265,10 @@ def pseudonym(value: Column, key: str) -> Column:
 
     return (
         F.when(is_a(EMAIL), _email(value, key))
-        .when(is_a(ISO_DATE), _date(value, "yyyy-MM-dd", key))
-        .when(is_a(DOTTED_DATE), _date(value, "dd.MM.yyyy", key))
-        .when(is_a(SLASHED_DATE), _date(value, "MM/dd/yyyy", key))
+        .when(is_a(IBAN), _account(value, key))
+        .when(is_a(ISO_DATE), _date(value, key, "yyyy-MM-dd"))
+        .when(is_a(DOTTED_DATE), _date(value, key, "dd.MM.yyyy"))
+        .when(is_a(SLASHED_DATE), _date(value, key, "MM/dd/yyyy", "dd/MM/yyyy"))
         .when(is_a(PHONE), _phone(value, key))
         .when(is_a(SOCIAL), _permuted_characters(value, _digit, F.lit("social"), key))
         .when(is_a(CARD), _card(value, key))

@@ -251,6 +251,38 @@ def test_pseudonyms(spark, odd):
     assert pseudonyms.replace(odd, "k").collect() == odd.collect()
 
 
+def pseudonyms_of(spark, values):
+    rows = pseudonyms.report(spark.createDataFrame(list(enumerate(values)), "doc_id int, text string"), "k").collect()
+    assert all(r.n_found == 1 for r in rows) and len(rows) == len(values)
+    return {values[r.doc_id]: r.text for r in rows}
+
+
+def mod_97(iban):
+    return int("".join(str(int(c, 36)) for c in (iban[4:] + iban[:4]).replace(" ", ""))) % 97
+
+
+def test_every_found_value_is_replaced(spark):
+    cards = ["3782 822463 10005", "3782-822463-10005", "378282246310005"]
+    ibans = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82WEST12345698765432", "MT84MALT011000012345MTLCAST001S"]
+    dates = ["25/12/1999", "1999-12-25", "25.12.1999", "31/01/2000", "13/02/2023"]
+    mails = ["иван.петров@mail.ru", "联系foo@bar.com", "é9@x.ru", "𝐚b@x.com", "ⸯ@x.com", *(f"{c}@x{i}.com" for i, c in enumerate("abcжñ語7" * 6))]
+    new = pseudonyms_of(spark, cards + ibans + dates + mails)
+    assert all(v != p and len(v) == len(p) for v, p in new.items())
+    for same in (cards, ibans[:2]):
+        assert len({re.sub("[ -]", "", new[v]) for v in same}) == 1
+    assert luhn(new[cards[0]]) == 0 and all(mod_97(new[v]) == 1 for v in ibans)
+    day, month, year = new["25/12/1999"].split("/")
+    assert int(day) > 12 and new["1999-12-25"] == f"{year}-{month}-{day}" and new["25.12.1999"] == f"{day}.{month}.{year}"
+    assert all(re.fullmatch(r"[^\W_]+(\.[^\W_]+)*@.*", new[v]) and v.split("@")[1] == new[v].split("@")[1] for v in mails)
+
+
+def test_dates_are_permuted(spark):
+    days = spark.range(146_097).select(F.date_from_unix_date((F.col("id") + 11_000).cast("int")).alias("d"))
+    new = days.select("d", pseudonyms._date(F.date_format("d", "yyyy-MM-dd"), "k", "yyyy-MM-dd").alias("n"))
+    late = [F.dayofmonth(x) > 12 for x in ("d", F.to_date("n"))]
+    assert new.select(F.count_distinct("n"), F.count_if(late[0] != late[1])).first()[:] == (146_097, 0)
+
+
 def test_feistel_is_a_permutation(spark):
     items = F.array((F.col("id") / 12).cast("int"), (F.col("id") % 12).cast("int"))
     out = spark.range(108).select(pseudonyms.feistel(items, F.array(F.lit(9), F.lit(12)), F.lit("t"), "k").alias("x"))
