@@ -7,6 +7,8 @@ they are separated, and different ones different pseudonyms. Everything is built
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +42,9 @@ IBAN = rf"{_ALONE}(?:{'|'.join(_iban(n, c) for n, c in IBAN_COUNTRIES.items())})
 ADDRESS = rf"{_ALONE}(?<!\d\.){_OCTET}(?:\.{_OCTET}){{3}}{_END}(?!\.\d)"
 TOKEN = rf"{_ALONE}(?:[0-9a-f]{{32,128}}|[0-9A-F]{{32,128}}){_END}"
 ANY = "|".join(f"(?:{p})" for p in (EMAIL, IBAN, ISO_DATE, DOTTED_DATE, SLASHED_DATE, PHONE, SOCIAL, CARD, ADDRESS, TOKEN))
+#: Country codes of telephone numbers; all others have three digits. Their digits may be separated.
+COUNTRY_CODES = ("[17]", "2[07]", "3[0-469]", "4[013-9]", "5[1-8]", "6[0-6]", "8[1246]", "9[0-58]", "[0-9][0-9][0-9]")
+COUNTRY = r"^\+(?:" + "|".join(r"[ ()-]*".join(re.findall(r"\[.*?\]|\d", c)) for c in COUNTRY_CODES) + ")"
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Months and days in the 400 years after which the calendar repeats, and the day 0000-01-01.
@@ -133,9 +138,11 @@ def _email(value: Column, key: str) -> Column:
 
 
 def _phone(value: Column, key: str) -> Column:
-    country = F.regexp_extract(value, r"^\+\d{1,3}(?=[ (-])", 0)
+    """All digits after the country code are permuted. A number without one is written as in North America: its code is 1."""
+    country = F.regexp_extract(value, COUNTRY, 0)
     rest = F.substring(value, F.length(country) + 1, F.length(value))
-    return F.concat(country, _permuted_characters(rest, _digit, F.concat(F.lit("phone:"), country), key))
+    code = F.when(country == "", F.lit("1")).otherwise(F.regexp_replace(country, "[^0-9]", ""))
+    return F.concat(country, _permuted_characters(rest, _digit, F.concat(F.lit("phone:"), code), key))
 
 
 def _iban_check(account: Column, country: Column) -> Column:

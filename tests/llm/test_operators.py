@@ -276,6 +276,19 @@ def test_every_found_value_is_replaced(spark):
     assert all(re.fullmatch(r"[^\W_]+(\.[^\W_]+)*@.*", new[v]) and v.split("@")[1] == new[v].split("@")[1] for v in mails)
 
 
+def test_telephone_numbers_are_linked(spark):
+    groups = [
+        ["+15551234567", "+1 555 123 4567", "+1-555-123-4567", "+1 (555) 123-4567", "(555) 123-4567", "555-123-4567"],
+        ["+442079460958", "+44 20 7946 0958", "+44-20-7946-0958"],
+        ["+420601123456", "+420 601 123 456"],
+    ]
+    new = pseudonyms_of(spark, [v for g in groups for v in g])
+    for group, code in zip(groups, ("1", "44", "420"), strict=True):
+        digits = {re.sub("[^0-9]", "", new[v]).removeprefix(code if v[0] == "+" else "") for v in group}
+        assert len(digits) == 1 and all(new[v].startswith(f"+{code}") for v in group if v[0] == "+")
+        assert all(new[v] != v and re.sub("[0-9]", "9", new[v]) == re.sub("[0-9]", "9", v) for v in group)
+
+
 def test_dates_are_permuted(spark):
     days = spark.range(146_097).select(F.date_from_unix_date((F.col("id") + 11_000).cast("int")).alias("d"))
     new = days.select("d", pseudonyms._date(F.date_format("d", "yyyy-MM-dd"), "k", "yyyy-MM-dd").alias("n"))
