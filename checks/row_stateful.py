@@ -162,8 +162,9 @@ def _(spark, folder):
 def _(spark, folder):
     # names without blanks are cut back into the words of the dictionary
     part = sample.table(spark, folder, "part")
-    cut = text.segmenter(part.select(F.explode(text.words("p_name")).alias("word")))
-    return part.select("p_partkey", F.concat_ws(" ", cut(F.replace("p_name", F.lit(" "), F.lit("")))).alias("joined"))
+    dictionary = part.select(F.explode(text.words("p_name")).alias("word"))
+    cut = text.segmented(part, F.replace("p_name", F.lit(" "), F.lit("")), dictionary)
+    return cut.select("p_partkey", F.concat_ws(" ", "words").alias("joined"))
 
 
 @check("g2_scalar_map_and_filter", "SELECT seq, upper(page_id) AS page FROM pv WHERE page_id <> 'error'")

@@ -350,6 +350,17 @@ def test_words(spark):
     assert one.select(cut(F.col("t"))).first()[0] == ["白色手机", "口红", "新"]
 
 
+def test_segmented_by_a_dictionary_of_any_size(spark):
+    dictionary = spark.createDataFrame([("口红",), ("口",), ("手机",), ("白色手机",), ("AB",), ("ab",), (None,), ("",)], "word string")
+    rows = spark.createDataFrame([(1, "白色手机口红新"), (2, "xab, abab"), (3, ""), (4, None), (5, "xab, abab"), (6, "q")], "i int, t string")
+    want = {r.i: r.w for r in rows.select("i", text.segmenter(dictionary.where("word IS NOT NULL"))(F.col("t")).alias("w")).collect()}
+    assert want[2] == ["x", "ab", "ab", "ab"]
+    assert {r.i: r["words"] for r in text.segmented(rows, F.col("t"), dictionary).collect()} == want
+    many = spark.range(text.MAX_DICTIONARY + 1).select(F.concat(F.lit("w"), "id").alias("word"))
+    cut = text.segmented(spark.createDataFrame([("w500000w17x",)], "t string"), F.col("t"), many)
+    assert cut.first()["words"] == ["w500000", "w17", "x"] and text.segmented(rows, F.col("t"), dictionary.limit(0)).count() == 6
+
+
 def test_bounded_join_needs_both_key_and_time(spark):
     left = spark.createDataFrame([("a", 100), ("a", 300), ("b", 100)], "k string, s long").select("k", F.timestamp_seconds("s").alias("event_time"))
     right = spark.createDataFrame([("a", 105, "x"), ("a", 94, "y")], "r string, s long, v string").select("r", "v", F.timestamp_seconds("s").alias("event_time"))
