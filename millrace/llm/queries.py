@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup, language_id, near_dedup, ngram_scores, packing, pieces, pseudonyms, quality_rules, token_counts, token_files
+from millrace.llm import collocations, exact_dedup, language_id, near_dedup, ngram_scores, packing, pieces, pseudonyms, quality_rules, token_counts, token_files
 from millrace.llm.common import pseudonym_key, read_table, tokenizer_file
 from millrace.session import tune
 
@@ -82,3 +82,53 @@ def op7_unigram_pieces(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count(read_table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@query
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(read_table(spark, folder, "documents"))
+
+
+ORACLE_SQL["op11_collocations"] = r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), phrases AS (
+  SELECT lang, n_words, phrase, count(*) AS a
+  FROM (
+    SELECT lang, g.n_words, unnest(list_transform(range(1, len(w) - g.n_words + 2), lambda i: array_to_string(w[i:i + g.n_words - 1], ' '))) AS phrase
+    FROM words, (SELECT unnest([1, 2, 3, 4]) AS n_words) g
+    WHERE len(w) >= g.n_words
+  )
+  GROUP BY lang, n_words, phrase
+), totals AS (
+  SELECT lang, sum(a)::BIGINT AS n FROM phrases WHERE n_words = 1 GROUP BY lang
+), often AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM phrases WHERE a >= 30
+), cuts AS (
+  SELECT lang, phrase, n_words, a, w, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, n_words)) AS k FROM often WHERE n_words > 1)
+), scored AS (
+  SELECT c.lang, c.phrase, c.n_words, c.a, l.a AS l, r.a AS r, ((2000000::HUGEINT * c.a) // (l.a::HUGEINT + r.a))::BIGINT AS score,
+    row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY (2000000::HUGEINT * c.a) // (l.a::HUGEINT + r.a), k) AS cut
+  FROM cuts c
+  JOIN often l ON l.lang = c.lang AND l.phrase = c.first
+  JOIN often r ON r.lang = c.lang AND r.phrase = c.rest
+), inside AS (
+  SELECT lang, phrase, max(a) AS most
+  FROM (
+    SELECT lang, a, unnest(list_transform(range(1, n_words - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+    FROM (SELECT *, unnest(range(2, n_words)) AS size FROM often WHERE n_words > 2)
+  )
+  GROUP BY lang, phrase
+), ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, s.phrase) AS rank
+  FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+  WHERE cut = 1 AND (i.most IS NULL OR 100::HUGEINT * i.most < 80::HUGEINT * s.a)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
