@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import collocations, exact_dedup, language_id, near_dedup, ngram_scores, packing, pieces, pseudonyms, quality_rules, token_counts, token_files
+from millrace.llm import collocations, divergence, exact_dedup, language_id, near_dedup, ngram_scores, packing, pieces, pseudonyms, quality_rules, token_counts, token_files
 from millrace.llm.common import pseudonym_key, read_table, tokenizer_file
 from millrace.session import tune
 
@@ -132,3 +132,54 @@ WITH texts AS (
 )
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
+
+
+@query
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(read_table(spark, folder, "documents"))
+
+
+ORACLE_SQL["op13_source_divergence"] = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), words AS (
+  SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM texts
+), kept AS (
+  SELECT lang, term, count(*) AS total FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 3
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM words GROUP BY lang, source, term
+), found AS (
+  SELECT c.* FROM counts c JOIN kept USING (lang, term)
+), langs AS (
+  SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang
+), groups AS (
+  SELECT g.lang, g.source, coalesce(max(l.v), 0) AS v, coalesce(sum(f.n), 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM texts) g
+  LEFT JOIN langs l ON l.lang = g.lang
+  LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source
+  GROUP BY g.lang, g.source
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(f.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(f.n, 0) + 1)) // (g.n + g.v)::HUGEINT AS p,
+    1 + (1000000000::HUGEINT * (k.total + 1)) // (l.n + l.v)::HUGEINT AS q
+  FROM groups g
+  JOIN kept k ON k.lang = g.lang
+  JOIN langs l ON l.lang = g.lang
+  LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source != b.source
+  GROUP BY a.lang, a.source, b.source
+), rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source != b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM rows
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
