@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import collocations, divergence, exact_dedup, language_id, near_dedup, ngram_scores, packing, pieces, pseudonyms, quality_rules, token_counts, token_files
+from millrace.llm import collocations, divergence, exact_dedup, language_id, near_dedup, ngram_scores, packing, pairwise_quality, pieces, pseudonyms, quality_rules, token_counts, token_files
 from millrace.llm.common import pseudonym_key, read_table, tokenizer_file
 from millrace.session import tune
 
@@ -183,3 +183,9 @@ WITH texts AS (
 )
 SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
 """
+
+
+@query
+def op12_pairwise_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return pairwise_quality.score(docs, pairwise_quality.fit(docs, read_table(spark, folder, "labels")))
