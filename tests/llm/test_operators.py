@@ -45,7 +45,7 @@ def pairs_of(df):
     return [(r["doc_id"], r["text"] or "") for r in df.select("doc_id", "text").collect()]
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op11_collocations", "op13_source_divergence"}))
 def test_every_row_of_documents(spark, docs, name):
     out = queries.QUERIES[name](spark, SMALL)
     assert {r[0] for r in out.select("doc_id").collect()} == {r[0] for r in docs.select("doc_id").collect()}
