@@ -1,8 +1,8 @@
 """Phrases whose words belong together, mined per language from HAT-tries that each task fills and spills.
 
 A task counts word sequences in a shallow trie over numbered words whose leaves are hash tables; a table that grows bursts
-into a further trie level. When the trie is full its largest subtrees leave it whole, as runs sorted by phrase. The runs are
-written once, dealt out by ranges of the phrase, that is by prefixes of about equal weight, and merged.
+into a further trie level. When the trie is full its largest subtrees leave it whole, as runs sorted by phrase, which are dealt
+out by prefix and merged.
 
 Sequences of n words are counted after those of n - 1: one that is frequent has two frequent parts, so each task only counts
 where a bitmap of the frequent parts (of a fixed largest size; a false answer costs a row, never a result) says yes.
@@ -15,6 +15,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +24,8 @@ from millrace.llm.common import in_batches_of, landed
 from millrace.llm.wordcodes import Alphabet, Codes, coded, gathered
 
 WORDS = 4
+#: Words by which runs are dealt out.
+PREFIX = 3
 LEAST = 30
 TOP = 2000
 #: Entries of a hash table before it bursts, entries of all tries of a task before subtrees leave, words before all do.
@@ -33,6 +37,9 @@ MOST_BITS = 1 << 27
 BITS_PER_PHRASE = 16
 BLOCK_BITS = 32_768
 ROWS = 512
+RUN_ROWS = 100_000
+#: First ids that share a table until it bursts.
+RANGE = 64
 UNKNOWN = "und"
 
 ALPHABET = Alphabet(b" \t", b".,;:!?\n\x0b\x0c\r")
@@ -49,43 +56,43 @@ class _Node:
 
 
 class HatTrie:
-    """Counts of sequences of ``width`` ids, given as integers that hold 32 bits for each id, the first one highest."""
+    """Counts of sequences of ``width`` ids, packed into one integer with 32 bits for each id, the first one highest.
+
+    Below the root, one table holds all sequences whose first id lies in the same range, until it bursts into one for each id.
+    """
 
     def __init__(self, width: int, burst: int = BURST) -> None:
         self.width, self.burst, self.size = width, burst, 0
-        self.root: dict[int, int] | _Node = {} if width == 1 else _Node()
-
-    def add(self, keys: list[int], counts: list[int]) -> None:
-        """Add to the counts of ``keys``, which ascend."""
-        if self.width == 1:
-            self._table(self.root, keys, counts)
-        else:
-            self._level(self.root, self.width, keys, counts)
-
-    def _table(self, table: dict[int, int], keys: list[int], counts: list[int]) -> None:
-        before = len(table)
-        get = table.get
+        self.root = _Node()
+
+    def add(self, heads: np.ndarray, keys: list[int], counts: list[int]) -> None:
+        """Add to the counts of sequences, which ascend; ``heads`` are their first ids."""
+        if not len(heads):
+            return
+        ranges = heads // RANGE
+        bounds = np.flatnonzero(np.concatenate([[True], ranges[1:] != ranges[:-1], [True]])).tolist()
+        for own, at, to in zip(ranges[bounds[:-1]].tolist(), bounds, bounds[1:], strict=False):
+            self._put(self.root, own, self.width, keys[at:to], counts[at:to])
+
+    def _put(self, node: _Node, below: int, width: int, keys: list[int], counts: list[int]) -> None:
+        child = node.children.get(below)
+        if child is None:
+            child = node.children[below] = {}
+        if isinstance(child, _Node):
+            shift, at = _ID * (width - 1), 0
+            rest = (1 << shift) - 1
+            while at < len(keys):
+                head = keys[at] >> shift
+                to = bisect_left(keys, (head + 1) << shift, at)
+                self._put(child, head, width - 1, [k & rest for k in keys[at:to]], counts[at:to])
+                at = to
+            return
+        before, get = len(child), child.get
         for key, count in zip(keys, counts, strict=True):
-            table[key] = get(key, 0) + count
-        self.size += len(table) - before
-
-    def _level(self, node: _Node, width: int, keys: list[int], counts: list[int]) -> None:
-        shift = _ID * (width - 1)
-        rest, at = (1 << shift) - 1, 0
-        while at < len(keys):
-            head = keys[at] >> shift
-            to = bisect_left(keys, (head + 1) << shift, at)
-            child = node.children.get(head)
-            if child is None:
-                child = node.children[head] = {}
-            own = [k & rest for k in keys[at:to]]
-            if isinstance(child, _Node):
-                self._level(child, width - 1, own, counts[at:to])
-            else:
-                self._table(child, own, counts[at:to])
-                if width > 2 and len(child) > self.burst:
-                    node.children[head] = self._burst(child, width - 1)
-            at = to
+            child[key] = get(key, 0) + count
+        self.size += len(child) - before
+        if width > 1 and len(child) > self.burst:
+            node.children[below] = self._burst(child, width)
 
     @staticmethod
     def _burst(table: dict[int, int], width: int) -> _Node:
@@ -96,22 +103,22 @@ class HatTrie:
         return node
 
     def subtrees(self) -> list[tuple[int, int]]:
-        """Size and first id of what hangs below the root; a trie of single ids is one subtree."""
-        if self.width == 1:
-            return [(len(self.root), -1)] if self.root else []
-        return [(_size(child), head) for head, child in self.root.children.items()]
+        """Size and name of what hangs below the root."""
+        return [(_size(child), name) for name, child in self.root.children.items()]
 
-    def take(self, head: int) -> tuple[list[int], list[int]]:
-        """Remove a subtree and return its sequences and their counts."""
+    def take(self, names: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Remove subtrees and return their sequences, a column for each id, and their counts."""
         keys: list[int] = []
         counts: list[int] = []
-        if self.width == 1:
-            child, self.root, prefix = self.root, {}, 0
-        else:
-            child, prefix = self.root.children.pop(head), head << _ID * (self.width - 1)
-        _flatten(child, self.width - 1, prefix, keys, counts)
+        for name in names:
+            _flatten(self.root.children.pop(name), self.width, 0, keys, counts)
         self.size -= len(keys)
-        return keys, counts
+        words = [keys] if self.width <= 2 else [[k >> 2 * _ID for k in keys], [k & (1 << 2 * _ID) - 1 for k in keys]]
+        columns = []
+        for packed, ids in zip(words, ([self.width] if self.width <= 2 else [self.width - 2, 2]), strict=True):
+            packed = np.array(packed, np.uint64)
+            columns += [(packed >> np.uint64(_ID * k) & np.uint64((1 << _ID) - 1)).astype(np.int64) for k in range(ids - 1, -1, -1)]
+        return np.stack(columns, 1), np.array(counts, np.int64)
 
 
 def _size(child: dict | _Node) -> int:
@@ -123,7 +130,7 @@ def _flatten(child: dict | _Node, width: int, prefix: int, keys: list[int], coun
         for head, below in child.children.items():
             _flatten(below, width - 1, prefix | head << _ID * (width - 1), keys, counts)
     else:
-        keys.extend([prefix | k for k in child])
+        keys.extend([prefix | k for k in child] if prefix else child)
         counts.extend(child.values())
 
 
@@ -174,45 +181,41 @@ def bitmap_of(frequent: DataFrame, n: int) -> Bitmap:
     return Bitmap(bits, [(r.block, bytes(r.bits)) for r in found.collect()])
 
 
-def _keys(ids: np.ndarray, first: np.ndarray, n: int, wanted: np.ndarray | None) -> tuple[list[int], list[int]]:
-    """The distinct runs of ``n`` words inside pieces as integers, ascending, and their counts. ``wanted`` says which runs of
+def _counted(ids: np.ndarray, first: np.ndarray, n: int, wanted: np.ndarray | None) -> tuple[np.ndarray, list[int], list[int]]:
+    """The distinct runs of ``n`` words inside pieces, ascending, as ``HatTrie.add`` takes them. ``wanted`` says which runs of
     ``n - 1`` words are of interest."""
-    size = len(ids) - n + 1
-    if size <= 0:
-        return [], []
+    size = max(0, len(ids) - n + 1)
     inside = np.ones(size, bool)
     for k in range(1, n):
         inside &= ~first[k : k + size]
     if wanted is not None:
         inside &= wanted[:size] & wanted[1 : size + 1]
     at = np.flatnonzero(inside)
-    ids = ids.astype(np.uint64)
-    pair = lambda x, y: (x << np.uint64(_ID)) | y
+    ids, low = ids.astype(np.uint64), np.uint64((1 << _ID) - 1)
     if n == 1:
         keys, counts = np.unique(ids[at], return_counts=True)
-        return keys.tolist(), counts.tolist()
-    head = pair(ids[at], ids[at + 1])
+        return keys, keys.tolist(), counts.tolist()
+    pairs = [(ids[at + k] << np.uint64(_ID)) | ids[at + k + 1] for k in range(0, n - 1, 2)]
     if n == 2:
-        keys, counts = np.unique(head, return_counts=True)
-        return keys.tolist(), counts.tolist()
-    # ranks of the first pairs keep the order of the whole
-    heads, rank = np.unique(head, return_inverse=True)
-    tail = ids[at + 2]
-    if n == 4:
-        tails, tail = np.unique(pair(tail, ids[at + 3]), return_inverse=True)
-    keys, counts = np.unique(pair(rank.astype(np.uint64), tail.astype(np.uint64)), return_counts=True)
-    high, low = heads[keys >> np.uint64(_ID)].tolist(), keys & np.uint64(0xFFFFFFFF)
-    low = tails[low].tolist() if n == 4 else low.tolist()
-    bits = _ID * (n - 2)
-    return [h << bits | t for h, t in zip(high, low, strict=True)], counts.tolist()
-
-
-def _phrases(keys: list[int], n: int, words: list[bytes]) -> list[bytes]:
-    low = (1 << _ID) - 1
-    if n == 1:
-        return [words[k] for k in keys]
-    shifts = [_ID * (n - 1 - k) for k in range(n)]
-    return [b" ".join([words[k >> s & low] for s in shifts]) for k in keys]
+        keys, counts = np.unique(pairs[0], return_counts=True)
+        return keys >> np.uint64(_ID), keys.tolist(), counts.tolist()
+    # the ranks of pairs are ordered as they are
+    starts, rank = np.unique(pairs[0], return_inverse=True)
+    ends, tail = np.unique(pairs[1] if n == 4 else ids[at + 2], return_inverse=True)
+    keys, counts = np.unique((rank.astype(np.uint64) << np.uint64(_ID)) | tail.astype(np.uint64), return_counts=True)
+    start, shift = starts[keys >> np.uint64(_ID)], _ID * (n - 2)
+    packed = [s << shift | e for s, e in zip(start.tolist(), ends[keys & low].tolist(), strict=True)]
+    return start >> np.uint64(_ID), packed, counts.tolist()
+
+
+def _run(sequences: np.ndarray, counts: np.ndarray, lang: str, words: pa.Array, rank: np.ndarray) -> pa.RecordBatch:
+    """Sequences as phrases, sorted word by word. ``words`` ascend, ``rank`` has their places by id."""
+    own = rank[sequences]
+    order = np.lexsort(own.T[::-1])
+    columns = [words.take(pa.array(c)) for c in own[order].T]
+    phrases = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary())) if len(columns) > 1 else columns[0]
+    langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(order), np.int8)))
+    return pa.RecordBatch.from_arrays([langs, phrases.view(pa.string()), pa.array(counts[order])], ["lang", "phrase", "a"])
 
 
 def runs(texts: DataFrame, n: int, parts: Bitmap | None = None, burst: int = BURST, entries: int = ENTRIES) -> DataFrame:
@@ -226,20 +229,25 @@ def runs(texts: DataFrame, n: int, parts: Bitmap | None = None, burst: int = BUR
 
     def spill(tries: dict[str, HatTrie], codes: Codes, most: int) -> Iterator[pa.RecordBatch]:
         """The largest subtrees, until no more than ``most`` entries are left."""
-        subtrees = sorted(((size, lang, head) for lang, t in tries.items() for size, head in t.subtrees()), reverse=True)
+        subtrees = sorted(((size, lang, name) for lang, t in tries.items() for size, name in t.subtrees()), reverse=True)
         held = sum(s[0] for s in subtrees)
-        langs, phrases, counts = [], [], []
-        for size, lang, head in subtrees:
+        leaving: dict[str, list[int]] = {}
+        for size, lang, name in subtrees:
             if held <= most:
                 break
-            keys, own = tries[lang].take(head)
-            phrases += _phrases(keys, n, codes.words)
-            counts += own
-            langs += [lang] * len(keys)
+            leaving.setdefault(lang, []).append(name)
             held -= size
-        if phrases:
-            run = pa.table({"lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.binary()).view(pa.string()), "a": pa.array(counts, pa.int64())})
-            yield from run.sort_by([("lang", "ascending"), ("phrase", "ascending")]).combine_chunks().to_batches()
+        if not leaving:
+            return
+        words = pa.array(codes.words, pa.binary())
+        order = pc.array_sort_indices(words)
+        rank = np.empty(len(words), np.int64)
+        rank[order.to_numpy()] = np.arange(len(words))
+        words = words.take(order)
+        for lang, names in leaving.items():
+            run = _run(*tries[lang].take(names), lang, words, rank)
+            for at in range(0, len(run), RUN_ROWS):
+                yield run.slice(at, RUN_ROWS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries: dict[str, HatTrie] = {}
@@ -254,7 +262,7 @@ def runs(texts: DataFrame, n: int, parts: Bitmap | None = None, burst: int = BUR
                     if shared is not None:
                         seed = np.uint64(xxhash64(lang))
                         wanted = shared.value.holds(_hash_runs(seed, codes.hashes(done)[ids], n - 1))
-                    trie.add(*_keys(ids, first, n, wanted))
+                    trie.add(*_counted(ids, first, n, wanted))
             if len(codes) > VOCABULARY:
                 yield from spill(tries, codes, 0)
                 codes, done = Codes(), [0]
@@ -267,15 +275,17 @@ def runs(texts: DataFrame, n: int, parts: Bitmap | None = None, burst: int = BUR
 
 def xxhash64(text: str) -> int:
     """What Spark's function gives for one string, as an unsigned integer."""
-    import xxhash
-
     return xxhash.xxh64_intdigest(text.encode(), 42)
 
 
-def merged(found: DataFrame, least: int) -> DataFrame:
-    """Runs merged in ranges of the phrase; phrases seen ``least`` times or more stay."""
-    dealt = found.repartitionByRange("lang", "phrase")
-    return dealt.groupBy("lang", "phrase").agg(F.sum("a").alias("a")).filter(F.col("a") >= least)
+def merged(found: DataFrame, n: int) -> DataFrame:
+    """Runs of phrases of ``n`` words merged in partitions by prefix. A prefix has up to three words, since those of one or two
+    can be hot."""
+    prefix = F.substring_index("phrase", " ", PREFIX) if n > PREFIX else F.col("phrase")
+    dealt = found.select("lang", prefix.alias("prefix"), "phrase", "a") if n > PREFIX else found.withColumnRenamed("phrase", "prefix")
+    keys = ["lang", "prefix", "phrase"] if n > PREFIX else ["lang", "prefix"]
+    sums = dealt.repartition("lang", "prefix").groupBy(*keys).agg(F.sum("a").alias("a"))
+    return sums.select("lang", F.col(keys[-1]).alias("phrase"), "a")
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, most_words: int = WORDS) -> tuple[DataFrame, DataFrame]:
@@ -286,10 +296,11 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     )
     out = totals = parts = None
     for n in range(1, most_words + 1):
-        found = landed(runs(texts, n, parts))
-        if n == 1:
+        found = merged(runs(texts, n, parts), n)
+        if n == 1:  # the totals need the rare words too
+            found = landed(found)
             totals = found.groupBy("lang").agg(F.sum("a").alias("n"))
-        frequent = landed(merged(found, least))
+        frequent = landed(found.filter(F.col("a") >= least))
         if n < most_words:
             parts = bitmap_of(frequent, n)
         frequent = frequent.select("lang", "phrase", F.lit(n).alias("n_words"), "a")

@@ -40,7 +40,7 @@ class Codes:
         found = words.dictionary_encode()
         code, known = self.code, self.words
         own = np.empty(len(found.dictionary), np.int64)
-        for k, word in enumerate(found.dictionary.to_pylist()):
+        for k, word in enumerate(found.dictionary.to_numpy(zero_copy_only=False).tolist()):
             at = code.get(word)
             if at is None:
                 at = code[word] = len(known)
@@ -92,9 +92,10 @@ def _split(data: np.ndarray, begins: np.ndarray, alphabet: Alphabet) -> tuple[pa
     np.cumsum(ends - starts, out=lengths[1:])
     plain = alphabet.lower[data[word]]
     words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(lengths), pa.py_buffer(plain)])
-    # a piece starts where a text or the end of a piece lies between a word and the one before it
-    breaks = np.unique(np.concatenate([begins, np.flatnonzero(alphabet.end[data])]))
-    piece = np.searchsorted(breaks, starts, "right")
+    # a piece starts where a text starts or a piece ends between a word and the one before it
+    breaks = alphabet.end[data]
+    breaks[begins] = True
+    piece = np.cumsum(breaks, dtype=np.int32)[starts]
     first = np.ones(len(starts), bool)
     first[1:] = piece[1:] != piece[:-1]
     return words, starts, first
