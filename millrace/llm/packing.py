@@ -163,7 +163,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
 
         for given in batches:
             id_kind = given.schema.field("id").type
-            found = encoder.encode(given.column("text").to_pylist())
+            found = encoder.encode(given.column("text"))
             for doc, ids in zip(given.column("id").to_pylist(), found, strict=True):
                 total = len(ids) // width + 1
                 for tier, pieces in packer.add((doc, 0, ids + end, total)):

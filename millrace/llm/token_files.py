@@ -68,7 +68,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, dtype: str, end_i
                     out = pa.OSFile(f"{stem}.docs{own}", "wb")
                     names = pa.ipc.new_file(out, pa.schema([batch.schema.field("id")]))
                 names.write_batch(batch.select(["id"]))
-                for found in encoder.encode(batch.column("text").to_pylist()):
+                for found in encoder.encode(batch.column("text")):
                     ids.write(found)
                     ids.write(end)
                     lengths.append(len(found) // encoder.dtype.itemsize + 1)
