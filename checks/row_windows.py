@@ -9,8 +9,7 @@ from checks.inputs import bounds
 from checks.jobs import HOUR, SIX_HOURS, carts, facts, page_view_summary, province_summary
 from millrace import schemas
 from millrace.functions.values import flag, is_blank
-from millrace.operators.bounce import next_row, timeouts
-from millrace.operators.changes import entry_page
+from millrace.operators.bounce import next_row
 from millrace.operators.dedup import latest_row
 from millrace.operators.unions import union_all
 from millrace.operators.windows import buffered, sums, tumble, tumble_distinct
@@ -167,9 +166,5 @@ def _(spark, folder):
 FROM uj GROUP BY 1""",
 )
 def _(spark, folder):
-    pages = sample.page_log(spark, folder)
-    jumps = dwd.user_jumps(pages, SIX_HOURS)
-    late = timeouts(pages.withColumn("mid", F.col("common.mid")), "mid", entry_page(), within_seconds=SIX_HOURS)
-    matched = jumps.select("seq").join(late.select("seq"), "seq", "left_anti")
-    both = union_all(late.select(F.lit("timeout").alias("kind")), matched.select(F.lit("match").alias("kind")))
+    both = dwd.judged_entries(sample.page_log(spark, folder), SIX_HOURS)
     return both.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))

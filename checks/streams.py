@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from checks.base import check
 from checks.inputs import bounds, day, text
-from checks.jobs import HOUR
+from checks.jobs import HOUR, SIX_HOURS
 from millrace.functions import cdc, times
-from millrace.operators.changes import is_login
+from millrace.operators.bounce import timeouts
+from millrace.operators.changes import entry_page, is_login
 from millrace.operators.joins import ORDER_WAIT, bounded_join
 from millrace.operators.visitors import login_days
 from millrace.operators.windows import sums, tumble
@@ -23,6 +24,7 @@ from millrace.session import checkpoint_root
 from millrace.sinks.tables import FactTable, VersionedTable
 from millrace.sources import lookups, sample
 from millrace.streaming.runner import run_once
+from millrace.streaming.stateful import hold_delay
 
 
 def scratch(spark) -> str:
@@ -38,6 +40,16 @@ def through(spark, df: DataFrame) -> DataFrame:
     return sink.read(spark)
 
 
+def in_files(spark, df: DataFrame, by: str, n: int = 4, turned: bool = False) -> DataFrame:
+    """A table as a stream of ``n`` files in the order of ``by``, one in each micro-batch; ``turned``: the last one first."""
+    path = f"{scratch(spark)}/in"
+    cuts = df.approxQuantile("_at", [k / n for k in range(1, n)], 0.01) if "_at" in df.columns else []
+    part = sum((F.when(F.col(by) > c, 1).otherwise(0) for c in cuts), F.lit(0))
+    for k in range(n)[:: -1 if turned else 1]:
+        df.where(part == k).drop("_at").coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.drop("_at").schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def event_pages(spark, folder) -> DataFrame:
     return sample.page_log(spark, sample.StreamFolder.of(folder, "events")).withWatermark("rowtime", "3 seconds")
 
@@ -48,6 +60,36 @@ def _(spark, folder):
     return rows.select("seq", F.col("common.mid").alias("mid"), "page.page_id", "ts")
 
 
+# what the watermark has passed at the end of the stream: the waiting time and the out-of-orderness before the last row
+_DECIDED = "epoch_ms(ts) < (SELECT epoch_ms(max(ts)) FROM pv) - 21603000"
+
+
+def page_files(spark, folder, turned: bool = False) -> DataFrame:
+    pages = sample.page_log(spark, folder).withColumn("_at", F.unix_seconds("rowtime").cast("double"))
+    return in_files(spark, pages, "_at", turned=turned)
+
+
+def judged_stream(spark, folder) -> DataFrame:
+    pages = page_files(spark, folder).withWatermark("rowtime", hold_delay(SIX_HOURS))
+    rows = through(spark, dwd.judged_entries(pages, SIX_HOURS))
+    return rows.select("seq", F.col("common.mid").alias("mid"), "kind")
+
+
+@check(
+    "stream_user_jumps",
+    f"""SELECT seq, mid, CASE WHEN next_ts IS NULL OR next_ts - ts >= INTERVAL 6 HOUR THEN 'timeout' ELSE 'match' END AS kind
+FROM uj WHERE {_DECIDED}""",
+)
+def _(spark, folder):
+    return judged_stream(spark, folder)
+
+
+@check("stream_timeouts", f"SELECT seq, mid FROM nx WHERE entry AND (next_ts IS NULL OR next_ts - ts >= INTERVAL 6 HOUR) AND {_DECIDED}")
+def _(spark, folder):
+    pages = page_files(spark, folder).withWatermark("rowtime", hold_delay(SIX_HOURS)).withColumn("mid", F.col("common.mid"))
+    return through(spark, timeouts(pages, "mid", entry_page(), within_seconds=SIX_HOURS)).select("seq", "mid")
+
+
 @check(
     "stream_new_visitor_repair",
     """SELECT seq, mid, CASE WHEN is_new = '1' AND CAST(ts AS DATE) <> origin THEN '0' ELSE is_new END AS is_new FROM (

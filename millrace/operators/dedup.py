@@ -32,17 +32,17 @@ def latest_row(df: DataFrame, keys: list[str], order: Order, columns: list[str]
 
 
 def latest_version(
-    df: DataFrame, keys: list[str], version: str, seq: str, columns: list[str] | None = None
+    df: DataFrame, keys: list[str], version: str, seq: str, columns: list[str] | None = None, clock: str = "EventTime"
 ) -> DataFrame:
     """Latest version per key, ties to the later arrival; works on batch tables and on streams.
 
     Versions are compared as times, also where they are text. A missing or unreadable one counts as the earliest.
 
     A stream gives the rows of a key a settling time, counted from the first of them, and then emits the
-    latest (see ``streaming.stateful.settle_latest``).
+    latest (see ``streaming.stateful.settle_latest``); ``clock`` says whether by the watermark or by the time of the machine.
     """
     if df.isStreaming:
         from millrace.streaming.stateful import settle_latest
 
-        return settle_latest(df, keys, version, seq).select(*(columns or df.columns))
+        return settle_latest(df, keys, version, seq, clock=clock).select(*(columns or df.columns))
     return latest_row(df, keys, [times.version_time(version), F.col(seq)], columns)

@@ -13,13 +13,19 @@ from millrace.operators.dedup import first_row
 RETURN_DAYS = 8
 
 
-def first_per_day(df: DataFrame, key: str, ts: str = "rowtime", seq: str = "seq", also: list[str] | None = None) -> DataFrame:
-    """The first row of every key and day. ``also`` adds columns to the key (such as the page)."""
+def first_per_day(
+    df: DataFrame, key: str, ts: str = "rowtime", seq: str = "seq", also: list[str] | None = None, clock: str = "EventTime"
+) -> DataFrame:
+    """The first row of every key and day. ``also`` adds columns to the key (such as the page).
+
+    On a stream ``clock`` says what ends a day's state: the watermark, which also drops late rows, or ``ProcessingTime``, the
+    time of the machine, which drops none.
+    """
     keys = [key, *(also or [])]
     if df.isStreaming:
         from millrace.streaming.stateful import first_per_day_stream
 
-        return first_per_day_stream(df, keys, ts, seq)
+        return first_per_day_stream(df, keys, ts, seq, clock)
     return first_row(df.withColumn("_day", times.day(ts)), [*keys, "_day"], [ts, seq]).drop("_day")
 
 
@@ -55,14 +61,14 @@ def repair_new_visitor(
 def login_days(df: DataFrame, key: str, ts: str = "rowtime", min_days: int = RETURN_DAYS) -> DataFrame:
     """One row per user and login day with ``uu_ct`` = 1 and ``back_ct`` = 1 on a return after a long break.
 
-    The rows are reduced to one per user and day first, so the ordered window over a user has at most as many
+    A row without a time has no day and is left out. The rows are reduced to one per user and day first, so the ordered window over a user has at most as many
     rows as there are days.
     """
     if df.isStreaming:
         from millrace.streaming.stateful import login_days_stream
 
         return login_days_stream(df, key, ts, min_days)
-    days = first_time_per_day(df, [key], ts)
+    days = first_time_per_day(df.where(F.col(ts).isNotNull()), [key], ts)
     last = F.lag("day").over(Window.partitionBy(key).orderBy("day"))
     back = flag(times.days_since(ts, last) >= min_days)
     return days.select(key, ts, F.lit(1).cast("long").alias("uu_ct"), back.alias("back_ct"))

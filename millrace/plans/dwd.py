@@ -9,7 +9,7 @@ from millrace import schemas
 from millrace.functions import times
 from millrace.functions.cdc import added, before, field, fields, grew, routed, transitioned
 from millrace.functions.values import money
-from millrace.operators.bounce import WITHIN_SECONDS, bounces
+from millrace.operators.bounce import WITHIN_SECONDS, verdicts
 from millrace.operators.changes import entry_page
 from millrace.operators.enrich import lookup
 from millrace.operators.joins import ORDER_WAIT, REFUND_WAIT, bounded_join
@@ -50,16 +50,21 @@ def log_split(log: DataFrame) -> dict[str, DataFrame]:
     return split_log(repaired_log(log))
 
 
-def unique_visitors(pages: DataFrame) -> DataFrame:
-    """First entry page of every visitor and day."""
+def unique_visitors(pages: DataFrame, clock: str = "EventTime") -> DataFrame:
+    """First entry page of every visitor and day. For ``clock`` see ``visitors.first_per_day``."""
     entries = pages.where(F.col("page").isNotNull() & entry_page())
-    return first_per_day(entries.withColumn("_mid", F.col("common.mid")), "_mid").drop("_mid")
+    return first_per_day(entries.withColumn("_mid", F.col("common.mid")), "_mid", clock=clock).drop("_mid")
+
+
+def judged_entries(pages: DataFrame, within_seconds: int = WITHIN_SECONDS) -> DataFrame:
+    """Entry pages after which the visitor left, with their ``kind``: ``match`` or ``timeout``."""
+    rows = pages.where(F.col("page").isNotNull()).withColumn("_mid", F.col("common.mid"))
+    return verdicts(rows, "_mid", entry_page(), within_seconds=within_seconds).drop("_mid")
 
 
 def user_jumps(pages: DataFrame, within_seconds: int = WITHIN_SECONDS) -> DataFrame:
     """Entry pages after which the visitor left."""
-    rows = pages.where(F.col("page").isNotNull()).withColumn("_mid", F.col("common.mid"))
-    return bounces(rows, "_mid", entry_page(), within_seconds=within_seconds).drop("_mid")
+    return judged_entries(pages, within_seconds).drop("kind")
 
 
 # --- trade -------------------------------------------------------------------------------------------

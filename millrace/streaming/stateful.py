@@ -24,6 +24,9 @@ OUT_OF_ORDER_SECONDS = 3
 SETTLE_SECONDS = 5
 DAY_MILLIS = 24 * 60 * 60 * 1000
 
+#: Clocks of timers and of the life of state: the watermark, or the time of the machine.
+EVENT, PROCESSING = "EventTime", "ProcessingTime"
+
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
@@ -90,7 +93,9 @@ class _FirstOfDay(StatefulProcessor):
             if first:
                 known = True
                 self._seen.update((True,))
-                self._handle.registerTimer(row["_micros"] // 1000 + DAY_MILLIS)
+                # without a time there is nothing to count from: the entry stays
+                if row["_micros"] is not None:
+                    self._handle.registerTimer(row["_micros"] // 1000 + DAY_MILLIS)
             if self._flag:
                 yield Row(_ts=row["_ts"], _payload=row["_payload"], first=int(first))
             elif first:
@@ -104,9 +109,32 @@ class _FirstOfDay(StatefulProcessor):
         pass
 
 
-def first_per_day_stream(df: DataFrame, keys: list[str], ts: str, seq: str) -> DataFrame:
-    """First row of every key and day. A row of an earlier day that comes late is judged by its own day."""
-    return _run(df, [*map(F.col, keys), times.day(ts)], _FirstOfDay(False), ts, seq, {})
+class _FirstOfDayByClock(StatefulProcessor):
+    """As ``_FirstOfDay``, but the entry lives for a day of the machine's clock. Nothing depends on a watermark, so no row is late."""
+
+    def init(self, handle) -> None:
+        self._seen = handle.getValueState("seen", "seen boolean", DAY_MILLIS)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if not self._seen.exists():
+            self._seen.update((True,))
+            row = _in_order(rows)[0]
+            yield Row(_ts=row["_ts"], _payload=row["_payload"])
+
+    def close(self) -> None:
+        pass
+
+
+def first_per_day_stream(df: DataFrame, keys: list[str], ts: str, seq: str, clock: str = EVENT) -> DataFrame:
+    """First row of every key and day. A row of an earlier day that comes late is judged by its own day.
+
+    With ``clock=PROCESSING`` a row is never dropped as late, and rows without a time are a day of their own; a key's row
+    that comes more than a day of real time after the first one of its day counts as a first one again.
+    """
+    by = [*map(F.col, keys), times.day(ts)]
+    if clock == PROCESSING:
+        return _run(df, by, _FirstOfDayByClock(), ts, seq, {}, mode=PROCESSING)
+    return _run(df, by, _FirstOfDay(False), ts, seq, {})
 
 
 def flag_first_per_day(df: DataFrame, keys: list[str], ts: str, seq: str) -> DataFrame:
@@ -166,31 +194,36 @@ class _Login(StatefulProcessor):
 
 
 def login_days_stream(df: DataFrame, key: str, ts: str, min_days: int) -> DataFrame:
-    rows = df.select(key, ts)
+    rows = df.select(key, ts).where(F.col(ts).isNotNull())
     scalars = {"_day_no": F.unix_date(F.to_date(ts))}
     return _run(rows, [F.col(key)], _Login(min_days), ts, F.lit("0"), scalars, "uu_ct long, back_ct long")
 
 
+def _newer(kept: tuple | None, row: Row) -> tuple:
+    """Version, payload and time of what stays of ``kept`` and ``row``: the larger version, or of equal ones the later row."""
+    version = row["_version"] if row["_version"] is not None else -(2**63)
+    return (version, row["_payload"], row["_ts"]) if kept is None or kept[0] <= version else kept
+
+
 class _Settle(StatefulProcessor):
-    """Latest version of a key, held from its first row until the settling time is over."""
+    """Latest version of a key, held from its first row until the settling time is over. A row without a time sets no timer of
+    its own: alone, it leaves as soon as the watermark moves."""
 
     def init(self, handle) -> None:
         self._handle = handle
         self._kept = handle.getValueState("kept", "version long, payload string, ts timestamp, due long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        kept = self._kept.get() if self._kept.exists() else None
-        due = kept[3] if kept else None
+        held = self._kept.get() if self._kept.exists() else None
+        kept, due = (tuple(held[:3]), held[3]) if held else (None, None)
         for row in sorted(rows, key=lambda r: _rank(r["_seq"])):
-            version = row["_version"] if row["_version"] is not None else -(2**63)
-            if kept is None or kept[0] <= version:
-                kept = (version, row["_payload"], row["_ts"], None)
-            at = row["_micros"] // 1000
+            kept = _newer(kept, row)
+            at = 0 if row["_micros"] is None else row["_micros"] // 1000
             if due is None or at < due:
                 if due is not None and self._kept.exists():
                     self._handle.deleteTimer(due)
                 due = at
-        self._kept.update((kept[0], kept[1], kept[2], due))
+        self._kept.update((*kept, due))
         self._handle.registerTimer(due)
         return iter(())
 
@@ -204,31 +237,68 @@ class _Settle(StatefulProcessor):
         pass
 
 
-def settle_latest(df: DataFrame, keys: list[str], version: str, seq: str, ts: str = "rowtime") -> DataFrame:
-    """Stream side of ``dedup.latest_version``; input delay ``hold_delay(SETTLE_SECONDS)``."""
+class _SettleByClock(StatefulProcessor):
+    """Latest version of a key, held for some seconds of the machine's clock from the arrival of its first row."""
+
+    def __init__(self, seconds: int):
+        self._millis = seconds * 1000
+
+    def init(self, handle) -> None:
+        self._handle = handle
+        self._kept = handle.getValueState("kept", "version long, payload string, ts timestamp")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        kept = tuple(self._kept.get()) if self._kept.exists() else None
+        if kept is None:
+            self._handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self._millis)
+        for row in sorted(rows, key=lambda r: _rank(r["_seq"])):
+            kept = _newer(kept, row)
+        self._kept.update(kept)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self._kept.exists():
+            _, payload, ts = self._kept.get()
+            self._kept.clear()
+            yield Row(_ts=ts, _payload=payload)
+
+    def close(self) -> None:
+        pass
+
+
+def settle_latest(df: DataFrame, keys: list[str], version: str, seq: str, ts: str = "rowtime", clock: str = EVENT, seconds: int = SETTLE_SECONDS) -> DataFrame:
+    """Stream side of ``dedup.latest_version``; input delay ``hold_delay(SETTLE_SECONDS)``.
+
+    With ``clock=PROCESSING`` a key's rows settle for ``seconds`` of real time, counted from the arrival of the first of them;
+    no watermark is needed and no row is late.
+    """
     scalars = {"_version": F.coalesce(F.unix_micros(times.version_time(version)), F.lit(-(1 << 62)))}
-    return _run(df, list(map(F.col, keys)), _Settle(), ts, seq, scalars)
+    processor = _SettleByClock(seconds) if clock == PROCESSING else _Settle()
+    return _run(df, list(map(F.col, keys)), processor, ts, seq, scalars, mode=clock)
 
 
 class _Bounce(StatefulProcessor):
-    """Rows of a visitor that the watermark has not passed yet, and the verdict on those it has."""
+    """Rows of a visitor's time slice that the watermark has not passed yet, and the verdict on those it has.
+
+    ``own`` marks the rows of the slice; the others belong to the start of the next one and are only there to be seen.
+    """
 
     def __init__(self, within_seconds: int):
         self._within = within_seconds * 1_000_000
 
     def init(self, handle) -> None:
         self._handle = handle
-        self._rows = handle.getListState("rows", "micros long, seq string, entry boolean, ts timestamp, payload string")
+        self._rows = handle.getListState("rows", "micros long, seq string, entry boolean, own boolean, ts timestamp, payload string")
         self._due = handle.getValueState("due", "due long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(r["_micros"], r["_seq"], r["_entry"], r["_ts"], r["_payload"]) for r in rows]
+        new = [(r["_micros"], r["_seq"], r["_entry"], r["_own"], r["_ts"], r["_payload"]) for r in rows]
         self._rows.appendList(new)
         self._wake(min(r[0] for r in new) // 1000)
         return iter(())
 
     def _wake(self, at: int) -> None:
-        """Keep a single timer per visitor, at the earliest undecided row."""
+        """Keep a single timer per slice, at the earliest undecided row."""
         due = self._due.get()[0] if self._due.exists() else None
         if due is None or at < due:
             if due is not None:
@@ -248,15 +318,19 @@ class _Bounce(StatefulProcessor):
         else:
             self._rows.clear()
         for row, follow in zip(done, [*rows[1:], None]):
-            if row[2] and (follow is None or follow[0] - row[0] >= self._within or follow[2]):
-                yield Row(_ts=row[3], _payload=row[4])
+            if row[2] and row[3]:
+                if follow is None or follow[0] - row[0] >= self._within:
+                    yield Row(_ts=row[4], _payload=row[5], kind="timeout")
+                elif follow[2]:
+                    yield Row(_ts=row[4], _payload=row[5], kind="match")
 
     def close(self) -> None:
         pass
 
 
-def bounces_stream(df: DataFrame, key: str, entry: Column, ts: str, seq: str, within_seconds: int) -> DataFrame:
-    """Stream side of ``bounce.bounces``; input delay ``hold_delay(within_seconds)``."""
-    scalars = {"_entry": F.coalesce(entry, F.lit(False))}
-    return _run(df, [F.col(key)], _Bounce(within_seconds), ts, seq, scalars)
-
+def verdicts_stream(df: DataFrame, key: str, ts: str, seq: str, within_seconds: int, slices: list[str]) -> DataFrame:
+    """Stream side of ``bounce.verdicts``; input delay ``hold_delay(within_seconds)``. ``df`` is cut into ``slices``: the slice
+    a row is shown to, whether it is its own, and whether the row is an entry."""
+    shown, own, entry = slices
+    scalars = {"_entry": F.col(entry), "_own": F.col(own)}
+    return _run(df, [F.col(key), F.col(shown)], _Bounce(within_seconds), ts, seq, scalars, "kind string").drop(*slices)

@@ -1,6 +1,7 @@
 """A stream cut into files gives the rows of the same table read at once."""
 
 import datetime
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from millrace.operators.windows import tumble, tumble_distinct
 from millrace.plans import dwd, dws
 from millrace.sinks.tables import VersionedTable
 from millrace.sources import lookups, sample
-from millrace.streaming.runner import late_rows, run_once
-from millrace.streaming.stateful import SETTLE_SECONDS, flag_first_per_day, hold_delay
+from millrace.streaming.runner import late_rows, run_once, start
+from millrace.streaming.stateful import PROCESSING, SETTLE_SECONDS, flag_first_per_day, hold_delay, settle_latest
 
 FAR = datetime.datetime(2031, 1, 1)
 
@@ -240,3 +241,72 @@ def test_late_rows_are_dropped_and_counted(spark, stream_of, drain):
     got, query = drain(tumble(stream, [F.count(F.lit(1)).alias("n")], now=F.lit(0)))
     assert rows_of(got, "stt", "n") == [("1970-01-01 00:01:40", 2), ("1970-01-01 00:03:20", 2)]
     assert late_rows(query) == 1
+
+
+def until(found, query, seconds=90):
+    """Wait for a running stream's result, then stop it."""
+    try:
+        end = time.time() + seconds
+        while not found() and time.time() < end and query.exception() is None:
+            time.sleep(0.5)
+        assert query.exception() is None
+        assert found()
+    finally:
+        query.stop()
+
+
+def test_kinds_of_bounces(spark, stream_of, drain, pages):
+    """Matches and time-outs come out of one pass, on the table and on the stream."""
+    parts, far = pages_in_parts(spark)
+    hours = 6 * 3600
+    got, _ = drain(dwd.judged_entries(stream_of(*parts, far).withWatermark("rowtime", hold_delay(hours)), hours))
+    want = dwd.judged_entries(pages, hours)
+    assert rows_of(got.where("seq < 1000000000"), "seq", "kind") == rows_of(want, "seq", "kind")
+    assert {r.kind for r in want.select("kind").distinct().collect()} == {"match", "timeout"}
+
+
+def visits(spark, *rows):
+    return spark.createDataFrame([(s, m, None if t is None else datetime.datetime.fromtimestamp(t, datetime.UTC), v) for s, m, t, v in rows], "seq long, mid string, rowtime timestamp, v string")
+
+
+def test_rows_without_a_time(spark, stream_of, drain):
+    """No time, no visit: bounces and logins leave such a row out, first visits give it a day of its own, on tables and streams."""
+    from millrace.operators.bounce import verdicts
+    from millrace.operators.visitors import first_per_day, login_days
+
+    table = visits(spark, (1, "a", 100, ""), (2, "a", None, ""), (3, "b", None, None), (4, "a", 105, "home"), (5, "b", 200, ""))
+    far = visits(spark, (9, "far", 10_000_000, "home"))
+    jobs = {
+        "verdicts": lambda d: verdicts(d, "mid", F.coalesce("v", F.lit("")) == "", within_seconds=10).select("seq", "kind"),
+        "first": lambda d: first_per_day(d, "mid").select("seq"),
+        "login": lambda d: login_days(d, "mid").select("mid", "rowtime"),
+    }
+    for name, job in jobs.items():
+        got, _ = drain(job(stream_of(table, far).withWatermark("rowtime", "13 seconds")), name=name)
+        assert [r for r in rows_of(got) if r[0] not in (9, "far")] == [r for r in rows_of(job(table))]
+    assert rows_of(jobs["verdicts"](table)) == [(5, "timeout")]
+
+
+def test_first_visits_by_the_clock_lose_no_late_row(spark, stream_of, tmp_path):
+    """The last file comes first and no watermark is set: each visitor and day still gives exactly one row."""
+    pages = sample.page_log(spark, SMALL)
+    parts, _ = pages_in_parts(spark, 3)
+    nowhere = parts[0].limit(1).withColumn("rowtime", F.lit(None).cast("timestamp")).withColumn("page", F.col("page").withField("last_page_id", F.lit("")))
+    stream = dwd.unique_visitors(stream_of(*parts[::-1], nowhere), clock=PROCESSING)
+    seen = []
+    query = start(stream.select(F.col("common.mid").alias("mid"), times.day("rowtime").alias("day")), lambda b, _: seen.extend(map(tuple, b.collect())), str(tmp_path / "c"), every="1 second")
+    want = {(r.mid, r.day) for r in dwd.unique_visitors(pages).select(F.col("common.mid").alias("mid"), times.day("rowtime").alias("day")).collect()}
+    until(lambda: len(seen) > len(want), query)
+    assert len(seen) == len(set(seen)) and want == {s for s in seen if s[1] is not None} and sum(s[1] is None for s in seen) == 1
+
+
+def test_settling_by_the_clock(spark, stream_of, tmp_path):
+    """Versions wait for some seconds of real time; one that comes later than all watermarks still counts."""
+    make = lambda *rows: spark.createDataFrame(rows, "id string, seq long, version string, sec long").select(
+        "id", "seq", "version", F.timestamp_seconds("sec").alias("rowtime")
+    )
+    stream = stream_of(make(("a", 1, "2024-01-01 00:00:02", 9000), ("b", 2, None, 9000)), make(("a", 3, "2024-01-01 00:00:01", 5)), make(("a", 4, "2024-01-01 00:00:02", 7), ("c", 5, "x", None)))
+    seen = []
+    query = start(settle_latest(stream, ["id"], "version", "seq", clock=PROCESSING, seconds=20), lambda b, _: seen.extend((r.id, r.seq) for r in b.collect()), str(tmp_path / "c"), every="1 second")
+    until(lambda: len(seen) >= 3, query)
+    assert sorted(seen) == [("a", 4), ("b", 2), ("c", 5)]
