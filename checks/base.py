@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -8,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.inputs import INPUTS
-from millrace.session import tune
+from millrace.session import checkpoint_root, tune
 
 NOW_MS = 1_700_000_000_000
 
@@ -22,6 +23,11 @@ def now_ts():
     return F.timestamp_millis(now_ms())
 
 
+def scratch(spark) -> str:
+    """A new folder beside the checkpoints, in shared storage on a cluster."""
+    return f"{checkpoint_root(spark)}/run-{uuid.uuid4().hex}"
+
+
 @dataclass(frozen=True)
 class Check:
     name: str

@@ -5,12 +5,10 @@ Rows that only a later event would release are left to the tests; the queries he
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from checks.base import check
+from checks.base import check, scratch
 from checks.inputs import bounds, day, text
 from checks.jobs import HOUR, SIX_HOURS
 from millrace.functions import cdc, times
@@ -20,18 +18,12 @@ from millrace.operators.joins import ORDER_WAIT, bounded_join
 from millrace.operators.visitors import login_days
 from millrace.operators.windows import sums, tumble
 from millrace.plans import dwd
-from millrace.session import checkpoint_root
 from millrace.sinks.tables import FactTable, VersionedTable
 from millrace.sources import lookups, sample
 from millrace.streaming.runner import run_once
 from millrace.streaming.stateful import hold_delay
 
 
-def scratch(spark) -> str:
-    """A new folder beside the checkpoints, in shared storage on a cluster."""
-    return f"{checkpoint_root(spark)}/run-{uuid.uuid4().hex}"
-
-
 def through(spark, df: DataFrame) -> DataFrame:
     """Run a stream to the end of its input and read what it wrote."""
     folder = scratch(spark)

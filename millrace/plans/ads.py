@@ -31,6 +31,13 @@ def of_day(rows: DataFrame, table: str, date: int | None) -> DataFrame:
     return latest(rows.where(F.col("dt") == day_or_today(date)), SUMMARY_KEYS[table])
 
 
+def rows_of_day(rows: DataFrame, date: int | None, ts: str = "rowtime", follow_seconds: int = 0) -> DataFrame:
+    """Input rows of one day, for a summary that is computed for that day alone: a time range that Catalyst moves below the
+    windows. ``follow_seconds`` adds what a pattern has to see of the next day. All versions of a row share its time."""
+    begin = F.to_timestamp(day_or_today(date).cast("string"), "yyyyMMdd")
+    return rows.where((F.col(ts) >= begin) & (F.unix_seconds(ts) < F.unix_seconds(begin + F.expr("INTERVAL 1 DAY")) + follow_seconds))
+
+
 def gmv(province_orders: DataFrame, date: int | None = None) -> DataFrame:
     """Amount of a day: one row, null when the day has none."""
     rows = of_day(province_orders, "dws_trade_province_order_window", date)

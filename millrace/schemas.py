@@ -114,5 +114,27 @@ SUMMARY_KEYS = {
     "dws_trade_province_order_window": ["stt", "edt", "province_id"],
 }
 
+SUMMARY_COLUMNS = {
+    "dws_traffic_source_keyword_page_view_window": KEYWORD_WINDOW,
+    "dws_traffic_vc_ch_ar_is_new_page_view_window": PAGE_VIEW_WINDOW,
+    "dws_traffic_home_detail_page_view_window": HOME_DETAIL_WINDOW,
+    "dws_user_user_login_window": USER_LOGIN_WINDOW,
+    "dws_trade_cart_add_uu_window": CART_ADD_UU_WINDOW,
+    "dws_trade_sku_order_window": SKU_ORDER_WINDOW,
+    "dws_trade_province_order_window": PROVINCE_ORDER_WINDOW,
+}
+
+
+def summary_types(name: str) -> str:
+    """Declared types of a summary: amounts are decimals, counts, sums and versions are longs, the rest is text."""
+
+    def kind(column: str) -> str:
+        if column.endswith("_amount"):
+            return "decimal(38,2)"
+        return "long" if column in ("ts", "dur_sum") or column.endswith(("_ct", "_count")) else "string"
+
+    return ", ".join(f"{c} {kind(c)}" for c in SUMMARY_COLUMNS[name])
+
+
 #: Input schema of the order detail fact as it is read back from its topic.
 ORDER_DETAIL_FACT = _strings(*ORDER_DETAIL)

@@ -41,11 +41,14 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
 def checkpoint_root(spark: SparkSession) -> str:
     """Folder for checkpoints and hand-over tables.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``. Only where that is unset, as in a local
-    test, a fresh temporary folder is used (and remembered for the session).
+    A cluster names a shared folder in ``spark.checkpoint.dir``; without one it is an error. Only where all of Spark is one
+    process, as in a local test, a fresh temporary folder is used (and remembered for the session).
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

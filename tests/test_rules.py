@@ -13,6 +13,7 @@ from millrace import schemas
 from millrace.plans import ads, dim, dwd
 from millrace.sinks import dimensions, external, tables
 from millrace.sources import lookups, topics
+from millrace.streaming.runner import run_once
 
 
 def at(text):
@@ -275,6 +276,57 @@ def test_versioned_table(spark, tmp_path):
     assert rows_of(table.compact(spark, str(tmp_path / "c")).read(spark), "stt", "n") == [(day[0], 2), (other[0], 8)]
     with pytest.raises(ValueError):
         tables.by_position(table.read(spark), ["a"])
+    # a day is the outer folder, and a repeated micro-batch replaces its own rows
+    table.append(batch((*day, 4, 11)), 2)
+    assert sorted(x.name for x in (tmp_path / "t").glob("dt=*")) == ["dt=20240101", "dt=20240102"]
+    assert rows_of(table.versions(spark).where("batch_id = 2"), "n") == [(4,)]
+
+
+def test_summary_without_rows(spark, tmp_path):
+    name = "dws_trade_province_order_window"
+    table = tables.VersionedTable.summary(str(tmp_path / "s"), name)
+    assert table.read(spark).collect() == [] and table.read(spark, 20240101).collect() == []  # not there yet
+    rows = province_rows(spark, ("2024-01-01", "1", "p", 5.0, 1)).withColumn("order_amount", F.col("order_amount").cast("decimal(38,2)"))
+    table.append(rows.limit(0))
+    assert table.read(spark).collect() == []
+    table.append(rows, 1)
+    assert [r.order_amount for r in table.read(spark, 20240101).collect()] == [5]
+
+
+def test_equal_versions(spark, tmp_path):
+    """The later micro-batch counts; in a plain table, whose arrival nobody knows, always the same row."""
+    name = "dws_trade_province_order_window"
+    table = tables.VersionedTable.summary(str(tmp_path / "s"), name)
+    for number, amount in enumerate([9, 1, 5]):
+        rows = province_rows(spark, ("2024-01-01", "1", "p", float(amount), 7))
+        table.append(rows.withColumn("order_amount", F.col("order_amount").cast("decimal(38,2)")), number)
+    assert [r.order_amount for r in table.read(spark).collect()] == [5]
+    plain = table.versions(spark).drop("batch_id", "run")
+    for n in (1, 3):
+        assert [r.order_amount for r in tables.latest(plain.repartition(n), table.keys).collect()] == [9]
+
+
+def test_two_queries_write_one_table(spark, tmp_path):
+    """Their micro-batches have the same numbers, and neither replaces the other's."""
+    spark.range(3).selectExpr("id AS a").write.parquet(str(tmp_path / "in"))
+    for sink in (tables.FactTable(str(tmp_path / "facts")), tables.VersionedTable(str(tmp_path / "sums"), ["a"], ["a", "stt", "ts"])):
+        for n in (1, 2):
+            rows = spark.readStream.schema("a long").parquet(str(tmp_path / "in"))
+            rows = rows.selectExpr(f"a + {n * 10} AS a", "'2024-01-01 00:00:00' AS stt", "1L AS ts")
+            for _ in range(2):  # a restart adds nothing
+                run_once(rows, sink.append, str(tmp_path / f"c-{type(sink).__name__}-{n}"))
+        assert rows_of(sink.read(spark), "a") == [(10 * n + k,) for n in (1, 2) for k in range(3)]
+
+
+def test_shared_folder_is_asked_for(monkeypatch):
+    from types import SimpleNamespace
+
+    from millrace.session import checkpoint_root
+
+    unset = SimpleNamespace(get=lambda *_: None)
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            checkpoint_root(SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master=master)))
 
 
 def test_dimension_misses(spark):
