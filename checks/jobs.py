@@ -10,6 +10,7 @@ from millrace.functions import times
 from millrace.functions.values import once
 
 from millrace.plans import ads, dim, dwd, dws
+from millrace.sinks.dimensions import DimensionStore
 from millrace.sinks.tables import VersionedTable, with_day
 from millrace.sources import lookups, sample, topics
 
@@ -64,16 +65,31 @@ def flat_page(df, *more):
     return df.select("seq", F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"), "ts", *more)
 
 
-@check(
-    "q1_dimension_tables",
-    f"""
+DIMENSION_CELLS = f"""
 SELECT 'dim_sku_info' AS sink_table, id AS pk, unnest(['id','sku_name','tm_id','category3_id','spu_id']) AS "column",
   unnest([id, sku_name, tm_id, category3_id, spu_id]) AS value FROM dim_sku
 UNION ALL SELECT 'dim_base_province', {text('n_nationkey')}, unnest(['id','name','region_id']),
   unnest([{text('n_nationkey')}, n_name, {text('n_regionkey')}]) FROM nation
 UNION ALL SELECT 'dim_base_trademark', p_brand, unnest(['id','tm_name']), unnest([p_brand, upper(p_brand)])
-  FROM (SELECT DISTINCT p_brand FROM part)""",
-)
+  FROM (SELECT DISTINCT p_brand FROM part)"""
+
+
+def written_dimensions(spark, folder, database: str = "default", ddl: bool = False, snapshot: bool = False) -> DimensionStore:
+    """The dimension job over two micro-batches, with a snapshot of the products between them or not."""
+    path = scratch(spark)
+    store, log = DimensionStore(path), sample.dimension_log(spark, folder)
+    run = dim.upsert_batch(sample.config_changes, path, database, ddl)
+    run(log.where("seq <= 3"), 0)
+    if snapshot:
+        store.snapshot(spark, "dim_sku_info", "id", SKU_COLUMNS)
+    run(log.where("seq > 3"), 1)
+    return store
+
+
+SKU_COLUMNS = ["id", "sku_name", "tm_id", "category3_id", "spu_id"]
+
+
+@check("q1_dimension_tables", DIMENSION_CELLS)
 def _(spark, folder):
     return dim.dimension_cells(sample.dimension_log(spark, folder), sample.config_changes(spark))
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from checks.base import NOW_MS, check, now_ms
+from checks.base import NOW_MS, check, now_ms, scratch
 from checks.inputs import bounds, day, text
-from checks.jobs import facts, page_view_summary, province_summary, stored
+from checks.jobs import SKU_COLUMNS, facts, page_view_summary, province_summary, stored, written_dimensions
 from millrace import schemas
 from millrace.operators.unions import union_all
 from millrace.plans import dim, dwd, dws
 from millrace.sinks import external, tables
+from millrace.sinks.dimensions import config_rows
 from millrace.sources import lookups, sample, topics
 
 
@@ -140,8 +143,8 @@ def _(spark, folder):
 
 @check("k3_dimension_upsert", "SELECT id, sku_name, tm_id, category3_id, spu_id FROM dim_sku")
 def _(spark, folder):
-    columns = ["id", "sku_name", "tm_id", "category3_id", "spu_id"]
-    return dim.dimension_table(sample.dimension_log(spark, folder), sample.config_changes(spark), "dim_sku_info", columns)
+    # the second micro-batch meets a snapshot of the first
+    return written_dimensions(spark, folder, snapshot=True).read(spark, "dim_sku_info", "id", SKU_COLUMNS)
 
 
 @check(
@@ -154,13 +157,16 @@ LEFT JOIN (SELECT 'dim_sku_info' AS t, unnest(['id','sku_name','tm_id','category
 ON t = sink_table AND k = col""",
 )
 def _(spark, folder):
-    config = lookups.latest_config(sample.config_changes(spark))
-    columns = config.select("sink_table", "sink_pk", F.explode(F.split("sink_columns", ",")).alias("column"))
-    cells = dim.dimension_cells(sample.dimension_log(spark, folder), sample.config_changes(spark))
-    filled = cells.where(F.col("value").isNotNull()).groupBy("sink_table", "column").agg(F.count(F.lit(1)).alias("n"))
-    is_pk = F.when(F.col("column") == F.col("sink_pk"), 1).otherwise(0).alias("is_pk")
-    rows = columns.join(filled, ["sink_table", "column"], "left")
-    return rows.select("sink_table", "column", is_pk, F.coalesce("n", F.lit(0)).alias("n"))
+    database = f"dims_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch(spark)}'")
+    written_dimensions(spark, folder, database, ddl=True)
+    parts = []
+    for entry in config_rows(lookups.latest_config(sample.config_changes(spark))):
+        table = spark.table(f"{database}.{entry['sink_table']}")
+        for name in table.columns:
+            is_pk = F.lit(int(name == entry["sink_pk"])).alias("is_pk")
+            parts.append(table.agg(F.count(name).alias("n")).select(F.lit(entry["sink_table"]).alias("sink_table"), F.lit(name).alias("column"), is_pk, "n"))
+    return union_all(*parts)
 
 
 @check(
@@ -230,8 +236,8 @@ LEFT JOIN dim_sku ON sku_id = id""",
 def _(spark, folder):
     from millrace.operators.enrich import enrich
 
-    columns = ["id", "sku_name", "tm_id"]
-    snapshot = dim.dimension_table(sample.dimension_log(spark, folder), sample.config_changes(spark), "dim_sku_info", columns)
+    # read again after the second micro-batch
+    snapshot = written_dimensions(spark, folder, snapshot=True).read(spark, "dim_sku_info", "id", SKU_COLUMNS)
     line = sample.table(spark, folder, "lineitem")
     orders = line.select(F.col("l_partkey").cast("string").alias("sku_id"), "l_orderkey").distinct()
     orders = orders.groupBy("sku_id").agg(F.count(F.lit(1)).alias("orders"))

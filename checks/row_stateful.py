@@ -135,13 +135,22 @@ def _(spark, folder):
     return display_rows(log).select(*columns("display")).unionByName(action_rows(log).select(*columns("action")))
 
 
-@check("b1_config_state", "SELECT c_mktsegment, count(*) AS customers, CAST(0 AS BIGINT) AS configured FROM customer GROUP BY 1")
+@check(
+    "b1_config_state",
+    """SELECT state, c_mktsegment, count(*) AS customers, CASE WHEN state = 'put' THEN count(*) ELSE 0 END AS configured
+FROM customer, (VALUES ('put'), ('removed')) s(state) GROUP BY state, c_mktsegment""",
+)
 def _(spark, folder):
-    # the user table was configured once and its configuration deleted later, so its rows are dropped
-    config = lookups.latest_config(sample.config_changes(spark)).where(F.col("source_table") == "user_info")
+    # the user table is configured by the fifth change and its configuration deleted by the sixth
+    changes = sample.config_changes(spark)
     customer = sample.table(spark, folder, "customer").withColumn("t", F.lit("user_info"))
-    hit = customer.join(config, F.col("t") == F.col("source_table"), "left")
-    return hit.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers"), F.count("source_table").alias("configured"))
+
+    def hits(state: str, until: int):
+        config = lookups.latest_config(changes.where(F.col("seq") <= until)).where(F.col("source_table") == "user_info")
+        hit = customer.join(config, F.col("t") == F.col("source_table"), "left").withColumn("state", F.lit(state))
+        return hit.groupBy("state", "c_mktsegment").agg(F.count(F.lit(1)).alias("customers"), F.count("source_table").alias("configured"))
+
+    return hits("put", 5).unionByName(hits("removed", 6))
 
 
 @check("b2_settled_versions", "SELECT versions, count(*) AS ids FROM (SELECT id, count(*) AS versions FROM fact_versions GROUP BY id) GROUP BY versions")

@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 
 from checks.base import check, scratch
 from checks.inputs import bounds, day, text
-from checks.jobs import HOUR, SIX_HOURS
+from checks.jobs import DIMENSION_CELLS, HOUR, SIX_HOURS, SKU_COLUMNS
 from millrace.functions import cdc, times
 from millrace.operators.bounce import timeouts
 from millrace.operators.changes import entry_page, is_login
 from millrace.operators.joins import ORDER_WAIT, bounded_join
+from millrace.operators.unions import union_all
 from millrace.operators.visitors import login_days
 from millrace.operators.windows import sums, tumble
-from millrace.plans import dwd
+from millrace.plans import dim, dwd
+from millrace.sinks.dimensions import DimensionStore
 from millrace.sinks.tables import FactTable, VersionedTable
 from millrace.sources import lookups, sample
 from millrace.streaming.runner import run_once
@@ -144,3 +146,34 @@ def _(spark, folder):
     table = VersionedTable(f"{target}/rows", ["stt", "edt", "ch"], ["stt", "edt", "ch", "during_time", "ts"])
     run_once(tumble(views, sums("during_time"), ["ch"], HOUR), table.append, f"{target}/checkpoint", "update")
     return table.read(spark).select("stt", "edt", "ch", "during_time")
+
+
+@check(
+    "stream_dimensions",
+    f"""SELECT * FROM ({DIMENSION_CELLS})
+UNION ALL SELECT 'dim_user_info', {text('c_custkey')}, unnest(['id','name']), unnest([{text('c_custkey')}, c_name]) FROM customer WHERE c_custkey % 2 = 0""",
+)
+def _(spark, folder):
+    """The configuration changes between two micro-batches: brands are put into it, users are taken out of it.
+
+    What comes before a table is configured, or after it no longer is, is dropped.
+    """
+    log = sample.dimension_log(spark, folder)
+    even = F.col("data")["id"].cast("long") % 2 == 0
+    later = (F.col("seq") > 3) | F.col("table").isin("base_province", "base_trademark") | ((F.col("table") == "user_info") & ~even)
+    early = log.where("table = 'base_trademark'").withColumn("data", F.map_concat(F.map_filter("data", lambda k, v: k != "id"), F.create_map(F.lit("id"), F.lit("early"))))
+    path = scratch(spark)
+    for part in (log.where(~later).unionByName(early), log.where(later)):
+        part.coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    in_force = iter(([1, 2, 5], [1, 2, 3, 4, 5, 6]))
+    load = lambda s: sample.config_changes(s).where(F.col("seq").isin(next(in_force)))
+    run_once(stream, dim.upsert_batch(load, f"{path}/dims", ddl=False), f"{path}/checkpoint")
+
+    store = DimensionStore(f"{path}/dims")
+    tables = {"dim_sku_info": SKU_COLUMNS, "dim_base_province": ["id", "name", "region_id"], "dim_base_trademark": ["id", "tm_name"], "dim_user_info": ["id", "name"]}
+    cells = [
+        store.read(spark, name, "id", columns).select(F.lit(name).alias("sink_table"), F.col("id").alias("pk"), F.explode(F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c))])).alias("column", "value"))
+        for name, columns in tables.items()
+    ]
+    return union_all(*cells)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.changes import clean_changes
 from millrace.operators.routing import route_changes, table_columns
-from millrace.sinks.dimensions import DimensionTable, config_rows, create_tables, merge_columns
+from millrace.sinks.dimensions import DimensionStore, config_rows, merge_columns
 from millrace.sources.lookups import latest_config
 
 
@@ -35,23 +35,22 @@ def dimension_table(changes: DataFrame, config_changes: DataFrame, sink_table: s
 
 
 def upsert_batch(
-    load_config: Callable[[SparkSession], DataFrame], folder: str, database: str = "default", ddl: bool = True
+    load_config: Callable[[SparkSession], DataFrame], folder: str, database: str = "default", ddl: bool = True, every: int = 1
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function of the job.
 
-    The configuration is read anew for every micro-batch. Rows whose table is not configured by then are
-    dropped. Each target table is created when missing and gets the batch's writes.
+    The configuration is read anew for every micro-batch, so a change counts from the next one on. Rows whose table is not
+    configured by then are dropped. All others are written at once; after ``every`` micro-batches the catalog tables are
+    brought up to date (with ``ddl``).
     """
+    store = DimensionStore(folder)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        config = latest_config(load_config(batch.sparkSession))
-        if ddl:
-            create_tables(config, database)
-        rows = route_changes(clean_changes(batch), config).persist()
-        for entry in config_rows(config):
-            columns = entry["sink_columns"].split(",")
-            target = DimensionTable(f"{folder}/{entry['sink_table']}", entry["sink_pk"], columns)
-            target.upsert(table_columns(rows, entry["sink_table"], columns), batch_id)
-        rows.unpersist()
+        spark = batch.sparkSession
+        config = latest_config(load_config(spark))
+        store.write(route_changes(clean_changes(batch), config), batch_id)
+        if ddl and (batch_id + 1) % every == 0:
+            for entry in config_rows(config):
+                store.publish(spark, entry, database)
 
     return run

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from millrace.functions import times
 from millrace.operators.dedup import latest_row
@@ -48,12 +47,12 @@ def run_id(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
 
 
-def _read(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
-    """A folder of parquet files. With a declared ``schema`` one that has none, or isn't there yet, has no rows."""
+def read_folder(spark: SparkSession, path: str, schema: str | None, kind: str = "parquet") -> DataFrame:
+    """A folder of files. With a declared ``schema`` one that has none, or isn't there yet, has no rows."""
     if schema is None:
-        return spark.read.parquet(path)
+        return spark.read.format(kind).load(path)
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.format(kind).schema(schema).load(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -70,7 +69,7 @@ class VersionedTable:
 
     def __init__(self, path: str, keys: list[str], columns: list[str], version: str = "ts", types: str | None = None):
         self.path, self.keys, self.columns, self.version = path.rstrip("/"), keys, columns, version
-        self.schema = StructType.fromDDL(f"{types}, dt int, run string, batch_id long") if types else None
+        self.schema = f"{types}, dt int, run string, batch_id long" if types else None
 
     @classmethod
     def summary(cls, path: str, name: str) -> VersionedTable:
@@ -87,7 +86,7 @@ class VersionedTable:
 
     def versions(self, spark: SparkSession) -> DataFrame:
         """All versions, with the partition columns ``dt``, ``run`` and ``batch_id``."""
-        return _read(spark, self.path, self.schema)
+        return read_folder(spark, self.path, self.schema)
 
     def read(self, spark: SparkSession, day: int | None = None) -> DataFrame:
         """Current rows. The day is the outer partition, so a read of one day lists and scans that day alone."""

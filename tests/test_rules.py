@@ -251,11 +251,28 @@ def test_configured_dimensions(spark, tmp_path):
     run(rows.where("seq <= 2"), 0)
     run(rows.where("seq > 2"), 1)
     run(rows.where("seq > 2"), 1)  # written again after a restart
-    table = dimensions.DimensionTable(str(tmp_path / "dims" / "dim_a"), "id", ["id", "x", "y"])
     want = [("1", None, "w"), ("2", "gone", None)]
-    assert rows_of(table.read(spark)) == want
-    assert rows_of(table.compact(spark, str(tmp_path / "compact")).read(spark)) == want
+    store = dimensions.DimensionStore(str(tmp_path / "dims"))
+    assert rows_of(store.read(spark, "dim_a", "id", ["id", "x", "y"])) == want
     assert [c.dataType.simpleString() for c in spark.table("dim_a").schema] == ["string"] * 3
+    assert rows_of(spark.table("dim_a")) == want
+    # a read merges what came after the snapshot, and nothing before it
+    before = spark.table("dim_a").inputFiles()
+    store.write(routing.route_changes(rows.where("seq = 3").withColumn("data", F.create_map(F.lit("id"), F.lit("1"), F.lit("x"), F.lit("new"))), in_force), 2)
+    again = store.read(spark, "dim_a", "id", ["id", "x", "y"])
+    assert rows_of(again) == [("1", "new", "w"), ("2", "gone", None)]
+    assert "(batch_id" in again._jdf.queryExecution().executedPlan().toString().split("PartitionFilters:")[1]
+    # the catalog has it after the next publication; a column that is configured later is added
+    wide = in_force.withColumn("sink_columns", F.lit("id,x,y,secret"))
+    store.publish(spark, wide.first())
+    assert rows_of(spark.table("dim_a")) == [("1", "new", "w", None), ("2", "gone", None, None)]
+    assert not set(before) & set(spark.table("dim_a").inputFiles())
+    base = store.snapshot(spark, "dim_a", "id", ["id", "x", "y", "secret"])
+    assert base == store.snapshot(spark, "dim_a", "id", ["id", "x", "y", "secret"])
+    spark.range(1).write.saveAsTable("dim_own")
+    with pytest.raises(ValueError):
+        store.publish(spark, wide.withColumn("sink_table", F.lit("dim_own")).first())
+    spark.sql("DROP TABLE dim_own")
     spark.sql("DROP TABLE dim_a")
 
 
