@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from checks.base import check
 from checks.inputs import day
 from checks.jobs import SIX_HOURS, facts
 from millrace.functions import text, times
+from millrace.operators.accumulators import accumulate
 from millrace.operators.bounce import timeouts
 from millrace.operators.changes import entry_page, is_login
 from millrace.operators.enrich import enrich
 from millrace.operators.joins import ORDER_WAIT, bounded_join
 from millrace.operators.routing import action_rows, display_rows, split_log
+from millrace.operators.windows import behind_watermark
 from millrace.operators.visitors import first_per_day, login_days, repair_new_visitor
 from millrace.operators.dedup import latest_version
 from millrace.plans import dwd
@@ -25,18 +28,19 @@ def _(spark, folder):
     return rows.select("seq", F.unix_micros("rowtime").alias("rowtime_us"))
 
 
-@check("e2_late_rows", "SELECT CASE WHEN ts < m - INTERVAL 3 SECOND THEN 1 ELSE 0 END AS late, count(*) AS n FROM (SELECT ts, max(ts) OVER (ORDER BY seq ROWS UNBOUNDED PRECEDING) AS m FROM pv) GROUP BY 1")
+@check(
+    "e2_late_rows",
+    """SELECT late, count(*) AS n FROM (
+  SELECT ts < max(ts) OVER (ORDER BY arrival, seq ROWS UNBOUNDED PRECEDING) - INTERVAL 60 SECOND AS late
+  FROM (SELECT *, seq + CASE WHEN seq % 10 = 3 THEN 40 ELSE 0 END AS arrival FROM pv)) GROUP BY late""",
+)
 def _(spark, folder):
-    # events are numbered in the order of their time, so none is late; the stream checks count real ones
-    late = F.when(F.col("ts") < F.col("top") - F.expr("INTERVAL 3 SECONDS"), 1).otherwise(0).alias("late")
-    v = sample.page_views(spark, folder)
-    tops = v.groupBy((F.floor(F.col("seq") / 1000)).alias("part")).agg(F.max("ts").alias("top"))
-    before = tops.select((F.col("part") + 1).alias("part"), "top")
-    rows = v.withColumn("part", F.floor(F.col("seq") / 1000)).join(before, "part", "left")
-    return rows.groupBy(late).agg(F.count(F.lit(1)).alias("n"))
+    # events are numbered in the order of their time; every tenth arrives 40 events later
+    v = sample.page_views(spark, folder).withColumn("arrival", F.expr("seq + CASE WHEN seq % 10 = 3 THEN 40 ELSE 0 END"))
+    return behind_watermark(v, "ts", ["arrival", "seq"], 60, "arrival").groupBy("late").agg(F.count(F.lit(1)).alias("n"))
 
 
-@check("e3_join_wait", "SELECT abs(od.sec_at - oi.sec_at) <= 905 AS near, count(*) AS n FROM od JOIN oi ON od.order_id = oi.id GROUP BY 1 HAVING near".replace("SELECT abs(od.sec_at - oi.sec_at) <= 905 AS near, count(*) AS n", "SELECT kind, count(*) AS n").replace("GROUP BY 1 HAVING near", "WHERE abs(od.sec_at - oi.sec_at) <= 905 GROUP BY kind"))
+@check("e3_join_wait", "SELECT kind, count(*) AS n FROM od JOIN oi ON od.order_id = oi.id WHERE abs(od.sec_at - oi.sec_at) <= 905 GROUP BY kind")
 def _(spark, folder):
     left = sample.order_detail(spark, folder).select(F.col("data")["order_id"].alias("order_id"), "event_time")
     right = sample.order_info(spark, folder).select(F.col("data")["id"].alias("_o"), F.col("type").alias("kind"), "event_time")
@@ -111,11 +115,9 @@ def _(spark, folder):
 
 @check(
     "r1_typed_log_outputs",
-    """SELECT 'dwd_traffic_err_log' AS topic, seq, 'common,displays,actions,err,page,rowtime,seq,start,ts' AS fields FROM lg WHERE has_err
-UNION ALL SELECT 'dwd_traffic_start_log', seq, 'common,displays,actions,page,rowtime,seq,start,ts' FROM lg WHERE is_start
-UNION ALL SELECT 'dwd_traffic_page_log', seq, 'common,page,rowtime,seq,ts' FROM lg WHERE NOT is_start""".replace(
-        "common,displays,actions", "actions,common,displays"
-    ),
+    """SELECT 'dwd_traffic_err_log' AS topic, seq, 'actions,common,displays,err,page,rowtime,seq,start,ts' AS fields FROM lg WHERE has_err
+UNION ALL SELECT 'dwd_traffic_start_log', seq, 'actions,common,displays,page,rowtime,seq,start,ts' FROM lg WHERE is_start
+UNION ALL SELECT 'dwd_traffic_page_log', seq, 'common,page,rowtime,seq,ts' FROM lg WHERE NOT is_start""",
 )
 def _(spark, folder):
     outputs = split_log(sample.traffic_log(spark, folder))
@@ -181,9 +183,22 @@ def _(spark, folder):
     return sample.page_views(spark, folder).where(F.col("page_id") != "error").select("seq", F.upper("page_id").alias("page"))
 
 
-@check("g3_custom_aggregate", "SELECT page_id, count(*) AS n FROM pv GROUP BY page_id")
+@check(
+    "g3_custom_aggregate",
+    "SELECT page_id, count(*) AS n, CAST(max(during_time) - min(during_time) AS BIGINT) AS span, CAST(bit_xor(seq) AS BIGINT) AS mark FROM pv GROUP BY page_id",
+)
 def _(spark, folder):
-    return sample.page_views(spark, folder).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
+    rows = sample.page_views(spark, folder).select("page_id", F.col("during_time").cast("long").alias("t"), F.col("seq").cast("long").alias("seq"))
+    return accumulate(
+        rows,
+        ["page_id"],
+        create=lambda: (0, 2**62, -(2**62), 0),
+        add=lambda s, r: (s[0] + len(r), min(s[1], int(r["t"].min())), max(s[2], int(r["t"].max())), s[3] ^ int(np.bitwise_xor.reduce(r["seq"].to_numpy()))),
+        merge=lambda a, b: (a[0] + b[0], min(a[1], b[1]), max(a[2], b[2]), a[3] ^ b[3]),
+        result=lambda s: {"n": s[0], "span": s[2] - s[1], "mark": s[3]},
+        state="n long, low long, high long, mark long",
+        returns="n long, span long, mark long",
+    )
 
 
 @check("g4_keyed_function", "SELECT mid, count(*) AS days FROM (SELECT DISTINCT mid, CAST(ts AS DATE) FROM uv) GROUP BY mid")

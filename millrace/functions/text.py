@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +10,6 @@ from pyspark.sql.types import ArrayType, StringType
 # Fixed value: a keyword is a run of letters and digits.
 WORD_PATTERN = r"[\p{L}\p{N}]+"
 
-#: Largest dictionary that is shipped to the tasks.
-MAX_DICTIONARY = 500_000
-
 
 def words(text: Column | str) -> Column:
     """Lower-cased keywords of a text, in order, repeats kept. Runs inside the JVM."""
@@ -31,38 +26,10 @@ def register(spark: SparkSession) -> None:
     )
 
 
-def segmenter(dictionary: DataFrame, column: str = "word"):
-    """Column function that cuts unsegmented runs by the longest dictionary word at each position.
-
-    For small dictionaries that come from outside; :func:`segmented` takes one of any size, as a join. The dictionary is checked to be small before it is shipped; a larger one is refused, because the
-    forward match needs random access to it at every position of a text.
-    """
-    rows = dictionary.select(column).where(F.col(column) != "").distinct().limit(MAX_DICTIONARY + 1).collect()
-    if len(rows) > MAX_DICTIONARY:
-        raise ValueError(f"dictionary holds more than {MAX_DICTIONARY} words")
-    lexicon = dictionary.sparkSession.sparkContext.broadcast(frozenset(r[0].lower() for r in rows))
-    longest = max((len(r[0]) for r in rows), default=1)
-
-    def cut(run: str, known: frozenset) -> Iterator[str]:
-        at = 0
-        while at < len(run):
-            size = next((n for n in range(min(longest, len(run) - at), 1, -1) if run[at : at + n] in known), 1)
-            yield run[at : at + size]
-            at += size
-
-    @F.pandas_udf(ArrayType(StringType()))
-    def cut_runs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = lexicon.value
-        for runs in batches:
-            yield runs.map(lambda found: None if found is None else [w for run in found for w in cut(run, known)])
-
-    return lambda text: cut_runs(words(text))
-
-
 def segmented(rows: DataFrame, text: Column, dictionary: DataFrame, column: str = "word", name: str = "words") -> DataFrame:
     """``rows`` with the array ``name``: the runs of ``text`` cut by the longest dictionary word at each position.
 
-    Cuts as :func:`segmenter` does, for a dictionary of any size: all parts of each distinct text are joined with the words.
+    Takes the longest dictionary word at each position, for a dictionary of any size: all parts of each distinct text are joined with the words.
     A null text gives null.
     """
     known = dictionary.select(F.lower(column).alias("_part")).where(F.length("_part") > 1).distinct()

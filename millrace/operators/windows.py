@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import times
@@ -77,3 +77,22 @@ def buffered(
     item = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *columns)
     rows = df.groupBy(F.window(ts, length), *keys).agg(F.array_sort(F.collect_list(item)).alias("rows"))
     return rows.withColumn("stt", times.second("window.start")).withColumn("edt", times.second("window.end")).drop("window")
+
+
+def behind_watermark(df: DataFrame, ts: str, arrival: list[str], delay_seconds: int, number: str, parts: int = 200) -> DataFrame:
+    """Rows with ``late``: whether they lie more than ``delay_seconds`` behind the largest time that arrived before them.
+
+    The table's twin of a stream's watermark that moves with every row. Rows are cut into ``parts`` ranges of ``number``, the
+    first of the columns ``arrival``; a range takes over the largest time of those before it and then looks at its own rows
+    in order, so no task sees more than a range.
+    """
+    low, high = df.agg(F.min(number), F.max(number)).first()
+    width = max(1, -(-((high or 0) - (low or 0) + 1) // parts))
+    ranged = df.withColumn("_range", F.floor((F.col(number) - (low or 0)) / width).cast("long"))
+    tops = ranged.groupBy("_range").agg(F.max(ts).alias("_top"))
+    # as many rows as ranges
+    before = tops.select(F.col("_range"), F.max("_top").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    own = Window.partitionBy("_range").orderBy(*arrival).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = ranged.withColumn("_own", F.max(ts).over(own)).join(before, "_range", "left")
+    top = F.greatest("_own", "_before")
+    return seen.withColumn("late", F.coalesce(F.unix_micros(ts) < F.unix_micros(top) - delay_seconds * 1_000_000, F.lit(False))).drop("_range", "_own", "_before")

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: limit of a producer transaction, kept for readers of the topic.
-TRANSACTION_TIMEOUT_MS = 15 * 60 * 1000
+from millrace.sinks.tables import run_id
+
+#: Rows sent to a JDBC table at once.
+BATCH_ROWS = 1000
 
 
 def json_value(df: DataFrame) -> DataFrame:
@@ -27,7 +29,7 @@ def kafka_sink_options(servers: str, topic: str | None = None) -> dict:
 
     Spark writes to topics at least once. Readers remove repeats by key.
     """
-    options = {"kafka.bootstrap.servers": servers, "kafka.transaction.timeout.ms": str(TRANSACTION_TIMEOUT_MS)}
+    options = {"kafka.bootstrap.servers": servers}
     if topic:
         options["topic"] = topic
     return options
@@ -39,15 +41,22 @@ def write_topic(messages: DataFrame, checkpoint: str, servers: str, topic: str |
     return writer.option("checkpointLocation", checkpoint).start()
 
 
-def jdbc_sink_options(url: str, table: str, driver: str, batch_rows: int = 5) -> dict:
+def jdbc_sink_options(url: str, table: str, driver: str, batch_rows: int = BATCH_ROWS) -> dict:
     return {"url": url, "dbtable": table, "driver": driver, "batchsize": str(batch_rows)}
 
 
-def jdbc_append(columns: list[str], **connection) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function that appends the declared columns, in declared order, to a JDBC table."""
+def jdbc_append(columns: list[str], marked: bool = False, **connection) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that appends the declared columns, in declared order, to a JDBC table.
+
+    A micro-batch that is run again after a failure appends its rows again. With ``marked`` each row also carries ``run`` (the
+    query, as its checkpoint names it) and ``batch_id``, by which readers, or a unique index over them and the key, tell repeats.
+    """
     options = jdbc_sink_options(**connection)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.select(*columns).write.format("jdbc").mode("append").options(**options).save()
+        rows = batch.select(*columns)
+        if marked:
+            rows = rows.withColumns({"run": F.lit(run_id(batch)), "batch_id": F.lit(batch_id).cast("long")})
+        rows.write.format("jdbc").mode("append").options(**options).save()
 
     return run
