@@ -111,7 +111,7 @@ SELECT topic, seq, mid, CASE WHEN is_new = '1' AND CAST(ts AS DATE) <> origin TH
 UNION ALL SELECT 'dirty_data', seq, NULL, NULL, NULL, NULL FROM lg WHERE seq % 50 = 7""",
 )
 def _(spark, folder):
-    messages = dwd.log_messages(sample.traffic_topic(spark, folder))
+    messages = dwd.log_messages(sample.traffic_topic(spark, folder), scratch(spark))
     seen = "common struct<mid:string,is_new:string>, ts long, display map<string,string>, action map<string,string>"
     rows = once(messages, ["topic", "seq"], r=F.when(F.col("topic") != "dirty_data", F.from_json("value", seen)))
     item = F.coalesce(F.col("r.display")["item"], F.col("r.action")["item"]).alias("item")

@@ -40,29 +40,33 @@ def repair_new_visitor(
     """Add ``out``: the new-visitor flag, corrected by the first visit of the key.
 
     The first record fixes a date for good: its own day if it says "new", the day before otherwise. A later
-    "new" on any other day becomes ``'0'``. Everything else stays as it is, rows without a time included. The join
-    to one row per key leaves keys that hold many rows to the engine's skew split.
+    "new" on any other day becomes ``'0'``. Everything else stays as it is, rows without a time included.
+
+    On tables only a "new" record with a time can change, so the others pass straight through. The rest joins one narrow row
+    per visitor, and only visitors with such a record; keys that hold many rows are left to the engine's skew split. ``df``
+    is read once for the dates and once for either kind of row: hand a costly one over as a table first.
     """
     flagged = df.withColumn("_is_new", F.col(is_new)).withColumn("_key", F.col(key))
     if df.isStreaming:
         from millrace.streaming.stateful import repair_new_visitor_stream
 
         return repair_new_visitor_stream(flagged, ts, seq, out)
-    day = times.day(ts)
-    origin = F.when(F.col("_is_new") == "1", day).otherwise(times.day_before(ts))
-    per_key = flagged.groupBy(F.col("_key").alias("_visitor")).agg(
-        F.min_by(origin, F.when(F.col(ts).isNotNull(), F.struct(ts, seq))).alias("_origin")
-    )
-    joined = flagged.join(per_key, F.col("_key").eqNullSafe(F.col("_visitor")), "left")
-    stale = (F.col("_is_new") == "1") & (day != F.col("_origin"))
-    return joined.withColumn(out, F.when(stale, "0").otherwise(F.col("_is_new"))).drop("_key", "_visitor", "_origin", "_is_new")
+    day, says_new = times.day(ts), F.col("_is_new") == "1"
+    may_change = F.coalesce(says_new & F.col(ts).isNotNull(), F.lit(False))
+    origin = F.when(says_new, day).otherwise(times.day_before(ts))
+    dated = flagged.where(F.col(ts).isNotNull()).groupBy(F.col("_key").alias("_visitor"))
+    per_key = dated.agg(F.min_by(origin, F.struct(ts, seq)).alias("_origin"), F.max(may_change).alias("_asks")).where("_asks").drop("_asks")
+    asked = flagged.where(may_change).join(per_key, F.col("_key").eqNullSafe(F.col("_visitor")), "left")
+    asked = asked.withColumn(out, F.when(day != F.col("_origin"), "0").otherwise(F.col("_is_new")))
+    passed = flagged.where(~may_change).withColumn(out, F.col("_is_new"))
+    return passed.drop("_key", "_is_new").unionByName(asked.drop("_key", "_visitor", "_origin", "_is_new"))
 
 
 def login_days(df: DataFrame, key: str, ts: str = "rowtime", min_days: int = RETURN_DAYS) -> DataFrame:
     """One row per user and login day with ``uu_ct`` = 1 and ``back_ct`` = 1 on a return after a long break.
 
-    A row without a time has no day and is left out. The rows are reduced to one per user and day first, so the ordered window over a user has at most as many
-    rows as there are days.
+    A row without a time has no day and is left out. The rows are reduced to one per user and day first, so the ordered
+    window over a user has at most as many rows as there are days.
     """
     if df.isStreaming:
         from millrace.streaming.stateful import login_days_stream

@@ -13,7 +13,7 @@ from millrace.operators.bounce import WITHIN_SECONDS, verdicts
 from millrace.operators.changes import entry_page
 from millrace.operators.enrich import lookup
 from millrace.operators.joins import ORDER_WAIT, REFUND_WAIT, bounded_join
-from millrace.operators.routing import route_log, split_log
+from millrace.operators.routing import DIRTY_TOPIC, route_log, split_log
 from millrace.operators.visitors import first_per_day, repair_new_visitor
 from millrace.sources.topics import page_time, parsed, unreadable
 
@@ -25,6 +25,9 @@ PAYMENT_DONE = "1602"
 REFUND_PAYMENT_DONE = "0701"
 REFUND_INFO_PAID = "0705"
 
+#: Records a file of a parsed log, so that one large input file is dealt out to several tasks.
+HAND_OVER_RECORDS = 500_000
+
 
 # --- click log ---------------------------------------------------------------------------------------
 
@@ -35,14 +38,24 @@ def repaired_log(log: DataFrame) -> DataFrame:
     return fixed.withColumn("common", F.col("common").withField("is_new", F.col("_fixed"))).drop("_fixed")
 
 
-def log_messages(raw: DataFrame) -> DataFrame:
-    """Raw log text to messages ``seq, topic, value`` for all six topics, unreadable text included."""
+def log_messages(raw: DataFrame, hand_over: str | None = None) -> DataFrame:
+    """Raw log text to messages ``seq, topic, value`` for all six topics, unreadable text included.
+
+    ``hand_over`` names a new folder in shared storage to which a table's parsed log is written first, so that the text is read
+    and parsed once; what comes after reads columns. Unreadable text doesn't reach the repair at all.
+    """
     names = [f.name for f in schemas.TRAFFIC_LOG.fields]
     log = parsed(raw, schemas.TRAFFIC_LOG)
     # what was read of a broken record before the break must not count as a visit
     read = [F.when(~unreadable(), F.col("_doc")[n]).alias(n) for n in names]
-    log = log.select("seq", F.when(unreadable(), F.col("value")).alias("_dirty"), *read)
-    return route_log(repaired_log(page_time(log)), keep=["seq"], dirty=F.col("_dirty"))
+    log = page_time(log.select("seq", F.when(unreadable(), F.col("value")).alias("_dirty"), *read))
+    if log.isStreaming:
+        return route_log(repaired_log(log), keep=["seq"], dirty=F.col("_dirty"))
+    if hand_over:
+        log.write.option("maxRecordsPerFile", HAND_OVER_RECORDS).parquet(hand_over)
+        log = log.sparkSession.read.schema(log.schema).parquet(hand_over)
+    good, dirty = repaired_log(log.where("_dirty IS NULL")), log.where("_dirty IS NOT NULL")
+    return route_log(good, keep=["seq"], dirty=F.col("_dirty")).unionByName(dirty.select("seq", F.lit(DIRTY_TOPIC).alias("topic"), F.col("_dirty").alias("value")))
 
 
 def log_split(log: DataFrame) -> dict[str, DataFrame]:

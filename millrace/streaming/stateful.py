@@ -51,7 +51,7 @@ def _run(
         *[k.alias(n) for k, n in zip(keys, key_names)],
         F.col(ts).alias("_ts"),
         F.unix_micros(ts).alias("_micros"),
-        (seq if isinstance(seq, Column) else F.col(seq)).cast("string").alias("_seq"),
+        (seq if isinstance(seq, Column) else F.col(seq)).alias("_seq"),
         *[c.alias(n) for n, c in scalars.items()],
         F.to_json(F.struct(*[c for c in names if c != ts]), _JSON).alias("_payload"),
     )
@@ -69,11 +69,17 @@ def _in_order(rows: Iterator[Row]) -> list[Row]:
     return sorted(rows, key=lambda r: (-1 if r["_micros"] is None else r["_micros"], _rank(r["_seq"])))
 
 
-def _rank(seq: str | None) -> tuple:
-    """Numbers in numeric order, before other text."""
+def _plain(seq):
+    """A struct comes as a dictionary and is kept as a tuple, in the order of its fields."""
+    return tuple(map(_plain, seq.values())) if isinstance(seq, dict) else seq
+
+
+def _rank(seq) -> tuple:
+    """Order of arrival as on tables: by the column's own type, structs field by field, missing values first."""
+    seq = _plain(seq)
     if seq is None:
-        return (-1, 0, "")
-    return (0, int(seq), "") if seq.lstrip("-").isdigit() else (1, 0, seq)
+        return (0,)
+    return (1, tuple(map(_rank, seq))) if isinstance(seq, tuple) else (1, seq)
 
 
 class _FirstOfDay(StatefulProcessor):
@@ -196,7 +202,7 @@ class _Login(StatefulProcessor):
 def login_days_stream(df: DataFrame, key: str, ts: str, min_days: int) -> DataFrame:
     rows = df.select(key, ts).where(F.col(ts).isNotNull())
     scalars = {"_day_no": F.unix_date(F.to_date(ts))}
-    return _run(rows, [F.col(key)], _Login(min_days), ts, F.lit("0"), scalars, "uu_ct long, back_ct long")
+    return _run(rows, [F.col(key)], _Login(min_days), ts, F.lit(0), scalars, "uu_ct long, back_ct long")
 
 
 def _newer(kept: tuple | None, row: Row) -> tuple:
@@ -283,16 +289,17 @@ class _Bounce(StatefulProcessor):
     ``own`` marks the rows of the slice; the others belong to the start of the next one and are only there to be seen.
     """
 
-    def __init__(self, within_seconds: int):
+    def __init__(self, within_seconds: int, seq_type: str):
         self._within = within_seconds * 1_000_000
+        self._seq_type = seq_type
 
     def init(self, handle) -> None:
         self._handle = handle
-        self._rows = handle.getListState("rows", "micros long, seq string, entry boolean, own boolean, ts timestamp, payload string")
+        self._rows = handle.getListState("rows", f"micros long, seq {self._seq_type}, entry boolean, own boolean, ts timestamp, payload string")
         self._due = handle.getValueState("due", "due long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(r["_micros"], r["_seq"], r["_entry"], r["_own"], r["_ts"], r["_payload"]) for r in rows]
+        new = [(r["_micros"], _plain(r["_seq"]), r["_entry"], r["_own"], r["_ts"], r["_payload"]) for r in rows]
         self._rows.appendList(new)
         self._wake(min(r[0] for r in new) // 1000)
         return iter(())
@@ -333,4 +340,4 @@ def verdicts_stream(df: DataFrame, key: str, ts: str, seq: str, within_seconds:
     a row is shown to, whether it is its own, and whether the row is an entry."""
     shown, own, entry = slices
     scalars = {"_entry": F.col(entry), "_own": F.col(own)}
-    return _run(df, [F.col(key), F.col(shown)], _Bounce(within_seconds), ts, seq, scalars, "kind string").drop(*slices)
+    return _run(df, [F.col(key), F.col(shown)], _Bounce(within_seconds, df.schema[seq].dataType.simpleString()), ts, seq, scalars, "kind string").drop(*slices)

@@ -17,7 +17,7 @@ from millrace.streaming.runner import run_once
 
 
 def at(text):
-    return datetime.datetime.fromisoformat(text)
+    return text and datetime.datetime.fromisoformat(text)
 
 
 def visits(spark, *rows):
@@ -38,6 +38,20 @@ def test_new_visitor_repair(spark):
     )
     got = visitors.repair_new_visitor(rows, "mid", "v", out="fixed")
     assert rows_of(got, "seq", "fixed") == [(1, "1"), (2, "1"), (3, "0"), (4, "0"), (5, "0"), (6, "0"), (7, "1")]
+    odd = visits(
+        spark,
+        (1, None, "2024-01-01 08:00:00", None),
+        (2, None, "2024-01-02 08:00:00", "1"),
+        (3, "a", None, "1"),
+        (4, "a", "2024-01-01 08:00:00", "1"),
+        (4, "a", "2024-01-01 08:00:00", "1"),
+        (5, "a", "2024-01-02 08:00:00", None),
+        (6, "b", None, "1"),
+    )
+    got = visitors.repair_new_visitor(odd, "mid", "v", out="fixed")
+    assert got.columns == [*odd.columns, "fixed"]
+    assert rows_of(got, "seq", "fixed") == [(1, None), (2, "0"), (3, "1"), (4, "1"), (4, "1"), (5, None), (6, "1")]
+    assert rows_of(visitors.repair_new_visitor(odd.limit(0), "mid", "v")) == []
 
 
 def test_first_of_day(spark):
@@ -205,7 +219,7 @@ RECORDS = [
 ]
 
 
-def test_log_split(spark):
+def test_log_split(spark, tmp_path):
     raw = spark.createDataFrame(RECORDS, "seq long, value string")
     good, dirty = topics.split_dirty(raw, schemas.TRAFFIC_LOG)
     assert rows_of(dirty, "seq") == [(5,), (7,)]
@@ -216,6 +230,10 @@ def test_log_split(spark):
     routed = dwd.log_messages(raw)
     counts = {r[0]: r[1] for r in routed.groupBy("topic").count().collect()}
     assert {t: df.count() for t, df in outputs.items()} | {routing.DIRTY_TOPIC: 2} == counts
+    handed = dwd.log_messages(raw, f"{tmp_path}/parsed")
+    assert rows_of(handed) == rows_of(routed)
+    # what follows the hand-over parses nothing
+    assert "from_json" not in handed._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_configured_dimensions(spark, tmp_path):
