@@ -212,7 +212,8 @@ def expression(rules: list[Rule], stats: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> list[Rule]:
     """Rules from at most ``sample`` labelled documents (a documented bound, so the labels can be broadcast and the
-    statistics fit the driver). A document labelled twice counts as bad if one label says so; null labels are left out."""
+    statistics fit the driver). A document labelled twice counts as bad if one label says so; null labels are left out. Of
+    rows that repeat an id, those with the smallest statistics speak for it, so an id is one example however often it occurs."""
     chosen = (
         labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).alias("label_id"))
@@ -222,7 +223,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     )
     texts = docs.select(F.col(f"`{id_col}`").alias("label_id"), F.col(f"`{text_col}`").alias("t"))
     rows = texts.join(F.broadcast(chosen), "label_id").select("label_id", "label", statistics(F.col("t")).alias("s"))
-    found = rows.select("label_id", "label", *[c.alias(n) for n, c in features(F.col("s")).items()]).collect()
+    one = F.min(F.struct(*[c.alias(n) for n, c in features(F.col("s")).items()])).alias("f")
+    found = rows.groupBy("label_id", "label").agg(one).select("label_id", "label", "f.*").collect()
     found.sort(key=lambda r: tuple(r))
     x = np.array([[r[n] for n in FEATURES] for r in found], float).reshape(-1, len(FEATURES))
     return learn(x, np.array([r["label"] for r in found]) > 0)

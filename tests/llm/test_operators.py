@@ -121,6 +121,27 @@ def test_near_dedup(docs, odd, words):
     assert near_dedup.deduplicate(odd).columns == odd.columns
 
 
+def test_near_dedup_of_repeated_ids(spark, odd):
+    """Rows that repeat an id are documents of their own; the smallest id of a component names it."""
+    base = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, base), (2, base + " more"), (2, "quite another text"), (2, "quite another text"), (3, "quite another text"), (3, base)]
+    rows += [(4, "a text alone"), (4, None), (None, base), (5, base.replace("w39", "x")), (5, " ".join(f"y{i}" for i in range(30))), (5, "")]
+    rows += [(0, " ".join(f"y{i}" for i in range(29))), (9, "quite another text")]
+    for df in (spark.createDataFrame(rows, "doc_id long, text string"), odd):
+        numbered = [(k, i, t) for k, (i, t) in enumerate(pairs_of(df))]
+        found = linked([(k, t) for k, i, t in numbered if i is not None], 2, 80)
+        least = {}
+        for k, i, _ in numbered:
+            if i is not None:
+                least[found[k][1]] = min(i, least.get(found[k][1], i))
+        want = collections.Counter((i, found[k][0], least[found[k][1]], i == least[found[k][1]]) for k, i, _ in numbered if i is not None)
+        got = [r for r in near_dedup.classes(df, words=2).collect()]
+        assert collections.Counter(tuple(r) for r in got if r.doc_id is not None) == want
+        assert all(r.component_id is None and r.kept for r in got if r.doc_id is None)
+        kept = collections.Counter((i, t) for k, i, t in numbered if i is None or i == least[found[k][1]])
+        assert collections.Counter(pairs_of(near_dedup.deduplicate(df, words=2))) == kept
+
+
 def test_near_dedup_of_many_variants(spark):
     """Copies that differ from the first one too much, but not from each other, are still found."""
     rng = np.random.default_rng(5)
@@ -228,6 +249,17 @@ def test_rules_are_learned():
     assert quality_rules.learn(x[:0], good[:0]) == [] == quality_rules.learn(x, np.ones(3000, bool))
 
 
+def test_a_repeated_id_is_one_example(spark, docs):
+    """Rules learned from rows, repeated rows of one bad document and clashing names; none from no labels."""
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    once = docs.select("doc_id", "text", F.lit(1).alias("label"), F.lit("x").alias("s"), F.lit(2).alias("label_id"))
+    rules = quality_rules.fit(once, labels)
+    hot = once.limit(1).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(400)))).drop("k")
+    assert quality_rules.fit(once.unionByName(hot), labels.unionByName(labels)) == rules
+    assert quality_rules.fit(once, labels.limit(0)) == [] == quality_rules.fit(once.limit(0), labels)
+    assert quality_rules.keep_good(once, rules).columns == once.columns
+
+
 def luhn(number):
     digits = [int(c) for c in number if c.isdigit()][::-1]
     return sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(digits)) % 10
