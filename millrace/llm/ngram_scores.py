@@ -2,13 +2,17 @@
 
 Words and word pairs of the training documents are counted; an n-gram whose count has the quantised logarithm q is put into
 the filter q times, as (n-gram, 1) to (n-gram, q). Asking for (n-gram, 1), (n-gram, 2), ... until one is missing gives the
-count back. The filter is built in shards whose number follows the corpus. Up to BROADCAST_BYTES it is broadcast to the
-workers; a larger one stays where it is, and each chunk of documents sends its distinct n-grams to the shards instead.
+count back. The filter consists of blocks, ranges of hashes whose number follows the corpus, and an n-gram has all its bits in its
+own block. Shards are ranges of blocks: they settle how the filter lies, never what it answers. Up to BROADCAST_BYTES it is
+broadcast to the workers; a larger one stays where it is, and each chunk of documents sends its distinct n-grams to the shards
+instead. Both ways give the same scores.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -25,9 +29,11 @@ ROWS = 256
 COUNT_BASE, PROBES, BITS = 1.5, 6, 8.66
 #: Weight of the pair against the single word where the first word is known.
 PAIR_WEIGHT = 0.5
+#: Training text for each block of the filter, and for each shard.
+BLOCK_BYTES = 128 << 10
 SHARD_BYTES = 16 << 20
 BROADCAST_BYTES = 256 << 20
-#: Tokens counted together before they are sent on.
+#: Tokens counted or scored together: what they send to a shard shrinks only as shards grow in number, not with the batches.
 TOGETHER = 1 << 20
 
 _ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -57,7 +63,7 @@ def pair_keys(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
 
 
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
-    """Shard by the highest bits; ``shards`` is a power of two."""
+    """Shard (or block) by the highest bits, so in the order of the keys; ``shards`` is a power of two."""
     return (keys >> np.uint64(33)).astype(np.int64) * shards >> 31
 
 
@@ -77,32 +83,50 @@ def estimate(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, COUNT_BASE ** (levels - 1.0), 0.0)
 
 
-def build(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
-    """Bytes and bits of a filter of distinct ``keys``."""
+def build(keys: np.ndarray, counts: np.ndarray, blocks: int, first: int, own: int, each: float = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the ``own`` blocks from ``first`` on, of ``blocks`` in all, for distinct ``keys``;
+    and the bits of each block, which has ``each`` bits for an entry."""
     levels = quantised(counts)
-    bits = max(64, int(BITS * levels.sum()))
-    data = np.zeros(-(-bits // 8), np.uint8)
+    block = shard_of(keys, blocks) - first
+    bits = np.maximum(64, (each * np.bincount(block, levels, own)).astype(np.int64))
+    starts = _starts(bits)
+    data = np.zeros(starts[-1], np.uint8)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        for at in _places(keys[levels >= level], level, bits):
-            np.bitwise_or.at(data, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        some = levels >= level
+        for at in _places(keys[some], level, bits[block[some]]):
+            np.bitwise_or.at(data, (at >> 3) + starts[block[some]], (1 << (at & 7)).astype(np.uint8))
     return data, bits
 
 
+def _starts(bits: np.ndarray) -> np.ndarray:
+    """Where each block begins, in bytes, and the end."""
+    return np.concatenate([[0], np.cumsum((bits + 7) >> 3)])
+
+
 class Counts:
-    """Some shards of the filter and of the exact word counts."""
+    """The blocks of some shards that lie side by side, and their exact word counts.
+
+    ``rows`` come one after another and are copied to where they belong, so that only one is held besides the whole.
+    """
 
-    def __init__(self, rows: list[dict], shards: int) -> None:
-        self.shards = shards
-        self.bits, self.first = np.ones(shards, np.uint64), np.zeros(shards, np.int64)
-        at = 0
+    def __init__(self, rows: Iterable[dict], blocks: int, shards: int, low: int, high: int, data_bytes: int, types: int) -> None:
+        per = blocks // shards
+        self.blocks, self.low = blocks, low * per
+        self.data = np.zeros(data_bytes + 8, np.uint8)
+        # a shard that nothing was learned for has eight empty bytes for each of its blocks
+        self.bits, self.first = np.full((high - low) * per, 64, np.uint64), np.full((high - low) * per, data_bytes, np.int64)
+        words, counts = np.zeros(types, np.uint64), np.zeros(types, np.int64)
+        at = known = 0
         for r in rows:
-            self.bits[r["shard"]], self.first[r["shard"]] = r["bits"], at
-            at += len(r["data"])
-        self.data = np.frombuffer(b"".join(r["data"] for r in rows) or b"\0", np.uint8)
-        words = np.frombuffer(b"".join(r["words"] for r in rows), "<u8")
+            bits = np.frombuffer(r["bits"], "<i8")
+            own = slice((r["shard"] - low) * per, (r["shard"] - low + 1) * per)
+            self.bits[own], self.first[own] = bits, at + _starts(bits)[:-1]
+            self.data[at : at + len(r["data"])] = np.frombuffer(r["data"], np.uint8)
+            words[known : known + r["types"]] = np.frombuffer(r["words"], "<u8")
+            counts[known : known + r["types"]] = np.frombuffer(r["word_counts"], "<u8")
+            at, known = at + len(r["data"]), known + r["types"]
         order = np.argsort(words)
-        self.words = words[order]
-        self.counts = np.frombuffer(b"".join(r["word_counts"] for r in rows), "<u8")[order]
+        self.words, self.counts = words[order], counts[order]
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Quantised counts of n-gram keys, 0 where absent."""
@@ -111,10 +135,10 @@ class Counts:
         level = 0
         while len(left):
             level += 1
-            shard = shard_of(keys[left], self.shards)
+            block = shard_of(keys[left], self.blocks) - self.low
             hit = np.ones(len(left), bool)
-            for at in _places(keys[left], level, self.bits[shard]):
-                byte = self.data[np.minimum((at >> 3) + self.first[shard], len(self.data) - 1)]
+            for at in _places(keys[left], level, self.bits[block]):
+                byte = self.data[(at >> 3) + self.first[block]]
                 hit &= (byte >> (at & 7).astype(np.uint8)) & 1 == 1
             left = left[hit]
             out[left] = level
@@ -124,7 +148,7 @@ class Counts:
         if not len(self.words):
             return np.zeros(len(tokens), np.int64)
         at = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
-        return np.where(self.words[at] == tokens, self.counts[at].astype(np.int64), 0)
+        return np.where(self.words[at] == tokens, self.counts[at], 0)
 
 
 def _sums(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -132,8 +156,17 @@ def _sums(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarra
     return found, np.bincount(at, counts, len(found)).astype(np.uint64)
 
 
-def learn(training: DataFrame, shards: int) -> DataFrame:
-    """Shards of the model from (id, text) rows: shard, bits, data, words, word_counts, tokens, types."""
+def _cut(keys: np.ndarray, shards: int, *columns: np.ndarray) -> tuple[pa.Array, list[pa.Array]]:
+    """The shards of ascending ``keys`` that occur, and each column cut by them into bytes."""
+    shard, at = np.unique(shard_of(keys, shards), return_index=True)
+    at, ends = at.tolist(), [*at.tolist(), len(keys)]
+    rows = [memoryview(np.ascontiguousarray(c)).cast("B") for c in columns]
+    cuts = [[r[a * c.itemsize : b * c.itemsize] for a, b in zip(at, ends[1:], strict=True)] for r, c in zip(rows, columns, strict=True)]
+    return pa.array(shard), [pa.array(map(bytes, c), pa.binary()) for c in cuts]
+
+
+def learn(training: DataFrame, shards: int, blocks: int, bits_each: float = BITS) -> DataFrame:
+    """Shards of the model from (id, text) rows: shard, bits (of its blocks), data, words, word_counts, tokens, types."""
     in_batches_of(training.sparkSession, ROWS)
 
     def flush(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
@@ -142,19 +175,11 @@ def learn(training: DataFrame, shards: int) -> DataFrame:
         pairs = np.concatenate([pair_keys(before, tokens), word_keys(before[before == START])])
         for kind, keys in (("word", tokens), ("pair", pairs)):
             keys, counts = _sums(keys)
-            shard = shard_of(word_keys(keys) if kind == "word" else keys, shards)
-            order = np.argsort(shard, kind="stable")
-            cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-            some = [s for s in range(shards) if cuts[s + 1] > cuts[s]]
-            parts = [order[cuts[s] : cuts[s + 1]] for s in some]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "shard": pa.array(some, pa.int64()),
-                    "kind": [kind] * len(some),
-                    "grams": pa.array([keys[p].tobytes() for p in parts], pa.binary()),
-                    "counts": pa.array([counts[p].astype("<u4").tobytes() for p in parts], pa.binary()),
-                }
-            )
+            if kind == "word":
+                order = np.argsort(word_keys(keys))
+                keys, counts = keys[order], counts[order]
+            shard, (grams, numbers) = _cut(word_keys(keys) if kind == "word" else keys, shards, keys, counts.astype("<u4"))
+            yield pa.RecordBatch.from_pydict({"shard": shard, "kind": [kind] * len(shard), "grams": grams, "counts": numbers})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -175,13 +200,14 @@ def learn(training: DataFrame, shards: int) -> DataFrame:
 
         words, word_counts = all_of("word")
         pairs, pair_counts = all_of("pair")
-        data, bits = build(np.concatenate([word_keys(words), pairs]), np.concatenate([word_counts, pair_counts]))
-        row = [rows["shard"].iloc[0], bits, data.tobytes(), words.tobytes(), word_counts.astype("<u8").tobytes(), int(word_counts.sum()), len(words)]
+        shard, per = int(rows["shard"].iloc[0]), blocks // shards
+        data, bits = build(np.concatenate([word_keys(words), pairs]), np.concatenate([word_counts, pair_counts]), blocks, shard * per, per, bits_each)
+        row = [shard, bits.astype("<i8").tobytes(), data.tobytes(), words.tobytes(), word_counts.astype("<u8").tobytes(), int(word_counts.sum()), len(words)]
         return pd.DataFrame([row], columns=["shard", "bits", "data", "words", "word_counts", "tokens", "types"])
 
     counted = training.select("text").mapInArrow(count, "shard long, kind string, grams binary, counts binary")
     model = counted.groupBy("shard").applyInPandas(
-        gather, "shard long, bits long, data binary, words binary, word_counts binary, tokens long, types long"
+        gather, "shard long, bits binary, data binary, words binary, word_counts binary, tokens long, types long"
     )
     return landed(model)
 
@@ -205,114 +231,161 @@ def _scores(tokens: np.ndarray, before: np.ndarray, sizes: np.ndarray, levels, e
     }
 
 
+class _Way(NamedTuple):
+    """How the model lies, and its totals."""
+
+    blocks: int
+    shards: int
+    total: int
+    types: int
+
+
 _SCORED = "n_tokens long, n_known long, base_score double, score double"
 
 
-def _broadcast_scores(rows: DataFrame, model: DataFrame, shards: int, total: int, types: int, kind: str) -> DataFrame:
-    found = [r.asDict() for r in model.select("shard", "bits", "data", "words", "word_counts").collect()]
-    shared = rows.sparkSession.sparkContext.broadcast(Counts(found, shards))
+def _broadcast_scores(rows: DataFrame, model: DataFrame, way: _Way, data_bytes: int, kind: str) -> DataFrame:
+    found = (r.asDict() for r in model.drop("tokens").toLocalIterator())
+    counts = Counts(found, way.blocks, way.shards, 0, way.shards, data_bytes, way.types)
+    shared = rows.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
             if batch.num_rows:
-                columns = _scores(*tokens_of(batch.column("text")), counts.levels, counts.exact, total, types)
+                columns = _scores(*tokens_of(batch.column("text")), counts.levels, counts.exact, way.total, way.types)
                 yield pa.RecordBatch.from_pydict({"id": batch.column("id")} | {k: pa.array(v) for k, v in columns.items()})
 
     return rows.mapInArrow(run, f"id {kind}, {_SCORED}")
 
 
-def _routed_scores(rows: DataFrame, model: DataFrame, shards: int, total: int, types: int, kind: str) -> DataFrame:
-    """The same where the filter is too large to broadcast: chunks of documents ask the shards for what they need."""
+def _asked(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What stands before each token, and the distinct words and pairs of a chunk, both in the order of their keys."""
+    starts = np.cumsum(sizes) - sizes
+    before = np.roll(tokens, 1)
+    before[starts] = START
+    words = np.unique(np.append(tokens, START))
+    return before, words[np.argsort(word_keys(words))], np.unique(pair_keys(before, tokens))
+
+
+def _routed_scores(rows: DataFrame, model: DataFrame, way: _Way, kind: str) -> DataFrame:
+    """The same where the filter is too large to broadcast: chunks of documents ask the shards for what they need.
+
+    Words and pairs go to a shard as one row of each chunk and come back as counts alone: a chunk knows the order in which it
+    asked. A shard meets its questions one by one, so a task holds one shard and one question.
+    """
 
     def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << 36
-        for k, batch in enumerate(batches):
+        number = TaskContext.get().partitionId() << 36
+        held, n = [], 0
+
+        def chunk() -> pa.RecordBatch:
+            ids = pa.concat_arrays([b for b, _, _ in held])
+            tokens, sizes = (np.concatenate([h[k] for h in held]) for k in (1, 2))
+            return pa.RecordBatch.from_pydict(
+                {
+                    "chunk": [number],
+                    "ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                    "tokens": [tokens.tobytes()],
+                    "sizes": [sizes.astype("<i8").tobytes()],
+                }
+            )
+
+        for batch in batches:
             if batch.num_rows:
-                tokens, before, sizes = tokens_of(batch.column("text"))
-                ids = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("id"))
-                yield pa.RecordBatch.from_pydict(
-                    {"chunk": [base + k], "ids": ids, "tokens": [tokens.tobytes()], "before": [before.tobytes()], "sizes": [sizes.tobytes()]}
-                )
+                tokens, _, sizes = tokens_of(batch.column("text"))
+                held.append((batch.column("id"), tokens, sizes))
+                n += len(tokens)
+            if n >= TOGETHER:
+                yield chunk()
+                held, n, number = [], 0, number + 1
+        if held:
+            yield chunk()
 
-    chunks = landed(rows.mapInArrow(chunked, f"chunk long, ids array<{kind}>, tokens binary, before binary, sizes binary"))
+    chunks = landed(rows.mapInArrow(chunked, f"chunk long, ids array<{kind}>, tokens binary, sizes binary"))
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, tokens, before in zip(*(batch.column(c).to_pylist() for c in ("chunk", "tokens", "before")), strict=True):
-                tokens, before = np.frombuffer(tokens, "<u8"), np.frombuffer(before, "<u8")
-                words = np.unique(np.concatenate([tokens, before]))
-                for name, raw, keys in (("word", words, word_keys(words)), ("pair", k := np.unique(pair_keys(before, tokens)), k)):
-                    shard = shard_of(keys, shards)
-                    for s in np.unique(shard):
-                        yield pa.RecordBatch.from_pydict({"shard": [int(s)], "chunk": [chunk], "kind": [name], "grams": [raw[shard == s].tobytes()]})
-
-    needs = chunks.select("chunk", "tokens", "before").mapInArrow(asked, "shard long, chunk long, kind string, grams binary")
-
-    def answered(asks: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        counts = Counts(own.to_dict("records"), shards)
-        out = []
-        for chunk, name, grams in zip(asks["chunk"], asks["kind"], asks["grams"], strict=True):
-            keys = np.frombuffer(grams, "<u8")
-            levels = counts.levels(word_keys(keys) if name == "word" else keys) if len(own) else np.zeros(len(keys), np.int64)
-            exact = counts.exact(keys) if name == "word" else np.zeros(0, np.int64)
-            out.append((chunk, name, grams, levels.astype("<i8").tobytes(), exact.astype("<i8").tobytes()))
-        return pd.DataFrame(out, columns=["chunk", "kind", "grams", "levels", "exact"])
-
-    answers = (
-        needs.groupBy("shard")
-        .cogroup(model.select("shard", "bits", "data", "words", "word_counts").groupBy("shard"))
-        .applyInPandas(answered, "chunk long, kind string, grams binary, levels binary, exact binary")
-    )
+            for chunk, tokens, sizes in zip(*(batch.column(c).to_pylist() for c in ("chunk", "tokens", "sizes")), strict=True):
+                _, words, pairs = _asked(np.frombuffer(tokens, "<u8"), np.frombuffer(sizes, "<i8"))
+                for is_word, keys, grams in ((True, word_keys(words), words), (False, pairs, pairs)):
+                    shard, (cut,) = _cut(keys, way.shards, grams)
+                    n = len(shard)
+                    yield pa.RecordBatch.from_pydict({"shard": shard, "chunk": pa.array([chunk] * n, pa.int64()), "is_word": [is_word] * n, "grams": cut})
+
+    questions = chunks.select("chunk", "tokens", "sizes").mapInArrow(asked, "shard long, chunk long, is_word boolean, grams binary")
+    # a shard comes before its questions: it has no chunk
+    both = model.drop("tokens").unionByName(questions, allowMissingColumns=True)
+    both = both.repartition("shard").sortWithinPartitions("shard", F.col("chunk").asc_nulls_first())
+
+    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, counts = None, None
+        for batch in batches:
+            out = []
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                if row["chunk"] is None or row["shard"] != shard:
+                    shard = row["shard"]
+                    own = [row] if row["chunk"] is None else []
+                    counts = Counts(own, way.blocks, way.shards, shard, shard + 1, *((len(own[0]["data"]), own[0]["types"]) if own else (0, 0)))
+                if row["chunk"] is not None:
+                    grams = np.frombuffer(row["grams"], "<u8")
+                    levels = counts.levels(word_keys(grams) if row["is_word"] else grams)
+                    exact = counts.exact(grams) if row["is_word"] else levels[:0]
+                    out.append((row["chunk"], row["is_word"], shard, levels.astype(np.uint8).tobytes(), exact.astype("<i8").tobytes()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["chunk", "is_word", "shard", "levels", "exact"])
+
+    answers = both.mapInArrow(answered, "chunk long, is_word boolean, shard long, levels binary, exact binary")
 
     def scored(chunk: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        tables = {}
-        for name in ("word", "pair"):
-            own = given[given["kind"] == name]
-            raw = np.frombuffer(b"".join(own["grams"]), "<u8")
-            keys = word_keys(raw) if name == "word" else raw
-            order = np.argsort(keys)
-            tables[name] = keys[order], np.frombuffer(b"".join(own["levels"]), "<i8")[order]
-            if name == "word":
-                by_raw = np.argsort(raw)
-                words, exact = raw[by_raw], np.frombuffer(b"".join(own["exact"]), "<i8")[by_raw]
-        keys, levels = (np.concatenate(x) for x in zip(*tables.values(), strict=True))
-        order = np.argsort(keys)
+        r = chunk.iloc[0]
+        tokens, sizes = np.frombuffer(r["tokens"], "<u8"), np.frombuffer(r["sizes"], "<i8")
+        before, words, pairs = _asked(tokens, sizes)
+        given = given.sort_values("shard")
+        of_words, of_pairs = given[given["is_word"]], given[~given["is_word"]]
+        keys = np.concatenate([word_keys(words), pairs])
+        levels = np.frombuffer(b"".join([*of_words["levels"], *of_pairs["levels"]]), np.uint8).astype(np.int64)
+        order, by_word = np.argsort(keys), np.argsort(words)
         keys, levels = keys[order], levels[order]
-        for r in chunk.itertuples():
-            sizes = np.frombuffer(r.sizes, "<i8")
-            columns = _scores(
-                np.frombuffer(r.tokens, "<u8"), np.frombuffer(r.before, "<u8"), sizes,
-                lambda k: levels[np.searchsorted(keys, k)], lambda t: exact[np.searchsorted(words, t)], total, types,
-            )
-            out.append(pd.DataFrame({"id": list(r.ids)} | columns))
-        return pd.concat(out)
+        words, exact = words[by_word], np.frombuffer(b"".join(of_words["exact"]), "<i8")[by_word]
+        columns = _scores(
+            tokens, before, sizes, lambda k: levels[np.searchsorted(keys, k)], lambda t: exact[np.searchsorted(words, t)], way.total, way.types
+        )
+        return pd.DataFrame({"id": list(r["ids"])} | columns)
 
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(scored, f"id {kind}, {_SCORED}")
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_bytes: int = BROADCAST_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def _power_of_two(least: float) -> int:
+    return 1 << max(0, math.ceil(math.log2(max(least, 1))))
+
+
+def score(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_bytes: int = BROADCAST_BYTES, shard_bytes: int = SHARD_BYTES, bits: float = BITS
+) -> DataFrame:
     """One row per row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score, score (both log10).
 
     Tokens are lower-cased (A-Z) words and an end; a null or empty text has the end alone. ``base_score`` adds one to exact
     word counts; ``score`` mixes pairs and single words from the filter. Rows that repeat an id are scored alike; nothing to
-    learn from leaves all counts at zero. Extra columns are ignored.
+    learn from leaves all counts at zero. Extra columns are ignored. ``broadcast_bytes`` and ``shard_bytes`` change how the
+    filter travels, not a score; ``bits`` for each entry make false answers rare.
     """
     in_batches_of(docs.sparkSession, ROWS)
     kind = type_of(docs, id_col)
     rows = ids_and_texts(docs, id_col, text_col)
     training = rows.filter(~held_out("id"))
     size = training.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = 1
-    while shards * shard_bytes < size:
-        shards *= 2
-    model = learn(training, shards)
-    weight = F.octet_length("data") + F.octet_length("words") + F.octet_length("word_counts")
-    total, types, weighs = model.agg(F.sum("tokens"), F.sum("types"), F.sum(weight)).first()
-    way = _broadcast_scores if (weighs or 0) <= broadcast_bytes else _routed_scores
-    out = way(rows, model, shards, total or 0, types or 0, kind)
+    blocks = _power_of_two(size / BLOCK_BYTES)
+    shards = min(blocks, _power_of_two(size / shard_bytes))
+    model = learn(training, shards, blocks, bits)
+    lengths = [F.sum(F.octet_length(c)) for c in ("data", "bits", "words", "word_counts")]
+    total, types, data_bytes, *others = (x or 0 for x in model.agg(F.sum("tokens"), F.sum("types"), *lengths).first())
+    way = _Way(blocks, shards, total, types)
+    if data_bytes + sum(others) <= broadcast_bytes:
+        out = _broadcast_scores(rows, model, way, data_bytes, kind)
+    else:
+        out = _routed_scores(rows, model, way, kind)
     return out.select(
         F.col("id").alias(id_col), held_out("id").alias("held_out"), "n_tokens", "n_known",
-        F.lit(total or 0).cast("long").alias("train_tokens"), "base_score", "score",
+        F.lit(total).cast("long").alias("train_tokens"), "base_score", "score",
     )

@@ -342,12 +342,42 @@ def test_ngram_scores(docs, odd):
         counts = collections.Counter(w for i, t in tokens if not held[i] for w in t)
         total, types = sum(counts.values()), len(counts)
         want = sorted(((str(i), held[i], len(t), sum(w in counts for w in t), total, round(sum(math.log10((counts[w] + 1) / (total + types + 1)) for w in t), 3)) for i, t in tokens))
-        for options in ({}, {"broadcast_bytes": 0, "shard_bytes": 1 << 16}):
+        scores = {}
+        for k, options in enumerate(({}, {"shard_bytes": 1 << 14}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "shard_bytes": 1 << 13})):
             got = ngram_scores.score(df, **options).collect()
             assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 3)) for r in got) == want
             assert all(r.score < 0 for r in got)
+            scores[k] = sorted((str(r.doc_id), r.n_tokens, r.score) for r in got)
             if df is docs:
                 assert sum(r.score - r.base_score for r in got if r.held_out) > 0
+        # neither the number of shards nor the way they travel changes a score
+        assert scores[0] == scores[1] == scores[2] == scores[3]
+
+
+def test_scores_from_a_filter_without_false_answers(docs):
+    """With a filter so wide that it hardly answers falsely, scores are those of plain counting."""
+    rows = pairs_of(docs)
+    tokens = {i: ["<s>", *WORD.findall(t.translate(LOW)), "\n"] for i, t in rows}
+    singles, pairs = collections.Counter(), collections.Counter()
+    for i, t in tokens.items():
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            singles.update(t)
+            pairs.update(itertools.pairwise(t))
+    total, types = sum(singles.values()) - singles["<s>"], len(singles) - 1
+
+    def log_count(n):
+        return ngram_scores.COUNT_BASE ** round(math.log(n) / math.log(ngram_scores.COUNT_BASE)) if n else 0.0
+
+    def step(a, b):
+        single = (log_count(singles[b]) + 1) / (total + types + 1)
+        if not singles[a]:
+            return single
+        share = min(1.0, log_count(pairs[a, b]) / max(log_count(singles[a]), 1)) if singles[b] else 0.0
+        return ngram_scores.PAIR_WEIGHT * share + (1 - ngram_scores.PAIR_WEIGHT) * single
+
+    want = {i: sum(math.log10(step(a, b)) for a, b in itertools.pairwise(t)) for i, t in tokens.items()}
+    got = {r.doc_id: r.score for r in ngram_scores.score(docs, bits=4000.0).collect()}
+    assert got == pytest.approx(want, abs=1e-6)
 
 
 def test_language_mixtures(docs, odd):
