@@ -75,6 +75,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def pseudonym_key(spark: SparkSession) -> str:
-    """The secret of the pseudonyms: set ``spark.millrace.pseudonym.key``; without it a fixed text for trials is used."""
-    return spark.conf.get("spark.millrace.pseudonym.key", "not a secret")
+def pseudonym_key(spark: SparkSession, trial: str | None = None) -> str:
+    """The secret of the pseudonyms, from ``spark.millrace.pseudonym.key``. Where that is unset, the caller has to name a key
+    for trials; whoever knows it can undo the pseudonyms, so none is chosen silently."""
+    key = spark.conf.get("spark.millrace.pseudonym.key", None) or trial
+    if not key:
+        raise ValueError("set spark.millrace.pseudonym.key to a secret")
+    return key

@@ -1,7 +1,8 @@
 """Format-preserving pseudonyms for personal data: a keyed Feistel permutation inside each value's own format.
 
-Card and account numbers (IBANs) keep their length, separators and the outcome of their check digits; dates stay valid
-dates; addresses, telephone numbers and tokens keep their shape. Equal values get equal pseudonyms in every document, however
+Card numbers whose check digit is right and account numbers (IBANs) whose check digits are right keep their length and
+separators and stay right; other runs of digits (order numbers, times) are no such numbers and stay as they are. Dates stay valid
+dates, and what is no date stays; addresses, telephone numbers and tokens keep their shape. Equal values get equal pseudonyms in every document, however
 they are separated, and different ones different pseudonyms. Everything is built from SQL functions.
 """
 
@@ -154,14 +155,14 @@ def _iban_check(account: Column, country: Column) -> Column:
 
 
 def _account(value: Column, key: str) -> Column:
-    """The country stays, letters and digits are permuted; the check digits keep their distance from the right ones."""
+    """The country stays, letters and digits are permuted under new check digits; null if the given check digits are wrong."""
     country, check, account = F.substring(value, 1, 2), F.substring(value, 3, 2).cast("int"), F.substring(value, 5, 99)
 
     def checked(new: Column) -> Column:
-        given = F.pmod(check - _iban_check(account, country) + _iban_check(new, country), F.lit(100))
-        return F.concat(country, F.lpad(given.cast("string"), 2, "0"), new)
+        return F.concat(country, F.lpad(_iban_check(new, country).cast("string"), 2, "0"), new)
 
-    return let(_permuted_characters(account, _letter_or_digit, F.concat(F.lit("account:"), country), key), checked)
+    new = let(_permuted_characters(account, _letter_or_digit, F.concat(F.lit("account:"), country), key), checked)
+    return F.when(check == _iban_check(account, country), new)
 
 
 def _token(value: Column, key: str) -> Column:
@@ -178,15 +179,14 @@ def _check(body: Column) -> Column:
 
 
 def _card(value: Column, key: str) -> Column:
-    """All digits but the last are permuted; the last keeps its distance from the right check digit."""
+    """All digits but the last are permuted under a new check digit; null if the given one is wrong."""
 
     def of(digits: Column) -> Column:
         def bodied(body: Column) -> Column:
-            distance = F.element_at(digits, -1) - _check(body)
             new = feistel(body, F.transform(body, lambda _: F.lit(10)), F.lit("number"), key)
 
             def placed(new: Column) -> Column:
-                whole = F.concat(new, F.array(F.pmod(_check(new) + distance, F.lit(10))))
+                whole = F.concat(new, F.array(_check(new)))
                 chars = F.split(value, "")
 
                 def back(whole: Column) -> Column:
@@ -207,7 +207,7 @@ def _card(value: Column, key: str) -> Column:
 
                 return let(whole, back)
 
-            return let(new, placed)
+            return F.when(F.element_at(digits, -1) == _check(body), let(new, placed))
 
         return let(F.slice(digits, F.lit(1), F.size(digits) - 1), bodied)
 
@@ -221,7 +221,7 @@ def _address(value: Column, key: str) -> Column:
 
 
 def _date(value: Column, key: str, *patterns: str) -> Column:
-    """Another day of the same 400 years, read by the first pattern that fits; what is no date from the year 400 on stays.
+    """Another day of the same 400 years, read by the first pattern that fits; null if there is no such date from the year 400 on.
 
     Days up to 12 and later ones are permuted among themselves, so that a date which can only be read day first stays one.
     """
@@ -258,14 +258,14 @@ def _date(value: Column, key: str, *patterns: str) -> Column:
         day = F.unix_date(F.try_to_timestamp(value, F.lit(pattern)).cast("date")) - F.lit(YEAR_ZERO)
         return F.when(day >= CYCLE, let(day, lambda day: F.date_format(moved(day), pattern))).otherwise(other)
 
-    out = value
+    out = F.lit(None).cast("string")
     for pattern in reversed(patterns):
         out = read(pattern, out)
     return out
 
 
 def pseudonym(value: Column, key: str) -> Column:
-    """The pseudonym of one value that :data:`ANY` found."""
+    """The pseudonym of one value that :data:`ANY` found; null if it is no such value after all."""
 
     def is_a(pattern: str) -> Column:
         return value.rlike(f"^(?:{pattern})$")
@@ -285,18 +285,17 @@ def pseudonym(value: Column, key: str) -> Column:
 
 
 def pseudonymised(text: Column, key: str) -> Column:
-    """Struct (text, n_found): the text with every value replaced; null stays null."""
+    """Struct (text, n_found): the text with every value replaced, and how many were; null stays null."""
 
     def of(found: Column) -> Column:
-        def joined(between: Column) -> Column:
-            def replaced(new: Column) -> Column:
-                return F.array_join(F.transform(between, lambda s, i: F.concat(s, F.coalesce(F.get(new, i), F.lit("")))), "")
+        def replaced(new: Column) -> Column:
+            def joined(between: Column) -> Column:
+                return F.array_join(F.transform(between, lambda s, i: F.concat(s, F.coalesce(F.get(new, i), F.get(found, i), F.lit("")))), "")
 
-            return let(F.transform(found, lambda v: pseudonym(v, key)), replaced)
+            return F.struct(let(F.split(text, ANY), joined).alias("text"), F.size(F.filter(new, lambda v: v.isNotNull())).cast("long").alias("n_found"))
 
-        return F.struct(
-            F.when(F.size(found) == 0, text).otherwise(let(F.split(text, ANY), joined)).alias("text"), F.size(found).cast("long").alias("n_found")
-        )
+        nothing = F.struct(text.alias("text"), F.lit(0).cast("long").alias("n_found"))
+        return F.when(F.size(found) == 0, nothing).otherwise(let(F.transform(found, lambda v: pseudonym(v, key)), replaced))
 
     return let(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), of)
 
@@ -307,6 +306,6 @@ def replace(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
 
 
 def report(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: the id, the text with pseudonyms and how many values were found (0 for a null text)."""
+    """One row per row of ``docs``: the id, the text with pseudonyms and how many values were replaced (0 for a null text)."""
     rows = docs.select(F.col(f"`{id_col}`").alias(id_col), pseudonymised(F.col(f"`{text_col}`"), key).alias("p"))
     return rows.select(id_col, F.col("p.text").alias("text"), F.coalesce("p.n_found", F.lit(0).cast("long")).alias("n_found"))
