@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import exact_dedup, near_dedup, packing, pseudonyms, quality_rules
 from millrace.llm.common import landed, pseudonym_key, read_table, tokenizer_file
+from millrace.llm.queries import TRIAL_KEY
 from millrace.session import tune
 
 
@@ -28,7 +29,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with pseudonyms in their texts."""
-    return pseudonyms.replace(docs, pseudonym_key(tune(spark)))
+    return pseudonyms.replace(docs, pseudonym_key(tune(spark), TRIAL_KEY))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
