@@ -42,17 +42,18 @@ def repair_new_visitor(
     The first record fixes a date for good: its own day if it says "new", the day before otherwise. A later
     "new" on any other day becomes ``'0'``. Everything else stays as it is, rows without a time included.
 
-    On tables only a "new" record with a time can change, so the others pass straight through. The rest joins one narrow row
+    Only a "new" record with a time can change, so the others pass straight through. On tables the rest joins one narrow row
     per visitor, and only visitors with such a record; keys that hold many rows are left to the engine's skew split. ``df``
-    is read once for the dates and once for either kind of row: hand a costly one over as a table first.
+    is read once for the dates and once for either kind of row: hand a costly one over as a table first. On a stream it is
+    read once for each kind.
     """
     flagged = df.withColumn("_is_new", F.col(is_new)).withColumn("_key", F.col(key))
+    day, says_new = times.day(ts), F.col("_is_new") == "1"
+    may_change = F.coalesce(says_new & F.col(ts).isNotNull(), F.lit(False))
     if df.isStreaming:
         from millrace.streaming.stateful import repair_new_visitor_stream
 
-        return repair_new_visitor_stream(flagged, ts, seq, out)
-    day, says_new = times.day(ts), F.col("_is_new") == "1"
-    may_change = F.coalesce(says_new & F.col(ts).isNotNull(), F.lit(False))
+        return repair_new_visitor_stream(flagged, ts, seq, out, may_change)
     origin = F.when(says_new, day).otherwise(times.day_before(ts))
     dated = flagged.where(F.col(ts).isNotNull()).groupBy(F.col("_key").alias("_visitor"))
     per_key = dated.agg(F.min_by(origin, F.struct(ts, seq)).alias("_origin"), F.max(may_change).alias("_asks")).where("_asks").drop("_asks")

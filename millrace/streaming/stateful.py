@@ -10,8 +10,11 @@ on time for a window further down.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from decimal import Decimal
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
@@ -23,6 +26,13 @@ from millrace.functions import times
 OUT_OF_ORDER_SECONDS = 3
 SETTLE_SECONDS = 5
 DAY_MILLIS = 24 * 60 * 60 * 1000
+#: The longest day there is, where clocks are put back.
+LONGEST_DAY_MILLIS = 25 * 60 * 60 * 1000
+
+#: Buckets of keys whose state is read and written together, for each day or time slice. A call to the state store costs the
+#: same for one key as for a bucket, so a day of many visitors takes a bounded number of calls. Part of the state's layout: a
+#: running query keeps the number it was started with.
+BUCKETS = 1024
 
 #: Clocks of timers and of the life of state: the watermark, or the time of the machine.
 EVENT, PROCESSING = "EventTime", "ProcessingTime"
@@ -43,17 +53,22 @@ def _run(
     scalars: dict[str, Column],
     extra: str = "",
     mode: str = "EventTime",
+    emitted: Column | None = None,
 ) -> DataFrame:
-    """Pack rows, run the processor per key, unpack the rows it emits (plus the columns in ``extra``)."""
+    """Pack rows, run the processor per key, unpack the rows it emits (plus the columns in ``extra``).
+
+    ``emitted`` holds for the rows that may come out; the others travel without a payload and are only there to be seen.
+    """
     names = df.columns
     key_names = [f"_key{i}" for i in range(len(keys))]
+    payload = F.to_json(F.struct(*[c for c in names if c != ts]), _JSON)
     packed = df.select(
         *[k.alias(n) for k, n in zip(keys, key_names)],
         F.col(ts).alias("_ts"),
         F.unix_micros(ts).alias("_micros"),
         (seq if isinstance(seq, Column) else F.col(seq)).alias("_seq"),
         *[c.alias(n) for n, c in scalars.items()],
-        F.to_json(F.struct(*[c for c in names if c != ts]), _JSON).alias("_payload"),
+        (payload if emitted is None else F.when(emitted, payload)).alias("_payload"),
     )
     schema = "_ts timestamp, _payload string" + (f", {extra}" if extra else "")
     out = packed.groupBy(*key_names).transformWithState(
@@ -65,8 +80,19 @@ def _run(
     return out.select(*[F.col(ts) if c == ts else F.col("_row")[c].alias(c) for c in names], *added)
 
 
+def _bucketed(keys: list[str]) -> tuple[Column, Column]:
+    """(bucket of a key, the key itself as one text)."""
+    who = F.to_json(F.struct(*keys), _JSON)
+    return F.pmod(F.xxhash64(who), F.lit(BUCKETS)).cast("int"), who
+
+
+def _at(row: Row) -> tuple:
+    """Place of a row in time order."""
+    return (-1 if row["_micros"] is None else row["_micros"], _rank(row["_seq"]))
+
+
 def _in_order(rows: Iterator[Row]) -> list[Row]:
-    return sorted(rows, key=lambda r: (-1 if r["_micros"] is None else r["_micros"], _rank(r["_seq"])))
+    return sorted(rows, key=_at)
 
 
 def _plain(seq):
@@ -149,30 +175,63 @@ def flag_first_per_day(df: DataFrame, keys: list[str], ts: str, seq: str) -> Dat
 
 
 class _NewVisitor(StatefulProcessor):
-    """Origin date of a visitor, set once and kept for good."""
+    """Origin dates of the visitors of a bucket, each set once and kept for good, by a key of its own.
 
-    def init(self, handle) -> None:
-        self._origin = handle.getValueState("origin", "day string")
+    Rows without a payload are seen and not emitted; the others say "new", all have a time.
+    """
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        origin = self._origin.get()[0] if self._origin.exists() else None
-        for row in _in_order(rows):
-            is_new = row["_is_new"]
-            if origin is None and row["_day"] is not None:
-                origin = row["_day"] if is_new == "1" else row["_day_before"]
-                self._origin.update((origin,))
-            stale = is_new == "1" and row["_day"] not in (None, origin)
-            yield Row(_ts=row["_ts"], _payload=row["_payload"], fixed="0" if stale else is_new)
+    def init(self, handle) -> None:
+        self._origin = handle.getMapState("origin", "who string", "day string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        seen = pd.concat(list(rows), ignore_index=True)
+        earliest = seen["micros"] == seen.groupby("who")["micros"].transform("min")
+        heads: dict[str, tuple] = {}
+        for who, seq, is_new, day, before in seen.loc[earliest, ["who", "seq", "is_new", "day", "day_before"]].itertuples(index=False, name=None):
+            at = _rank(json.loads(seq, parse_float=Decimal))
+            if who not in heads or at < heads[who][0]:
+                heads[who] = (at, day if is_new == "1" else before)
+        origins = {}
+        for who, (_, day) in heads.items():
+            known = self._origin.getValue((who,))
+            if known is None:
+                self._origin.updateValue((who,), (day,))
+            origins[who] = day if known is None else known[0]
+        out = seen[seen["payload"].notna()]
+        if len(out):
+            stale = out["day"] != out["who"].map(origins)
+            yield pd.DataFrame({"micros": out["micros"], "payload": out["payload"], "fixed": stale.map({True: "0", False: "1"})})
 
     def close(self) -> None:
         pass
 
 
-def repair_new_visitor_stream(df: DataFrame, ts: str, seq: str, out: str) -> DataFrame:
-    """Stream side of ``visitors.repair_new_visitor``; expects ``_key`` and ``_is_new``."""
-    scalars = {"_is_new": F.col("_is_new"), "_day": times.day(ts), "_day_before": times.day_before(ts)}
-    fixed = _run(df, [F.col("_key")], _NewVisitor(), ts, seq, scalars, "fixed string", mode="None")
-    return fixed.withColumn(out, F.col("fixed")).drop("fixed", "_key", "_is_new")
+def repair_new_visitor_stream(df: DataFrame, ts: str, seq: str, out: str, may_change: Column) -> DataFrame:
+    """Stream side of ``visitors.repair_new_visitor``; expects ``_key`` and ``_is_new``.
+
+    Only rows that ``may_change`` travel through the processor as a whole. Of the others it sees what tells a visitor's origin;
+    they pass straight through beside it. A row without a time, such as unreadable text, doesn't reach it at all.
+    """
+    # names as they are kept on the way to pandas, where a leading underscore would be lost
+    names = [c for c in df.columns if c not in (ts, "_key", "_is_new")]
+    bucket, who = _bucketed(["_key"])
+    seen = df.where(F.col(ts).isNotNull()).select(
+        bucket.alias("bucket"),
+        who.alias("who"),
+        F.unix_micros(ts).alias("micros"),
+        F.to_json(F.struct(seq), {**_JSON, "ignoreNullFields": "false"}).alias("seq"),
+        F.col("_is_new").alias("is_new"),
+        times.day(ts).alias("day"),
+        times.day_before(ts).alias("day_before"),
+        F.when(may_change, F.to_json(F.struct(*names), _JSON)).alias("payload"),
+    )
+    rows = seen.groupBy("bucket").transformWithStateInPandas(_NewVisitor(), "micros long, payload string, fixed string", "append", "None")
+    body = StructType([df.schema[c] for c in names])
+    rows = rows.select(F.timestamp_micros("micros").alias(ts), F.from_json("payload", body, _JSON).alias("_row"), "fixed")
+    kept = [c for c in df.columns if c not in ("_key", "_is_new")]
+    fixed = rows.select(*[F.col(ts) if c == ts else F.col("_row")[c].alias(c) for c in kept], F.col("fixed").alias(out))
+    passed = df.where(~may_change).withColumn(out, F.col("_is_new")).drop("_key", "_is_new")
+    return fixed.unionByName(passed)
 
 
 class _Login(StatefulProcessor):

@@ -317,3 +317,19 @@ def test_settling_by_the_clock(spark, stream_of, tmp_path):
     query = start(settle_latest(stream, ["id"], "version", "seq", clock=PROCESSING, seconds=20), lambda b, _: seen.extend((r.id, r.seq) for r in b.collect()), str(tmp_path / "c"), every="1 second")
     until(lambda: len(seen) >= 3, query)
     assert sorted(seen) == [("a", 4), ("b", 2), ("c", 5)]
+
+
+def test_repair_sees_only_what_it_needs(spark, stream_of, drain):
+    """Rows without a time never reach the state, those that can't change pass beside it, ties follow ``seq``."""
+    from millrace.operators.visitors import repair_new_visitor
+
+    day = 86_400
+    rows = visits(spark, (1, "a", 5 * day, "1"), (2, "a", 5 * day, "0"), (3, "a", None, "1"), (4, None, None, None), (5, None, 6 * day, "1"), (6, "b", 5 * day, None), (7, "b", 6 * day, "1"), (8, None, 7 * day, "1"))
+    for seq in (F.col("seq"), F.struct((-F.col("seq")).alias("n"), F.col("v").alias("v"))):
+        typed = rows.withColumn("id", F.col("seq")).withColumn("seq", seq)
+        job = lambda d: repair_new_visitor(d, "mid", "v", out="fixed").select("id", "v", "fixed", "rowtime")
+        stream = stream_of(typed.where("id < 7"), typed.where("id >= 7"))
+        got, _ = drain(job(stream))
+        assert rows_of(got) == rows_of(job(typed))
+    plan = job(stream)._jdf.queryExecution().analyzed().toString()
+    assert "Union" in plan and "isnotnull(rowtime" in plan
