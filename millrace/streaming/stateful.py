@@ -109,28 +109,38 @@ def _rank(seq) -> tuple:
 
 
 class _FirstOfDay(StatefulProcessor):
-    """One state entry per key and day; it is dropped a day after the day's first row."""
+    """The keys of a bucket and day that have been seen; they are dropped a day after the first row of them."""
 
     def __init__(self, flag: bool):
         self._flag = flag
 
     def init(self, handle) -> None:
         self._handle = handle
-        self._seen = handle.getValueState("seen", "seen boolean")
+        self._seen = handle.getListState("seen", "who string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = self._seen.exists()
-        for row in _in_order(rows):
-            first = not known
-            if first:
-                known = True
-                self._seen.update((True,))
-                # without a time there is nothing to count from: the entry stays
-                if row["_micros"] is not None:
-                    self._handle.registerTimer(row["_micros"] // 1000 + DAY_MILLIS)
+        known = {r[0] for r in self._seen.get()}
+        best: dict[str, tuple] = {}
+        for row in rows:
+            who, later = row["_who"], row
+            if who not in known:
+                at = _at(row)
+                if who not in best:
+                    best[who], later = (at, row), None
+                elif at < best[who][0]:
+                    later, best[who] = best[who][1], (at, row)
+            if self._flag and later is not None:
+                yield Row(_ts=later["_ts"], _payload=later["_payload"], first=0)
+        if best:
+            self._seen.appendList([(who,) for who in best])
+            micros = [row["_micros"] for _, row in best.values() if row["_micros"] is not None]
+            # without a time there is nothing to count from: the entries stay
+            if micros and not known:
+                self._handle.registerTimer(min(micros) // 1000 + LONGEST_DAY_MILLIS)
+        for _, row in best.values():
             if self._flag:
-                yield Row(_ts=row["_ts"], _payload=row["_payload"], first=int(first))
-            elif first:
+                yield Row(_ts=row["_ts"], _payload=row["_payload"], first=1)
+            else:
                 yield Row(_ts=row["_ts"], _payload=row["_payload"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -163,15 +173,16 @@ def first_per_day_stream(df: DataFrame, keys: list[str], ts: str, seq: str, cloc
     With ``clock=PROCESSING`` a row is never dropped as late, and rows without a time are a day of their own; a key's row
     that comes more than a day of real time after the first one of its day counts as a first one again.
     """
-    by = [*map(F.col, keys), times.day(ts)]
     if clock == PROCESSING:
-        return _run(df, by, _FirstOfDayByClock(), ts, seq, {}, mode=PROCESSING)
-    return _run(df, by, _FirstOfDay(False), ts, seq, {})
+        return _run(df, [*map(F.col, keys), times.day(ts)], _FirstOfDayByClock(), ts, seq, {}, mode=PROCESSING)
+    bucket, who = _bucketed(keys)
+    return _run(df, [times.day(ts), bucket], _FirstOfDay(False), ts, seq, {"_who": who})
 
 
 def flag_first_per_day(df: DataFrame, keys: list[str], ts: str, seq: str) -> DataFrame:
     """All rows, with ``first`` = 1 on the first row of every key and day and 0 elsewhere."""
-    return _run(df, [*map(F.col, keys), times.day(ts)], _FirstOfDay(True), ts, seq, {}, "first long")
+    bucket, who = _bucketed(keys)
+    return _run(df, [times.day(ts), bucket], _FirstOfDay(True), ts, seq, {"_who": who}, "first long")
 
 
 class _NewVisitor(StatefulProcessor):

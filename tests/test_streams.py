@@ -15,7 +15,7 @@ from millrace.plans import dwd, dws
 from millrace.sinks.tables import VersionedTable
 from millrace.sources import lookups, sample
 from millrace.streaming.runner import late_rows, run_once, start
-from millrace.streaming.stateful import PROCESSING, SETTLE_SECONDS, flag_first_per_day, hold_delay, settle_latest
+from millrace.streaming.stateful import BUCKETS, PROCESSING, SETTLE_SECONDS, flag_first_per_day, hold_delay, settle_latest
 
 FAR = datetime.datetime(2031, 1, 1)
 
@@ -319,6 +319,24 @@ def test_settling_by_the_clock(spark, stream_of, tmp_path):
     assert sorted(seen) == [("a", 4), ("b", 2), ("c", 5)]
 
 
+def timers(query):
+    """Timers that the micro-batches of a query have set."""
+    return sum(op["customMetrics"].get("numRegisteredTimers", 0) for p in query.recentProgress for op in p["stateOperators"])
+
+
+def many_visits(spark, n=6000):
+    at = F.timestamp_seconds(F.lit(1_704_100_000) + F.col("id") % 3000)
+    return spark.range(n).select(F.col("id").alias("seq"), (F.col("id") % (n // 2)).cast("string").alias("mid"), at.alias("rowtime"), F.lit("").alias("v"))
+
+
+def test_first_visits_share_state_calls(spark, stream_of, drain):
+    """A day's visitors are kept by bucket, so their number doesn't set the number of calls to the state."""
+    rows = many_visits(spark)
+    got, query = drain(first_per_day(stream_of(rows.where("seq < 4000"), rows.where("seq >= 4000")).withWatermark("rowtime", "1 hour"), "mid"))
+    assert rows_of(got, "seq") == rows_of(first_per_day(rows, "mid"), "seq")
+    assert 0 < timers(query) <= BUCKETS
+
+
 def test_repair_sees_only_what_it_needs(spark, stream_of, drain):
     """Rows without a time never reach the state, those that can't change pass beside it, ties follow ``seq``."""
     from millrace.operators.visitors import repair_new_visitor
