@@ -34,14 +34,27 @@ def through(spark, df: DataFrame) -> DataFrame:
     return sink.read(spark)
 
 
+#: Rows of a file of a micro-batch, so that it is written and read by several tasks.
+FILE_ROWS = 250_000
+
+
 def in_files(spark, df: DataFrame, by: str, n: int = 4, turned: bool = False) -> DataFrame:
-    """A table as a stream of ``n`` files in the order of ``by``, one in each micro-batch; ``turned``: the last one first."""
+    """A table as a stream of ``n`` micro-batches in the order of ``by``; ``turned``: the last one first.
+
+    Each has the same number of files: one, or more where there are many rows. Files that are missing to that are empty ones.
+    """
     path = f"{scratch(spark)}/in"
     cuts = df.approxQuantile("_at", [k / n for k in range(1, n)], 0.01) if "_at" in df.columns else []
     part = sum((F.when(F.col(by) > c, 1).otherwise(0) for c in cuts), F.lit(0))
+    files = -(-df.count() // (n * FILE_ROWS)) or 1
+    written = 0
     for k in range(n)[:: -1 if turned else 1]:
-        df.where(part == k).drop("_at").coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.drop("_at").schema).option("maxFilesPerTrigger", 1).parquet(path)
+        rows = df.where(part == k).drop("_at")
+        (rows.repartition(files) if files > 1 else rows.coalesce(1)).write.mode("append").parquet(path)
+        written += files
+        while len(spark.read.schema(rows.schema).parquet(path).inputFiles()) < written:
+            rows.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.drop("_at").schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def event_pages(spark, folder) -> DataFrame:

@@ -354,9 +354,10 @@ def settle_latest(df: DataFrame, keys: list[str], version: str, seq: str, ts: st
 
 
 class _Bounce(StatefulProcessor):
-    """Rows of a visitor's time slice that the watermark has not passed yet, and the verdict on those it has.
+    """Rows of a time slice, of the visitors of a bucket, that the watermark has not passed yet, and the verdict on those it has.
 
-    ``own`` marks the rows of the slice; the others belong to the start of the next one and are only there to be seen.
+    ``own`` marks the rows of the slice; the others belong to the start of the next one and are only there to be seen. Every
+    row that waits has a timer at its time or before.
     """
 
     def __init__(self, within_seconds: int, seq_type: str):
@@ -365,41 +366,31 @@ class _Bounce(StatefulProcessor):
 
     def init(self, handle) -> None:
         self._handle = handle
-        self._rows = handle.getListState("rows", f"micros long, seq {self._seq_type}, entry boolean, own boolean, ts timestamp, payload string")
-        self._due = handle.getValueState("due", "due long")
+        self._rows = handle.getListState("rows", f"who string, micros long, seq {self._seq_type}, entry boolean, own boolean, ts timestamp, payload string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(r["_micros"], _plain(r["_seq"]), r["_entry"], r["_own"], r["_ts"], r["_payload"]) for r in rows]
+        new = [(r["_who"], r["_micros"], _plain(r["_seq"]), r["_entry"], r["_own"], r["_ts"], r["_payload"]) for r in rows]
         self._rows.appendList(new)
-        self._wake(min(r[0] for r in new) // 1000)
+        self._handle.registerTimer(min(r[1] for r in new) // 1000)
         return iter(())
 
-    def _wake(self, at: int) -> None:
-        """Keep a single timer per slice, at the earliest undecided row."""
-        due = self._due.get()[0] if self._due.exists() else None
-        if due is None or at < due:
-            if due is not None:
-                self._handle.deleteTimer(due)
-            self._handle.registerTimer(at)
-            self._due.update((at,))
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         limit = timerValues.getCurrentWatermarkInMs()
-        rows = sorted(self._rows.get(), key=lambda r: (r[0], _rank(r[1])))
-        done = [r for r in rows if r[0] // 1000 <= limit]
-        rest = rows[len(done) :]
-        self._due.clear()
+        rows = sorted(map(tuple, self._rows.get()), key=lambda r: (r[0], r[1], _rank(r[2])))
+        rest = [r for r in rows if r[1] // 1000 > limit]
+        if len(rest) == len(rows):
+            return  # an earlier timer has seen to them
         if rest:
-            self._rows.put([tuple(r) for r in rest])
-            self._wake(rest[0][0] // 1000)
+            self._rows.put(rest)
+            self._handle.registerTimer(min(r[1] for r in rest) // 1000)
         else:
             self._rows.clear()
-        for row, follow in zip(done, [*rows[1:], None]):
-            if row[2] and row[3]:
-                if follow is None or follow[0] - row[0] >= self._within:
-                    yield Row(_ts=row[4], _payload=row[5], kind="timeout")
-                elif follow[2]:
-                    yield Row(_ts=row[4], _payload=row[5], kind="match")
+        for row, follow in zip(rows, [*rows[1:], None]):
+            if row[3] and row[4] and row[1] // 1000 <= limit:
+                if follow is None or follow[0] != row[0] or follow[1] - row[1] >= self._within:
+                    yield Row(_ts=row[5], _payload=row[6], kind="timeout")
+                elif follow[3]:
+                    yield Row(_ts=row[5], _payload=row[6], kind="match")
 
     def close(self) -> None:
         pass
@@ -409,5 +400,7 @@ def verdicts_stream(df: DataFrame, key: str, ts: str, seq: str, within_seconds:
     """Stream side of ``bounce.verdicts``; input delay ``hold_delay(within_seconds)``. ``df`` is cut into ``slices``: the slice
     a row is shown to, whether it is its own, and whether the row is an entry."""
     shown, own, entry = slices
-    scalars = {"_entry": F.col(entry), "_own": F.col(own)}
-    return _run(df, [F.col(key), F.col(shown)], _Bounce(within_seconds, df.schema[seq].dataType.simpleString()), ts, seq, scalars, "kind string").drop(*slices)
+    bucket, who = _bucketed([key])
+    scalars = {"_who": who, "_entry": F.col(entry), "_own": F.col(own)}
+    processor = _Bounce(within_seconds, df.schema[seq].dataType.simpleString())
+    return _run(df, [F.col(shown), bucket], processor, ts, seq, scalars, "kind string", emitted=F.col(entry) & F.col(own)).drop(*slices)
