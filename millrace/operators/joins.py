@@ -38,3 +38,14 @@ def bounded_join(
         wait = F.expr(f"INTERVAL {wait_seconds} SECONDS")
         condition = condition & (F.col("_right_ts") >= F.col(ts) - wait) & (F.col("_right_ts") <= F.col(ts) + wait)
     return left.join(other, condition, how).drop(*renamed.values())
+
+
+def beside(rows: DataFrame, extra: DataFrame, key: str, extra_key: str, place: str, name: str) -> DataFrame:
+    """``extra`` with the ``place`` of the ``rows`` of its key as ``name``, so that it can be dealt out to where they lie.
+
+    For tables. A narrow ``extra`` then joins by key and place to wide rows that are dealt out by place, and the wide rows stay
+    where they are (see ``session.RUNTIME_CONF``). A key with rows in several places is in each of them once; one without rows
+    is left out.
+    """
+    places = rows.select(F.col(key).alias("_key"), F.col(place).alias(name)).distinct()
+    return extra.join(places, F.col(extra_key) == F.col("_key")).drop("_key")

@@ -12,7 +12,7 @@ from millrace.functions.values import money
 from millrace.operators.bounce import WITHIN_SECONDS, verdicts
 from millrace.operators.changes import entry_page
 from millrace.operators.enrich import lookup
-from millrace.operators.joins import ORDER_WAIT, REFUND_WAIT, bounded_join
+from millrace.operators.joins import ORDER_WAIT, REFUND_WAIT, beside, bounded_join
 from millrace.operators.routing import DIRTY_TOPIC, route_log, split_log
 from millrace.operators.visitors import first_per_day, repair_new_visitor
 from millrace.sources.topics import page_time, parsed, unreadable
@@ -96,7 +96,8 @@ def order_pre_process(changes: DataFrame, dic: DataFrame, now: Column | None = N
     """Order lines with their order, activity, coupon and source name.
 
     The order contributes its insertion and its updates, so a line appears once per order change within the
-    waiting time. Activity and coupon are optional.
+    waiting time. Activity and coupon are optional. On tables these few columns are dealt out by order, so that the wide
+    lines are not shuffled by their own id (nor once more for their payment).
     """
     amount = (money(field("sku_num")) * money(field("order_price"))).cast("string")
     lines = changes.where(routed("order_detail", "insert")).select(
@@ -119,8 +120,12 @@ def order_pre_process(changes: DataFrame, dic: DataFrame, now: Column | None = N
     )
     coupon = changes.where(routed("order_detail_coupon", "insert")).select(*fields("order_detail_id", "coupon_id"), "event_time")
     rows = bounded_join(lines, orders, {"order_id": "_order"}, wait)
-    rows = bounded_join(rows, activity, {"id": "order_detail_id"}, wait, "left_outer")
-    rows = bounded_join(rows, coupon, {"id": "order_detail_id"}, wait, "left_outer")
+    by_line = {"id": "order_detail_id"}
+    if not changes.isStreaming:
+        activity, coupon = (beside(lines, extra, "id", "order_detail_id", "order_id", "_order") for extra in (activity, coupon))
+        by_line["order_id"] = "_order"
+    rows = bounded_join(rows, activity, by_line, wait, "left_outer")
+    rows = bounded_join(rows, coupon, by_line, wait, "left_outer")
     rows = lookup(rows, dic, "source_type", "source_type_name")
     return (
         rows.withColumn("date_id", times.day(F.try_to_timestamp("create_time")))

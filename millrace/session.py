@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a split hot partition is worth an extra shuffle further down
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # rows that lie by one key of a join stay there, only the other side is dealt out
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     # the union of several inputs waits for the slowest of them
     "spark.sql.streaming.multipleWatermarkPolicy": "min",

@@ -151,11 +151,12 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").withColumn("t0", F.unix_seconds("o_orderdate"))
 
 
-def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines with their order's date and user."""
-    line = table(spark, folder, "lineitem").drop("l_shipdate", "l_linestatus")
-    order = _orders(spark, folder).select("o_orderkey", "o_custkey", "o_orderdate", "t0")
-    return line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
+def _lines(spark: SparkSession, folder: str, as_text: bool = False) -> DataFrame:
+    """Order lines with their order's date and user; ``order_id`` is the key both were joined by, ``as_text`` or as it is."""
+    form = "CAST({} AS STRING)" if as_text else "{}"
+    line = table(spark, folder, "lineitem").drop("l_shipdate", "l_linestatus").withColumn("order_id", F.expr(form.format("l_orderkey")))
+    order = _orders(spark, folder).withColumn("_order", F.expr(form.format("o_orderkey"))).select("_order", "o_orderkey", "o_custkey", "o_orderdate", "t0")
+    return line.join(order, F.col("order_id") == F.col("_order")).drop("_order")
 
 
 _LINE_ID = "l_orderkey * 10 + l_linenumber"
@@ -209,9 +210,8 @@ def order_info(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_detail(spark: SparkSession, folder: str) -> DataFrame:
-    data = _map(
+    values = dict(
         id=_LINE_ID,
-        order_id="l_orderkey",
         sku_id="l_partkey",
         sku_name="concat('sku-', l_partkey)",
         create_time=_later(0),
@@ -223,7 +223,11 @@ def order_detail(spark: SparkSession, folder: str) -> DataFrame:
         split_activity_amount=f"CASE WHEN l_linenumber % 3 != 0 THEN {_share('l_discount')} END",
         split_coupon_amount=f"CASE WHEN l_linenumber % 2 != 0 THEN {_share('l_tax')} END",
     )
-    return _change(_lines(spark, folder), "order_detail", "insert", F.expr("t0 + (l_linenumber - 1) * 200"), data)
+    lines = _lines(spark, folder, as_text=True)
+    # the order is kept beside the other values, so that Spark sees that the rows lie by order already
+    rows = once(lines, ["order_id"], _ts=F.expr("t0 + (l_linenumber - 1) * 200"), **{name: _text(F.expr(value)) for name, value in values.items()})
+    data = _map(id="id", order_id="order_id", **{name: name for name in values if name != "id"})
+    return _change(rows, "order_detail", "insert", F.col("_ts"), data)
 
 
 def _order_positions(spark: SparkSession, folder: str) -> DataFrame:

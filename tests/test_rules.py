@@ -1,6 +1,7 @@
 """The rules of single operators on a few rows each."""
 
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -187,6 +188,36 @@ def test_order_pre_process(spark):
     assert rows_of(cancels, "id", "date_id", "ts") == [("1", "2022-09-02", "1905"), ("2", "2022-09-02", "1905")]
 
 
+def test_activities_of_lines_whose_ids_repeat(spark):
+    """A line id in two orders, twice in one of them, or missing: each line has each activity of its id once."""
+    line = lambda i, order, sku: ("order_detail", "insert", "1000", None, {"id": i, "order_id": order, "sku_id": sku, "source_type": "2401"})
+    activity = lambda i, rule: ("order_detail_activity", "insert", "1001", None, {"order_detail_id": i, "activity_rule_id": rule})
+    order = lambda i: ("order_info", "insert", "1000", None, {"id": i, "order_status": "1001"})
+    lines = [line("1", "8", "a"), line("1", "8", "b"), line("1", "9", "c"), line(None, "9", "d"), line("2", "9", "e"), line("3", None, "f"), line("4", "7", "g")]
+    log = change(spark, *lines, order("8"), order("9"), activity("1", "x"), activity("1", "y"), activity(None, "z"), activity("3", "x"))
+    got = rows_of(dwd.order_pre_process(log, lookups.dictionary(spark)), "sku_id", "activity_rule_id")
+    assert got == sorted([*[(sku, rule) for sku in "abc" for rule in "xy"], ("d", None), ("e", None)], key=repr)
+
+
+def shuffled(spark, name):
+    """The columns of every shuffle that a registered query plans where only the dictionary is broadcast."""
+    from checks import CATALOG
+
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2k")
+        plan = CATALOG[name].run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    return [set(re.findall(r"(\w+)#\d+", columns)) for columns in re.findall(r"\) Exchange *\nInput \[\d+\]: \[(.*)\]", plan)]
+
+
+def test_wide_order_lines_stay_where_their_order_is(spark):
+    """Lines are shuffled as they come from the table, and not with all their text for each join."""
+    found = shuffled(spark, "q6_order_pre_process")
+    assert any("l_partkey" in columns for columns in found) and not [columns for columns in found if "sku_id" in columns]
+
+
 def test_refunds(spark):
     log = change(
         spark,
