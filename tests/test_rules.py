@@ -212,7 +212,7 @@ def shuffled(spark, name):
     return [set(re.findall(r"(\w+)#\d+", columns)) for columns in re.findall(r"\) Exchange *\nInput \[\d+\]: \[(.*)\]", plan)]
 
 
-@pytest.mark.parametrize("name", ["q6_order_pre_process", "q9_payments"])
+@pytest.mark.parametrize("name", ["q6_order_pre_process", "q7_order_details", "q9_payments"])
 def test_wide_order_lines_stay_where_their_order_is(spark, name):
     """Lines are shuffled as they come from the table, and not with all their text for each join."""
     found = shuffled(spark, name)
