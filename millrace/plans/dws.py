@@ -98,6 +98,9 @@ _AMOUNTS = {
 }
 _SKU_AMOUNTS = list(_AMOUNTS)
 
+#: Parts a product's orders are dealt out in.
+ORDER_PARTS = 64
+
 
 def sku_order_sums(facts: DataFrame, length: str = LENGTH, now: Column | None = None) -> DataFrame:
     """Orders, amounts and first-order users per product and window.
@@ -112,19 +115,20 @@ def sku_order_sums(facts: DataFrame, length: str = LENGTH, now: Column | None =
 
         flagged = flag_first_per_day(rows, ["user_id"], "rowtime", "id").withColumnRenamed("first", count)
         return tumble_distinct(flagged, ["sku_id"], "order_id", "order_count", [count, *_SKU_AMOUNTS], length, now=now)
-    orders = per_member(rows, ["sku_id"], "order_id", _SKU_AMOUNTS, length)
-    orders = orders.select("window", "sku_id", F.lit(0).alias(count), F.lit(1).alias("order_count"), *_SKU_AMOUNTS)
+    # a hot product is spread over parts of its orders; each part comes down to a row per window before a product's rows meet
+    parted = rows.withColumn("_part", F.pmod(F.hash("order_id"), F.lit(ORDER_PARTS))).repartition("sku_id", "_part")
+    orders = per_member(parted, ["sku_id", "_part"], "order_id", _SKU_AMOUNTS, length)
+    orders = orders.groupBy("window", "sku_id", "_part").agg(F.count(F.lit(1)).alias("order_count"), *sums(*_SKU_AMOUNTS))
+    orders = orders.select("window", "sku_id", F.lit(0).cast("long").alias(count), "order_count", *_SKU_AMOUNTS)
     day = F.to_date("rowtime").alias("day")
-    first = F.min_by(F.struct("sku_id", "rowtime"), F.struct("rowtime", "id")).alias("first")
-    users = rows.groupBy("user_id", day).agg(first).select("first.*")
+    users = rows.groupBy("user_id", day).agg(F.min(F.struct("rowtime", "id", "sku_id")).alias("first")).select("first.*")
+    users = users.groupBy(F.window("rowtime", length).alias("window"), "sku_id").agg(F.count(F.lit(1)).alias(count))
     users = users.select(
-        F.window("rowtime", length).alias("window"),
-        "sku_id",
-        F.lit(1).alias(count),
-        F.lit(0).alias("order_count"),
-        *[F.lit(0).cast(orders.schema[c].dataType).alias(c) for c in _SKU_AMOUNTS],
+        "window", "sku_id", count, F.lit(0).cast("long").alias("order_count"), *[F.lit(0).cast(orders.schema[c].dataType).alias(c) for c in _SKU_AMOUNTS]
     )
-    total = union_all(orders, users).groupBy("window", "sku_id").agg(*sums(count, "order_count", *_SKU_AMOUNTS))
+    # dealt out by product alone, the rows lie as the product dimension is joined
+    both = union_all(orders, users).repartition("sku_id")
+    total = both.groupBy("window", "sku_id").agg(*sums(count, "order_count", *_SKU_AMOUNTS))
     return decorate(total, now)
 
 

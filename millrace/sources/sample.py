@@ -426,9 +426,9 @@ def order_facts(spark: SparkSession, folder: str) -> DataFrame:
     line = table(spark, folder, "lineitem")
     order = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    rows = line.join(order, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        customer, F.col("o_custkey") == F.col("c_custkey"), "left"
-    )
+    # the customer joins the few orders, so that the lines are shuffled once
+    order = order.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+    rows = line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
     rows = rows.selectExpr(
         f"CAST({_LINE_ID} AS STRING) AS id",
         "CAST(l_orderkey AS STRING) AS order_id",

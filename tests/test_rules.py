@@ -219,6 +219,13 @@ def test_wide_order_lines_stay_where_their_order_is(spark, name):
     assert any("l_partkey" in columns for columns in found) and not [columns for columns in found if "sku_id" in columns]
 
 
+def test_order_lines_of_products_are_shuffled_once_per_key(spark):
+    """Customers join orders, not lines; a product's summary rows already lie as its dimension is joined."""
+    found = shuffled(spark, "q17_sku_orders")
+    assert any("l_partkey" in columns for columns in found)
+    assert not [columns for columns in found if {"l_partkey", "o_custkey"} <= columns or "stt" in columns]
+
+
 def test_refunds(spark):
     log = change(
         spark,
