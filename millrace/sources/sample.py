@@ -152,10 +152,12 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, folder: str, as_text: bool = False) -> DataFrame:
-    """Order lines with their order's date and user; ``order_id`` is the key both were joined by, ``as_text`` or as it is."""
-    form = "CAST({} AS STRING)" if as_text else "{}"
-    line = table(spark, folder, "lineitem").drop("l_shipdate", "l_linestatus").withColumn("order_id", F.expr(form.format("l_orderkey")))
-    order = _orders(spark, folder).withColumn("_order", F.expr(form.format("o_orderkey"))).select("_order", "o_orderkey", "o_custkey", "o_orderdate", "t0")
+    """Order lines with their order's date and user. Tables are joined by the order's key ``as_text`` if asked, then ``order_id``."""
+    line = table(spark, folder, "lineitem").drop("l_shipdate", "l_linestatus")
+    order = _orders(spark, folder).select("o_orderkey", "o_custkey", "o_orderdate", "t0")
+    if not as_text or line.isStreaming:
+        return line.join(order, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("order_id", _text("l_orderkey"))
+    line, order = line.withColumn("order_id", _text("l_orderkey")), order.withColumn("_order", _text("o_orderkey"))
     return line.join(order, F.col("order_id") == F.col("_order")).drop("_order")
 
 
@@ -224,8 +226,9 @@ def order_detail(spark: SparkSession, folder: str) -> DataFrame:
         split_coupon_amount=f"CASE WHEN l_linenumber % 2 != 0 THEN {_share('l_tax')} END",
     )
     lines = _lines(spark, folder, as_text=True)
-    # the order is kept beside the other values, so that Spark sees that the rows lie by order already
-    rows = once(lines, ["order_id"], _ts=F.expr("t0 + (l_linenumber - 1) * 200"), **{name: _text(F.expr(value)) for name, value in values.items()})
+    made = {"_ts": F.expr("t0 + (l_linenumber - 1) * 200"), **{name: _text(F.expr(value)) for name, value in values.items()}}
+    # the order is kept beside a table's other values, so that Spark sees that the rows lie by order already; a stream's state is dealt out anew
+    rows = lines.select("order_id", *[value.alias(name) for name, value in made.items()]) if lines.isStreaming else once(lines, ["order_id"], **made)
     data = _map(id="id", order_id="order_id", **{name: name for name in values if name != "id"})
     return _change(rows, "order_detail", "insert", F.col("_ts"), data)
 
