@@ -54,9 +54,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def in_batches_of(spark: SparkSession, rows: int) -> None:
-    """Bound the Arrow batches sent to Python: whole texts can be long."""
+def in_batches_of(spark: SparkSession, rows: int, most_bytes: int | None = None) -> None:
+    """Bound the Arrow batches sent to Python: whole texts can be long. ``most_bytes`` takes effect from Spark 4.1 on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    if most_bytes:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most_bytes))
 
 
 def ids_and_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -27,9 +27,13 @@ END_ID = 1
 ROWS = 512
 
 
+def is_mounted(folder: str) -> bool:
+    return urlparse(folder).scheme in ("", "file")
+
+
 def local_path(folder: str) -> str:
     found = urlparse(folder)
-    if found.scheme not in ("", "file"):
+    if not is_mounted(folder):
         raise ValueError(f"memory-mapped files need a folder that executors mount, not {found.scheme}://")
     return found.path
 

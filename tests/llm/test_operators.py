@@ -4,11 +4,13 @@ import collections
 import hashlib
 import itertools
 import math
+import pickle
 import re
 import zlib
 
 import numpy as np
 import public_tokenizers as tokenizer_files
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -360,6 +362,27 @@ def test_ngram_scores(docs, odd):
         assert scores[0] == scores[1] == scores[2] == scores[3]
 
 
+def test_filter_is_mapped_where_the_shared_folder_is_mounted(spark, docs, odd, monkeypatch):
+    """No process gets a copy of the filter then, whatever its size; the scores are those of the other ways."""
+    sent, put = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(len(pickle.dumps(value))) or put(self, value))
+    for df in (docs, odd):
+        scores = []
+        for options in ({}, {"broadcast_bytes": 0, "shard_bytes": 1 << 13}, {"mapped": False}, {"mapped": False, "broadcast_bytes": 0, "shard_bytes": 1 << 13}):
+            out = ngram_scores.score(df, **options)
+            assert ("CoGroups" in out._jdf.queryExecution().toString()) == (len(scores) == 3)
+            scores.append(sorted((str(r.doc_id), r.n_tokens, r.n_known, r.base_score, r.score) for r in out.collect()))
+        assert scores[0] == scores[1] == scores[2] == scores[3]
+        whole, parts, copied = sent
+        assert whole == parts and copied > 5 * whole or df is odd
+        sent.clear()
+
+
+def test_scored_together_is_bounded_by_text():
+    rows = pa.RecordBatch.from_pydict({"id": [1, 2, 3, 4, 5], "text": ["", "x" * ngram_scores.SCORED_BYTES, "y", "z" * (3 << 20), ""]})
+    assert [b.column("id").to_pylist() for b in ngram_scores._slices(rows)] == [[1, 2], [3], [4], [5]]
+
+
 def test_scores_from_a_filter_without_false_answers(docs):
     """With a filter so wide that it hardly answers falsely, scores are those of plain counting."""
     rows = pairs_of(docs)
