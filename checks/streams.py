@@ -145,7 +145,7 @@ def _(spark, folder):
     lines = lines.select(*cdc.fields("id", "order_id", "sku_id"), "event_time")
     orders = sample.order_info(spark, sample.StreamFolder.of(folder, "orders")).withWatermark("event_time", "15 minutes")
     orders = orders.select(cdc.field("id").alias("_o"), *cdc.fields("order_status"), F.col("ts").alias("oi_ts"), "event_time")
-    return through(spark, bounded_join(lines, orders, {"order_id": "_o"}, ORDER_WAIT)).drop("event_time", "order_id")
+    return through(spark, bounded_join(lines, orders, {"order_id": "_o"}, ORDER_WAIT, alone=True)).drop("event_time", "order_id")
 
 
 @check(

@@ -10,15 +10,22 @@ on time for a window further down.
 
 from __future__ import annotations
 
+import itertools
 import json
+import pickle
 from collections.abc import Iterator
 from decimal import Decimal
+from functools import reduce
+from operator import and_
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import BooleanType, DateType, IntegralType, StringType, StructType, TimestampType
 
 from millrace.functions import times
 
@@ -404,3 +411,130 @@ def verdicts_stream(df: DataFrame, key: str, ts: str, seq: str, within_seconds:
     scalars = {"_who": who, "_entry": F.col(entry), "_own": F.col(own)}
     processor = _Bounce(within_seconds, df.schema[seq].dataType.simpleString())
     return _run(df, [F.col(shown), bucket], processor, ts, seq, scalars, "kind string", emitted=F.col(entry) & F.col(own)).drop(*slices)
+
+
+#: Pairs of a join handed on together, and rows of one entry of its state.
+PAIRS = HELD_ROWS = 100_000
+
+
+def _pairs(left: pd.DataFrame, right: pd.DataFrame, wait: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the rows of one key that are at most ``wait`` apart, some PAIRS at a time: a key's pairs are never all held."""
+    if not len(left) or not len(right):
+        return
+    who = pd.factorize(pd.concat([left["who"], right["who"]], ignore_index=True))[0].astype(np.int64)
+    own, other = who[: len(left)], who[len(left) :]
+    at, theirs = left["micros"].to_numpy(), right["micros"].to_numpy()
+    # a partner's key and the rank of its time in one number, so that those of a row are a range
+    times_of, rank = np.unique(theirs, return_inverse=True)
+    places = (other << 32) + rank
+    order = np.argsort(places, kind="stable")
+    places = places[order]
+    low = np.searchsorted(places, (own << 32) + np.searchsorted(times_of, at - wait, "left"))
+    high = np.searchsorted(places, (own << 32) + np.searchsorted(times_of, at + wait, "right"))
+    ends = np.cumsum(high - low)
+    for start in range(0, int(ends[-1]), PAIRS):
+        place = np.arange(start, min(start + PAIRS, int(ends[-1])))
+        row = np.searchsorted(ends, place, "right")
+        yield row, order[high[row] - (ends[row] - place)]
+
+
+def _due(until: int, step: int) -> int:
+    """Milliseconds at which an entry goes; entries of about one time go together."""
+    step = max(step, 1_000_000)
+    return (until // step + 1) * step // 1000
+
+
+class _Join:
+    """Rows of both sides, of the keys of a bucket, that can still meet a partner: entries of a side and micro-batch, each of which
+    goes once the watermark has passed all its rows and the waiting time.
+
+    Rows and state come as whole columns, which costs far less a row than the calls of a ``StatefulProcessor``.
+    """
+
+    def __init__(self, wait_seconds: int, sides: tuple[list[str], list[str]]):
+        self._wait = wait_seconds * 1_000_000
+        self._sides = sides
+
+    def _entries(self, own: bool, rows: pd.DataFrame) -> Iterator[tuple]:
+        for at in range(0, len(rows), HELD_ROWS):
+            part = rows[at : at + HELD_ROWS]
+            data = pa.RecordBatch.from_pydict({c: pa.array(part[c], pa.int64() if c == "micros" else pa.string(), from_pandas=True) for c in part})
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, data.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
+                out.write_batch(data)
+            yield own, int(part["micros"].max()) + self._wait, sink.getvalue().to_pybytes()
+
+    def __call__(self, key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = pickle.loads(state.get[0]) if state.exists else []
+        if state.hasTimedOut:
+            limit = state.getCurrentWatermarkMs()
+            held = [r for r in held if _due(r[1], self._wait) > limit]
+        else:
+            new = pd.concat(list(rows), ignore_index=True)
+            left, right = (new.loc[new["own"] == own, ["who", "micros", *names]].reset_index(drop=True) for own, names in zip((True, False), self._sides))
+            read = lambda own: (pa.ipc.open_stream(r[2]).read_pandas() for r in held if r[0] == own)
+            met = itertools.chain(((left, r) for r in itertools.chain([right], read(False))), ((x, right) for x in read(True)))
+            for one, two in met:
+                for i, j in _pairs(one, two, self._wait):
+                    columns = {"micros": one["micros"].to_numpy()[i]}
+                    for names, side, at in zip(self._sides, (one, two), (i, j)):
+                        columns |= {c: side[c].to_numpy()[at] for c in names}
+                    yield pd.DataFrame(columns)
+            held = [*held, *self._entries(True, left), *self._entries(False, right)]
+        if held:
+            state.update((pickle.dumps(held),))
+            state.setTimeoutTimestamp(max(min(_due(r[1], self._wait) for r in held), state.getCurrentWatermarkMs() + 1))
+        else:
+            state.remove()
+
+
+def can_join_in_buckets(left: DataFrame, right: DataFrame, on: dict[str, str], ts: str) -> bool:
+    """Whether texts of the keys are equal exactly where the keys are, and both times are instants."""
+    plain = all(
+        left.schema[a].dataType == right.schema[b].dataType and isinstance(left.schema[a].dataType, (StringType, IntegralType, DateType, BooleanType, TimestampType))
+        for a, b in on.items()
+    )
+    return plain and all(isinstance(df.schema[ts].dataType, TimestampType) for df in (left, right))
+
+
+def bounded_join_stream(left: DataFrame, right: DataFrame, on: dict[str, str], wait_seconds: int, ts: str) -> DataFrame:
+    """Stream side of an inner ``joins.bounded_join`` that no other stateful operator follows: the time of its rows has no
+    watermark. Texts travel as they are, the other columns as one JSON text."""
+    kept = [[c for c in left.columns if c != ts], [c for c in right.columns if c != ts and c not in on.values()]]
+    packed: list[dict[str, Column]] = []
+    for df, names, mark in zip((left, right), kept, "lr"):
+        texts = [c for c in names if isinstance(df.schema[c].dataType, StringType)]
+        rest = [c for c in names if c not in texts]
+        columns = {f"{mark}{names.index(c)}": F.col(c) for c in texts}
+        packed.append(columns | ({f"{mark}_rest": F.to_json(F.struct(*rest), _JSON)} if rest else {}))
+    sides = []
+    for k, (df, keys) in enumerate(((left, list(on)), (right, list(on.values())))):
+        known = [F.col(c).isNotNull() for c in (*keys, ts)]
+        one_text = len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, StringType)
+        who = F.col(keys[0]) if one_text else F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)]), _JSON)
+        empty = F.lit(None).cast("string")
+        sides.append(
+            df.where(reduce(and_, known)).select(
+                F.pmod(F.xxhash64(who), F.lit(BUCKETS)).cast("int").alias("bucket"),
+                who.alias("who"),
+                F.col(ts).alias("at"),
+                F.unix_micros(ts).alias("micros"),
+                F.lit(k == 0).alias("own"),
+                *[(c if own == k else empty).alias(n) for own, columns in enumerate(packed) for n, c in columns.items()],
+            )
+        )
+    names = [list(columns) for columns in packed]
+    schema = ", ".join(["micros long", *(f"{n} string" for n in names[0] + names[1])])
+    held = _Join(wait_seconds, (names[0], names[1]))
+
+    def join(key, rows, state):
+        return held(key, rows, state)
+
+    rows = sides[0].unionByName(sides[1]).groupBy("bucket").applyInPandasWithState(join, schema, "held binary", "append", GroupStateTimeout.EventTimeTimeout)
+    out = {ts: F.timestamp_micros("micros").alias(ts)}
+    for df, own, mark in zip((left, right), kept, "lr"):
+        body = StructType([df.schema[c] for c in own if not isinstance(df.schema[c].dataType, StringType)])
+        if body.fields:
+            rows = rows.withColumn(f"{mark}_rest", F.from_json(f"{mark}_rest", body, _JSON))
+        out |= {(mark, c): (F.col(f"{mark}_rest")[c] if c in body.names else F.col(f"{mark}{own.index(c)}")).alias(c) for c in own}
+    return rows.select(*[out[ts] if c == ts else out["l", c] for c in left.columns], *[out["r", c] for c in kept[1]])
